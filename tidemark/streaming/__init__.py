@@ -1,0 +1 @@
+"""No stream operators: every load is a whole-period batch, reloaded by period (sources.sinks)."""
