@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tidemark.operators.ranking import average_rank
 from tidemark.operators.series import daily_metric
@@ -58,7 +59,7 @@ def two_sided_p(t: float, dof: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_value(t: pd.Series, n: pd.Series) -> pd.Series:
     """Two-sided p-value of correlation t statistics; runs on result rows only."""
     return pd.Series(

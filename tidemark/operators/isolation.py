@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 DIGITS = 9
 BLOCK = 256
@@ -77,12 +78,12 @@ def forest_depth(values: np.ndarray, trees: int = 100, sample: int = 256, seed:
     return out
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _expected_depths(series: pd.Series) -> pd.Series:
     return series.map(lambda a: expected_depth(np.asarray(a, dtype="float64")))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _forest_depths(series: pd.Series) -> pd.Series:
     return series.map(lambda a: forest_depth(np.asarray(a, dtype="float64")))
 
@@ -108,7 +109,8 @@ def isolation_score(
     others = [c for c in df.columns if c not in keys]
     packed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(day, *[c for c in others if c != day]))).alias("_s"))
     points = F.transform("_s", lambda s: F.round(s[value], DIGITS))
-    scored = packed.withColumn("_d", depths_of_array(points, method))
+    depths = F.transform(depths_of_array(points, method), lambda d: F.round(d, DIGITS))
+    scored = packed.withColumn("_d", depths)
     known = F.filter("_d", lambda d: d.isNotNull() & ~F.isnan(d))
     flat = (
         scored.withColumn("_limit", array_quantile(known, contamination))

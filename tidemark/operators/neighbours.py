@@ -167,7 +167,7 @@ def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5) -> D
     )
     # The finest level whose cells are at least as wide as the reach; level 0 where donors are fewer than k.
     reach = F.col("_reach") * (1 + SLACK)
-    narrow = F.floor(F.log(F.lit(4.0), F.lit(finest * 4.0**top) / reach)).cast("int")
+    narrow = F.floor(F.log(4.0, F.lit(finest * 4.0**top) / reach)).cast("int")
     level = (
         F.when(F.col("_reach").isNull(), 0)
         .when(F.col("_reach") <= finest, top)

@@ -44,6 +44,9 @@ def profile(df: DataFrame, segments: Sequence[str], roles: ProfileColumns = Prof
     if numbers:
         report["histogram"] = histogram(df, numbers)
         report["curve"] = density_curve(df, numbers)
+        # Numbers with many values have a histogram in place of a frequency table.
+        ranged = F.broadcast(report["histogram"].select("column").distinct())
+        report["categories"] = report["categories"].join(ranged, "column", "left_anti")
     aged = df.withColumn("age_group", age_bin(roles.age))
     report["region_box"] = box_statistics(rows_of_top_groups(df, roles.region, roles.metric), roles.region, roles.metric)
     report["age_box"] = box_statistics(aged, "age_group", roles.metric)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,22 @@ from tidemark.operators.segments import to_wide, wide_names
 from tidemark.schemas import PARTITION_DAY
 
 
+# A day is written by this many tasks, so a hot day is not one file.
+FILES_PER_DAY = 8
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions that get rows; the setting of the session comes back afterwards."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def reload_period(existing: DataFrame, fresh: DataFrame, start: date, end: date, day: str = PARTITION_DAY) -> DataFrame:
     """The table after a reload: old rows outside the period and the fresh rows.
 
@@ -44,9 +62,9 @@ def reload_table(
     if not stray.isEmpty():
         raise ValueError(f"fresh rows outside [{start}, {end})")
     columns = spark.table(name).columns
-    fresh.select(*columns).repartition(F.col(day), F.pmod(F.hash(*[c for c in columns if c != day]), F.lit(8))).write.mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").insertInto(name)
+    spread = F.pmod(F.hash(*[c for c in columns if c != day]), F.lit(FILES_PER_DAY))
+    with _dynamic_overwrite(spark):
+        fresh.select(*columns).repartition(F.col(day), spread).write.mode("overwrite").insertInto(name)
     filled = {r[day] for r in fresh.select(day).distinct().collect()}
     partitions = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
     for text in partitions:
@@ -59,7 +77,8 @@ def reload_table(
 
 def write_processed(df: DataFrame, path: str, day: str = "snap_date_day") -> None:
     """One parquet table per dataset, partitioned by day."""
-    df.repartition(day).write.mode("overwrite").partitionBy(day).parquet(path)
+    spread = F.pmod(F.hash(*[c for c in df.columns if c != day]), F.lit(FILES_PER_DAY))
+    df.repartition(F.col(day), spread).write.mode("overwrite").partitionBy(day).parquet(path)
 
 
 def write_detector(
