@@ -30,14 +30,22 @@ def expected_depth(values: np.ndarray) -> np.ndarray:
     if len(points) < 2:
         out[known] = 0.0
         return out
-    gaps = np.diff(points)
-    depth = np.empty(len(points))
-    k = np.arange(len(gaps))
-    for start in range(0, len(points), BLOCK):
-        i = np.arange(start, min(start + BLOCK, len(points)))[:, None]
-        x = points[i]
-        far = np.where(k >= i, points[1:] - x, x - points[:-1])
-        depth[start : start + len(i)] = (gaps / far).sum(axis=1)
+    gaps, last = np.diff(points), len(points)
+    depth = np.zeros(last)
+    for start in range(0, last, BLOCK):
+        stop = min(start + BLOCK, last)
+        x = points[start:stop, None]
+        inside = np.tri(stop - start, dtype=bool)
+        # Gaps above: those inside the block count from the row's own place on.
+        far = points[start + 1 :] - x
+        far[:, : stop - start][np.tri(stop - start, min(stop, last - 1) - start, -1, dtype=bool)] = np.inf
+        np.divide(gaps[start:], far, out=far)
+        depth[start:stop] += far.sum(axis=1)
+        # Gaps below: those inside the block count up to the row's own place.
+        far = x - points[: stop - 1]
+        far[:, start:][~inside[:, 1:]] = np.inf
+        np.divide(gaps[: stop - 1], far, out=far)
+        depth[start:stop] += far.sum(axis=1)
     out[known] = depth[place]
     return out
 

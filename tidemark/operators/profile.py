@@ -116,7 +116,8 @@ def box_statistics(df: DataFrame, group: str, metric: str, bins: int = 1024, rou
         salted_join(counts, quartiles, [group], ["_v"])
         .groupBy(group)
         .agg(
-            *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3")],
+            F.sum("_n").alias("n"),
+            *[F.first(c).alias(c) for c in ("q1", "median", "q3")],
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         )
@@ -139,11 +140,18 @@ def _with_bin(values: DataFrame, bins: int) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS, min_distinct: int = MAX_CATEGORIES) -> DataFrame:
     """(column, bin, bin_start, bin_end, n) for numeric columns with more than `min_distinct` values."""
     values = long_values(df, columns, "double")
+    spread = values.groupBy("column").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.approx_count_distinct("value").alias("_guess")
+    )
+    # A sketch of few values never counts more than there are, so a high estimate is proof. The others are
+    # counted exactly: they have few values, which combine on the map side.
+    sure = F.col("_guess") > 2 * min_distinct + 2
+    unsure = values.join(F.broadcast(spread.where(~sure).select("column")), "column", "left_semi")
+    exact = unsure.groupBy("column").agg(F.count_distinct("value").alias("_d"))
     ranges = (
-        values.groupBy("column")
-        .agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count_distinct("value").alias("_d"))
-        .where(F.col("_d") > min_distinct)
-        .drop("_d")
+        spread.join(F.broadcast(exact), "column", "left")
+        .where(sure | (F.col("_d") > min_distinct))
+        .select("column", "lo", "hi")
     )
     # One row per column of the table: bounded by the schema.
     binned = _with_bin(values.join(F.broadcast(ranges), "column"), bins)

@@ -18,6 +18,8 @@ def salted_join(
     The summary is repeated `salts` times. An aggregate that follows on the same keys then gets its own
     exchange behind a map-side combine, where a plain join would leave the group in one task.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    # Never null, so no filter is derived from the join that would tell this use of `big` from others.
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(salts)), F.lit(0).cast("long"))
+    left = big.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

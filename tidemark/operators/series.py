@@ -43,11 +43,15 @@ def series_window(day: str, keys: Sequence[str] = ()):
 
 
 def with_delta(df: DataFrame, day: str, metric: str, keys: Sequence[str] = (), out: str = "delta") -> DataFrame:
-    """Change to the previous present day; a missing change takes the next known one."""
+    """Change to the previous present day; a missing change takes the next known one.
+
+    The next known change is the last one seen going back in time: a running frame over the reversed
+    order is linear in the series, where a frame that reaches to its end is scanned anew for each row.
+    """
     w = series_window(day, keys)
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    backward = Window.partitionBy(*keys).orderBy(F.desc(day)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(out, F.col(metric) - F.lag(metric).over(w)).withColumn(
-        out, F.first(out, ignorenulls=True).over(ahead)
+        out, F.last(out, ignorenulls=True).over(backward)
     )
 
 

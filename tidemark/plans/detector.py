@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import nan_to_null
@@ -18,7 +18,7 @@ from tidemark.operators.segments import (
     with_contribution,
 )
 from tidemark.operators.series import daily_metric, with_delta, with_rolling_score
-from tidemark.sources.sinks import write_detector
+from tidemark.sources.sinks import write_detector, write_table
 
 SERIES = ["segment", "group"]
 
@@ -29,6 +29,7 @@ class SegmentAnomalies:
     z_scores: DataFrame
     contributions: DataFrame
     scored: DataFrame
+    base: DataFrame
 
 
 def base_series(df: DataFrame, day: str, metric: str, func: str | Callable[[Column], Column]) -> DataFrame:
@@ -71,6 +72,28 @@ def score_groups(
     return with_contribution(joined, clipped=clip_contributions).drop("total_count", "delta_all")
 
 
+def significant_table(
+    base: DataFrame,
+    scored: DataFrame,
+    segments: Sequence[str],
+    z_threshold: float = 3.0,
+    winner: str = "contribution",
+) -> DataFrame:
+    """One row per (day, segment) with the day's change and the winners; segments without a scored group are absent.
+
+    Days times segment names is bounded by the calendar and the schema, so the window per segment is small.
+    """
+    winners = significant_groups(scored, "day", z_threshold, winner).withColumn("_seen", F.lit(True))
+    frame = base.withColumn("segment", F.explode(F.array(*[F.lit(s) for s in segments])))
+    whole = Window.partitionBy("segment")
+    return (
+        frame.join(winners, ["day", "segment"], "left")
+        .withColumn("_any", F.max("_seen").over(whole))
+        .where(F.col("_any"))
+        .select("day", "metric", "total_count", "delta_all", "segment", "ml_group", "z_group", "group")
+    )
+
+
 def segment_anomalies(
     df: DataFrame,
     day: str = "snap_date_day",
@@ -92,24 +115,33 @@ def segment_anomalies(
         source = source.withColumn(metric, nan_to_null(F.col(metric)))
     base = base_series(source, day, metric, func)
     scored = score_groups(source, day, metric, func, segments, base=base, **options)
-    winners = significant_groups(scored, "day", z_threshold, winner)
-    # Days x segment names: bounded by the calendar and the schema.
-    present = winners.select("segment").distinct()
-    frame = base.withColumn("segment", F.explode(F.array(*[F.lit(s) for s in segments]))).join(
-        F.broadcast(present), "segment", "left_semi"
-    )
-    significant = frame.join(winners, ["day", "segment"], "left").select(
-        "day", "metric", "total_count", "delta_all", "segment", "ml_group", "z_group", "group"
-    )
     return SegmentAnomalies(
-        significant,
+        significant_table(base, scored, segments, z_threshold, winner),
         scored.select("day", *SERIES, "z_score"),
         scored.select("day", *SERIES, "contribution"),
         scored,
+        base,
     )
 
 
-def detect_to_tables(df: DataFrame, path: str, wide: bool = False, **options) -> None:
-    """Run the detector and write its three tables."""
-    result = segment_anomalies(df, **options)
-    write_detector(df.sparkSession, result.significant, result.scored, path, wide)
+def detect_to_tables(
+    df: DataFrame,
+    path: str,
+    day: str = "snap_date_day",
+    metric: str = "nps",
+    segments: Sequence[str] | None = None,
+    z_threshold: float = 3.0,
+    winner: str = "contribution",
+    wide: bool = False,
+    **options,
+) -> None:
+    """Run the detector and write its three tables.
+
+    The base and the scored series are written first and everything else reads those copies, so the source
+    is scored once.
+    """
+    segments = list(segments) if segments else segment_columns(df, day, metric)
+    result = segment_anomalies(df, day, metric, segments=segments, **options)
+    base = write_table(result.base, f"{path}/base")
+    scored = write_table(result.scored, f"{path}/scored")
+    write_detector(significant_table(base, scored, segments, z_threshold, winner), scored, path, wide)

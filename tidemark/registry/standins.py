@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from datetime import date, datetime
 
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import day_key
 from tidemark.functions.scalars import clipped_ratio
 from tidemark.plans.inquiry import InquiryDimensions
+from tidemark.session import shared_folder
 
 START, END = date(2024, 1, 1), date(2024, 2, 1)
 AS_OF = datetime(2024, 6, 1)
@@ -24,13 +23,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's checkpoint folder; a local one for local sessions only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-    return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")
+    """A new path under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # Survey answers: one per order line.

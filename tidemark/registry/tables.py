@@ -7,12 +7,12 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidemark.operators.segments import to_long
-from tidemark.plans.detector import segment_anomalies
+from tidemark.plans.detector import detect_to_tables
 from tidemark.plans.vas import subscriber_days
 from tidemark.registry import query, r6, s6
 from tidemark.registry.standins import SURVEY, inquiries, lines, scratch, subscriber_orders, survey, table
 from tidemark.schemas import INQUIRY_SOURCE, VAS_USAGE
-from tidemark.sources.sinks import create_table, reload_period, reload_table, write_detector, write_processed
+from tidemark.sources.sinks import create_table, reload_period, reload_table, write_processed
 from tidemark.sources.tables import (
     outside_dictionary,
     read_segment_dictionary,
@@ -111,8 +111,7 @@ def a4_write_processed(spark, sf):
 def a5_write_detector(spark, sf):
     """The three stored outputs counted back, with the wide export beside them."""
     path = scratch(spark, "detector")
-    result = segment_anomalies(survey(spark, sf).select("day", "nps", "l_returnflag"), "day", "nps")
-    write_detector(spark, result.significant, result.scored, path, wide=True)
+    detect_to_tables(survey(spark, sf).select("day", "nps", "l_returnflag"), path, "day", "nps", wide=True)
     parts = [
         spark.read.parquet(f"{path}/{t}").agg(F.lit(t).alias("output"), F.count(F.lit(1)).alias("n_rows"))
         for t in ("significant", "z_scores", "contributions")

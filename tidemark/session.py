@@ -1,10 +1,32 @@
-"""Session for local runs; on a cluster the submitted configuration is used as it is."""
+"""Session for local runs and the shared folder; a cluster's submitted configuration is used as it is."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; local sessions without one get a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = _LOCAL.setdefault("folder", tempfile.mkdtemp(prefix="run-"))
+    return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows computed once and kept in the shared folder, so several uses do not compute them again."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
 
 
 def local_session(cpus: int | None = None, app: str = "tidemark") -> SparkSession:

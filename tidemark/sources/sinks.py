@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.calendar import within_period
 from tidemark.operators.segments import to_wide, wide_names
 from tidemark.schemas import PARTITION_DAY
+from tidemark.session import settled
 
 
 # A day is written by this many tasks, so a hot day is not one file.
@@ -55,16 +56,17 @@ def reload_table(
     """Reload a period of a day-partitioned table in place.
 
     Days with fresh rows are overwritten as partitions and the other days of the period dropped, so days
-    outside it are neither read nor written. Repeating the call gives the same table. Only the list of
-    days, at most the length of the period, reaches the driver.
+    outside it are neither read nor written. Repeating the call gives the same table, also after a failed
+    one. Fresh rows are computed once, and a row outside the period is an error. Only the list of days, at
+    most the length of the period, reaches the driver.
     """
-    stray = fresh.where(~F.coalesce(within_period(day, start, end), F.lit(False)))
-    if not stray.isEmpty():
-        raise ValueError(f"fresh rows outside [{start}, {end})")
     columns = spark.table(name).columns
+    inside = F.coalesce(within_period(day, start, end), F.lit(False))
+    stray = F.raise_error(F.concat(F.lit(f"outside [{start}, {end}): "), F.coalesce(F.col(day).cast("string"), F.lit("null"))))
+    fresh = settled(fresh.select(*columns).withColumn(day, F.when(inside, F.col(day)).otherwise(stray)))
     spread = F.pmod(F.hash(*[c for c in columns if c != day]), F.lit(FILES_PER_DAY))
     with _dynamic_overwrite(spark):
-        fresh.select(*columns).repartition(F.col(day), spread).write.mode("overwrite").insertInto(name)
+        fresh.repartition(F.col(day), spread).write.mode("overwrite").insertInto(name)
     filled = {r[day] for r in fresh.select(day).distinct().collect()}
     partitions = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
     for text in partitions:
@@ -81,16 +83,17 @@ def write_processed(df: DataFrame, path: str, day: str = "snap_date_day") -> Non
     df.repartition(F.col(day), spread).write.mode("overwrite").partitionBy(day).parquet(path)
 
 
-def write_detector(
-    spark: SparkSession, significant: DataFrame, scored: DataFrame, path: str, wide: bool = False, day: str = "day"
-) -> None:
-    """Significant groups, z-scores and contributions as three tables.
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write a parquet table and return a DataFrame that reads it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_detector(significant: DataFrame, stored: DataFrame, path: str, wide: bool = False, day: str = "day") -> None:
+    """Significant groups, z-scores and contributions as three tables, from scored series already stored.
 
-    The scored series are written once and both long tables read from that copy. With `wide` CSV exports
-    with one column per group are added.
+    With `wide` CSV exports with one column per group are added.
     """
-    scored.write.mode("overwrite").parquet(f"{path}/scored")
-    stored = spark.read.parquet(f"{path}/scored")
     significant.write.mode("overwrite").parquet(f"{path}/significant")
     for measure, folder in (("z_score", "z_scores"), ("contribution", "contributions")):
         long = stored.select(day, "segment", "group", measure)
