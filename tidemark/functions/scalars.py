@@ -28,8 +28,8 @@ def clipped_ratio(a: str | Column, b: str | Column, low: float = -1.0, high: flo
     num, den = _col(a), _col(b)
     return (
         F.when(den != 0, clip(num / den, low, high))
-        .when(num > 0, F.lit(high))
-        .when(num < 0, F.lit(low))
+        .when((den == 0) & (num > 0), F.lit(high))
+        .when((den == 0) & (num < 0), F.lit(low))
     )
 
 
