@@ -16,8 +16,9 @@ from tidemark.schemas import PARTITION_DAY
 from tidemark.session import settled
 
 
-# A day is written by this many tasks, so a hot day is not one file.
-FILES_PER_DAY = 8
+def by_day(df: DataFrame, day: str) -> DataFrame:
+    """Rows of a day together; adaptive execution splits a large day and joins small ones by size."""
+    return df.hint("rebalance", F.col(day))
 
 
 @contextmanager
@@ -64,9 +65,8 @@ def reload_table(
     inside = F.coalesce(within_period(day, start, end), F.lit(False))
     stray = F.raise_error(F.concat(F.lit(f"outside [{start}, {end}): "), F.coalesce(F.col(day).cast("string"), F.lit("null"))))
     fresh = settled(fresh.select(*columns).withColumn(day, F.when(inside, F.col(day)).otherwise(stray)))
-    spread = F.pmod(F.hash(*[c for c in columns if c != day]), F.lit(FILES_PER_DAY))
     with _dynamic_overwrite(spark):
-        fresh.repartition(F.col(day), spread).write.mode("overwrite").insertInto(name)
+        by_day(fresh, day).write.mode("overwrite").insertInto(name)
     filled = {r[day] for r in fresh.select(day).distinct().collect()}
     partitions = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
     for text in partitions:
@@ -79,8 +79,7 @@ def reload_table(
 
 def write_processed(df: DataFrame, path: str, day: str = "snap_date_day") -> None:
     """One parquet table per dataset, partitioned by day."""
-    spread = F.pmod(F.hash(*[c for c in df.columns if c != day]), F.lit(FILES_PER_DAY))
-    df.repartition(F.col(day), spread).write.mode("overwrite").partitionBy(day).parquet(path)
+    by_day(df, day).write.mode("overwrite").partitionBy(day).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
