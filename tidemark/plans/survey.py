@@ -50,6 +50,7 @@ INQUIRY_SEGMENTS = (
     "cat_pyramid_name",
     "flag_local_general",
 )
+ROW_KEY = ("sk_subs_id", "snap_date")
 AGE_COLUMNS = {"survey_age": "survey_age_group", "survey_operator_age": "survey_operator_age_group"}
 
 
@@ -85,36 +86,37 @@ def _modelled(df: DataFrame) -> set[str]:
     return {*columns_of_type(df, "numeric"), *columns_of_type(df, "text")}
 
 
-def _prepare(df: DataFrame, columns: Sequence[str], key: str, ts: str, exclude: Sequence[str], options: dict) -> DataFrame:
-    dated = df.withColumn("snap_date_day", day_key(ts))
+def _prepare(df: DataFrame, columns: Sequence[str], key: Sequence[str], ts: str, options: dict) -> DataFrame:
+    dated = df.withColumns({"snap_date_day": day_key(ts), "_key": F.struct(*key)})
     if "filial_id" in columns:
         dated = dated.withColumn("filial_id", as_category("filial_id"))
-    chosen = select_required(dated, {*columns, "snap_date_day", key})
-    filled = fill_missing(chosen, key, exclude, **options)
-    return filled.select(*sorted({*columns, "snap_date_day"}))
+    chosen = select_required(dated, {*columns, "snap_date_day", "_key"})
+    return select_required(fill_missing(chosen, "_key", **options), {*columns, "snap_date_day"})
 
 
 def prepare_survey(
     df: DataFrame,
-    key: str = "survey_id",
+    key: Sequence[str] = ROW_KEY,
     ts: str = "snap_date",
     segments: Sequence[str] = SURVEY_SEGMENTS,
     ages: dict[str, str] | None = None,
     **options,
 ) -> DataFrame:
-    """Metric, age bands, day, selection and imputation. Identifiers are text and stay out of the distance."""
+    """Metric, age bands, day, selection and imputation. Identifiers are text and stay out of the distance.
+
+    `key` orders rows at equal distance in the imputation; `options` are those of `fill_missing`.
+    """
     ages = AGE_COLUMNS if ages is None else ages
     banded = with_satisfaction(df).withColumns({out: age_band(c) for c, out in ages.items()})
-    return _prepare(banded, [*segments, *ages.values(), "nps"], key, ts, (), options)
+    return _prepare(banded, [*segments, *ages.values(), "nps"], key, ts, options)
 
 
 def prepare_inquiry(
-    df: DataFrame, key: str = "inqr_id", ts: str = "snap_date", segments: Sequence[str] = INQUIRY_SEGMENTS, **options
+    df: DataFrame,
+    key: Sequence[str] = ROW_KEY,
+    ts: str = "snap_date",
+    segments: Sequence[str] = INQUIRY_SEGMENTS,
+    **options,
 ) -> DataFrame:
     """Day, selection and imputation of the inquiry table."""
-    return _prepare(df, list(segments), key, ts, (), options)
-
-
-def as_segments(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """All columns outside `keep` as text."""
-    return df.withColumns({c: F.col(c).cast("string") for c in df.columns if c not in keep})
+    return _prepare(df, list(segments), key, ts, options)

@@ -279,14 +279,15 @@ def j11_prepare_survey(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
     raw = lines(spark, sf).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     raw = raw.select(
-        F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("survey_id"),
+        "l_orderkey",
+        "l_linenumber",
         F.col("l_shipdate").alias("snap_date"),
         F.col("a").alias("value_1"),
         F.col("b").alias("value_2"),
         (F.col("p_size") + 17).alias("survey_age"),
         *_SURVEY_COLUMNS,
     )
-    df = prepare_survey(raw, segments=_SURVEY_COLUMNS, ages={"survey_age": "survey_age_group"})
+    df = prepare_survey(raw, ["l_orderkey", "l_linenumber"], segments=_SURVEY_COLUMNS, ages={"survey_age": "survey_age_group"})
     return df.withColumn("nps", r6("nps"))
 
 
@@ -304,7 +305,7 @@ def j11_prepare_inquiry(spark, sf):
         F.pmod("user_id", F.lit(19)).alias("filial_id"),
         F.when(F.col("event_type") != "error", F.pmod("user_id", F.lit(2))).alias("flag_local_general"),
     )
-    df = prepare_inquiry(raw, segments=["description", "filial_id", "flag_local_general"])
+    df = prepare_inquiry(raw, ["inqr_id"], segments=["description", "filial_id", "flag_local_general"])
     return df.withColumn("flag_local_general", r6("flag_local_general"))
 
 
