@@ -74,6 +74,20 @@ def test_dense_cluster_beside_an_empty_area(spark):
     check(spark, rows)
 
 
+def test_far_dense_cluster_is_searched_by_its_edge(spark):
+    """Receivers share no cell with the donors they need; crowded cells are split instead of met whole."""
+    rng = random.Random(8)
+    rows = [(i, 100 + rng.random() * 1e-3, rng.random() * 1e-3, rng.random()) for i in range(2500)]
+    rows += [(5000 + i, rng.random(), rng.random(), None) for i in range(60)]
+    check(spark, rows)
+
+
+def test_points_closer_than_the_grid(spark):
+    rng = random.Random(9)
+    rows = [(i, 1.0 + i * 2**-52, rng.random()) for i in range(1200)] + [(9000, 1e9, 0.0), (9001, 1.0, None), (9002, 0.0, None)]
+    check(spark, rows)
+
+
 def test_few_donors_and_empty_rows(spark):
     check(spark, [(1, 1.0, 2.0), (2, 3.0, 4.0), (3, 2.0, None), (4, None, None), (5, None, 1.0)])
     check(spark, [(1, None, 2.0), (2, 3.0, None), (3, 2.0, None)])

@@ -6,24 +6,32 @@ is a plain nearest-neighbour search over the shared columns:
 
 1. equal donors are cut to the k smallest keys, equal receivers become one point;
 2. donors are counted per grid cell on nested levels, each level a quarter of the width before;
-3. a receiver takes the finest cell around it with at least k donors; the k-th distance there is an upper
-   bound, and cells of about that width around it hold every donor that can be nearer;
-4. the k best of those by (distance, key) give the value, the column mean where no donor is comparable.
+3. a receiver takes the finest cell around it with at least k donors; the k-th distance among some donors
+   there bounds its reach, and cells of about that width around it hold every donor that can be nearer;
+4. a cell with many donors is replaced by those of its children within reach, and the children tighten the
+   reach; this repeats while such cells are left, usually never;
+5. the k best donors by (distance, key) of the cells that remain give the value, the column mean where no
+   donor is comparable.
 
-A hot value therefore costs k rows, not its number of rows, and no receiver meets all donors unless the
-donors all fit in its cells. Points that are dense beside an empty area cost the most.
+A hot value therefore costs k rows, not its number of rows, and a receiver meets the donors of light cells
+only. Meant for a few numeric columns: boxes have 3^m cells and patterns come in pairs.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import settled
+
 MAX_LEVEL = 26
 SLACK = 1e-9
+# Donors a cell may hold before it is split; the rank limit below it is applied before the shuffle.
+MAX_LIGHT = 500
 
 
 def _pattern(columns: Sequence[str]) -> Column:
@@ -63,20 +71,207 @@ def _emit(df: DataFrame, pairs: Sequence[tuple[str, str]], side: int, columns: S
     return emitted.withColumns({f"_c{i}": F.when(shared[i], F.col(c)) for i, c in enumerate(columns)})
 
 
-def _cell(x: Column, low: float, width: float) -> Column:
-    return F.coalesce(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(0)).cast("long")
+def _sum(parts: Sequence[Column]) -> Column:
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
+
+
+@dataclass(frozen=True)
+class _Grid:
+    """Nested cells: level 0 is one cell, each further level has a quarter of the width."""
+
+    lows: tuple[float, ...]
+    finest: float
+    top: int
+
+    @classmethod
+    def over(cls, lows: Sequence[float], ranges: Sequence[float], donors: int, k: int) -> _Grid:
+        widest = max(ranges) or 1.0
+        narrowest = min(r for r in [*ranges, widest] if r > 0)
+        depth = math.ceil(math.log(max(donors / k, 1.0) * widest / narrowest, 4)) + 1
+        top = min(max(depth, 1), MAX_LEVEL)
+        return cls(tuple(lows), widest / 4.0**top * (1 + SLACK), top)
+
+    @property
+    def coords(self) -> list[str]:
+        return [f"_c{i}" for i in range(len(self.lows))]
+
+    @property
+    def cells(self) -> list[str]:
+        return [f"_g{i}" for i in range(len(self.lows))]
+
+    def cell(self, x: Column, i: int) -> Column:
+        """Cell number on the finest level; coordinates outside the search share cell 0."""
+        return F.coalesce(F.floor((x - F.lit(self.lows[i])) / F.lit(self.finest)), F.lit(0)).cast("long")
+
+    def located(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({g: self.cell(F.col(c), i) for i, (c, g) in enumerate(zip(self.coords, self.cells))})
+
+    def levels(self) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(self.top))).alias("_level")
+
+    def lifted(self, level: Column) -> list[Column]:
+        """Cells of the finest level as cells of `level`."""
+        drop = (F.lit(self.top) - level) * 2
+        return [F.call_function("shiftright", F.col(g), drop).alias(g) for g in self.cells]
+
+    def reaches(self) -> tuple[Column, Column]:
+        """Smallest and largest squared distance between the point of a row and its cell."""
+        width = F.lit(self.finest) * F.pow(F.lit(4.0), (F.lit(self.top) - F.col("_level")).cast("double"))
+        least, most = [], []
+        for i, (c, g) in enumerate(zip(self.coords, self.cells)):
+            low = F.lit(self.lows[i]) + F.col(g) * width
+            before, after = low - F.col(c), F.col(c) - (low + width)
+            outside = F.greatest(before, after, F.lit(0.0))
+            across = F.greatest(F.abs(before), F.abs(after))
+            least.append(F.when(F.col(c).isNull(), 0.0).otherwise(outside * outside))
+            most.append(F.when(F.col(c).isNull(), 0.0).otherwise(across * across))
+        return _sum(least) * (1 - SLACK), _sum(most) * (1 + SLACK)
+
+
+def _within(square: Column) -> Column:
+    """Squared distance inside the reach; without a reach the pair has fewer than k donors, all of which count."""
+    return F.col("_reach").isNull() | (square * (1 - SLACK) <= F.col("_reach") * F.col("_reach"))
+
+
+def _squared(grid: _Grid, here: str, there: str) -> Column:
+    parts = [(F.col(f"{here}.{c}"), F.col(f"{there}.{c}")) for c in grid.coords]
+    return _sum([F.coalesce((a - b) * (a - b), F.lit(0.0)) for a, b in parts])
+
+
+def _boxes(bound: DataFrame, grid: _Grid) -> DataFrame:
+    """Cells around each receiver, on the finest level whose cells are at least as wide as its reach."""
+    reach = F.col("_reach") * (1 + SLACK)
+    narrow = F.floor(F.log(4.0, F.lit(grid.finest * 4.0**grid.top) / reach)).cast("int")
+    level = (
+        F.when(F.col("_reach").isNull(), 0)
+        .when(F.col("_reach") <= grid.finest, grid.top)
+        .otherwise(F.greatest(F.lit(0), F.least(F.lit(grid.top), narrow)))
+    )
+    box = bound.withColumn("_level", level)
+    drop = (F.lit(grid.top) - F.col("_level")) * 2
+    for i, (c, g) in enumerate(zip(grid.coords, grid.cells)):
+        x = F.col(c)
+        room = reach + (F.abs(x) + reach) * F.lit(1e-12)
+        ends = [F.call_function("shiftright", grid.cell(e, i), drop) for e in (x - room, x + room)]
+        everywhere = x.isNull() | F.col("_reach").isNull()
+        box = box.withColumn(g, F.explode(F.when(everywhere, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(*ends))))
+    return box
+
+
+def _split(heavy: DataFrame, counts: DataFrame, grid: _Grid, receiver: Sequence[str], k: int) -> DataFrame:
+    """Heavy cells replaced by their non-empty children within reach; the children tighten the reach."""
+    child = counts.select(
+        "_pair",
+        (F.col("_level") - 1).alias("_level"),
+        *[F.call_function("shiftright", F.col(g), F.lit(2)).alias(g) for g in grid.cells],
+        *[F.col(g).alias(f"_child{i}") for i, g in enumerate(grid.cells)],
+        "_n",
+    )
+    opened = (
+        heavy.drop("_n")
+        .join(child, ["_pair", "_level", *grid.cells])
+        .withColumn("_level", F.col("_level") + 1)
+        .withColumns({g: F.col(f"_child{i}") for i, g in enumerate(grid.cells)})
+        .drop(*[f"_child{i}" for i in range(len(grid.cells))])
+    )
+    least, most = grid.reaches()
+    nearest = Window.partitionBy(*receiver).orderBy("_most").rowsBetween(Window.unboundedPreceding, 0)
+    enough = F.min(F.when(F.col("_upto") >= k, F.sqrt("_most"))).over(Window.partitionBy(*receiver))
+    return (
+        opened.withColumns({"_least": least, "_most": most})
+        .withColumn("_upto", F.sum("_n").over(nearest))
+        .withColumn("_reach", F.least("_reach", enough))
+        .where(_within(F.col("_least")))
+        .drop("_least", "_most", "_upto")
+    )
+
+
+def _candidates(
+    donors: DataFrame, receivers: DataFrame, grid: _Grid, point: Sequence[str], k: int, carried: Sequence[str]
+) -> DataFrame:
+    """(point, squared distance, columns shared, donor and its values): every donor that can be among the k nearest."""
+    coords, cells = grid.coords, grid.cells
+    receiver = ["_pair", *point, *coords]
+    light = min(4 ** len(cells) * k, MAX_LIGHT)
+    lifted = donors.select("*", grid.levels())
+    lifted = lifted.select("_pair", "_level", *grid.lifted(F.col("_level")), *coords, *carried)
+    counts = (
+        donors.groupBy("_pair", *cells)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_pair", *cells, "_n", grid.levels())
+        .select("_pair", "_level", *grid.lifted(F.col("_level")), "_n")
+        .groupBy("_pair", "_level", *cells)
+        .agg(F.sum("_n").alias("_n"))
+    )
+    first = Window.partitionBy("_pair", "_level", *cells).orderBy("_donor")
+    some = lifted.withColumn("_row", F.row_number().over(first)).where(F.col("_row") <= light).drop("_row")
+
+    own = (
+        receivers.select(*receiver, *cells, grid.levels())
+        .select(*receiver, "_level", *grid.lifted(F.col("_level")))
+        .join(counts.where((F.col("_n") >= k) | (F.col("_level") == 0)).drop("_n"), ["_pair", "_level", *cells])
+        .groupBy(*receiver)
+        .agg(F.max_by(F.struct("_level", *cells), "_level").alias("_at"))
+        .select(*receiver, "_at.*")
+    )
+    in_cell = ["_pair", "_level", *cells]
+    same_cell = [F.col(f"r.{c}") == F.col(f"d.{c}") for c in in_cell]
+    bound = (
+        own.alias("r")
+        .join(some.alias("d"), same_cell)
+        .select(*[F.col(f"r.{c}") for c in receiver], _squared(grid, "r", "d").alias("_q"))
+        .withColumn("_row", F.row_number().over(Window.partitionBy(*receiver).orderBy("_q")))
+        .where(F.col("_row") <= k)
+        .groupBy(*receiver)
+        .agg(F.sqrt(F.max(F.when(F.col("_row") == k, F.col("_q")))).alias("_reach"))
+    )
+    least, _ = grid.reaches()
+    frontier = _boxes(bound, grid).join(counts, in_cell).where(_within(least))
+
+    ready, full = [], None
+    while True:
+        frontier = settled(frontier)
+        ready.append(frontier.where(F.col("_n") <= light))
+        crowded = frontier.where(F.col("_n") > light)
+        last = crowded.where(F.col("_level") == grid.top)
+        full = last if full is None else full.unionByName(last)
+        heavy = crowded.where(F.col("_level") < grid.top)
+        if heavy.isEmpty():
+            break
+        frontier = _split(heavy, counts, grid, receiver, k)
+    cells_ready = ready[0]
+    for r in ready[1:]:
+        cells_ready = cells_ready.unionByName(r)
+
+    def meet(side: DataFrame, donors_there: DataFrame) -> DataFrame:
+        square = _squared(grid, "r", "d")
+        used = F.size(F.filter(F.array(*[F.col(f"r.{c}") for c in coords]), lambda c: c.isNotNull()))
+        return (
+            side.alias("r")
+            .join(donors_there.alias("d"), [*same_cell, _within(square)])
+            .select(*[F.col(f"r.{c}") for c in point], square.alias("_q"), used.alias("_used"), *[F.col(f"d.{c}") for c in carried])
+        )
+
+    # Finest cells that are still crowded: points closer than the grid resolves, all of them met.
+    at_top = lifted.where(F.col("_level") == grid.top)
+    return meet(cells_ready, some).unionByName(meet(full, at_top))
 
 
 def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5) -> DataFrame:
-    """Fill null numbers in `columns`; `key` identifies rows and breaks ties of the distance."""
+    """Fill null numbers in `columns`; `key` breaks ties of the distance.
+
+    Runs jobs when called: the collapsed donors and the cells to search are kept in the shared folder.
+    """
     columns = list(columns)
     size = len(columns)
-    dims = range(size)
     typed = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns})
     stats = _statistics(typed, columns)
 
     means, lows, ranges = [], [], []
-    for i in dims:
+    for i in range(size):
         seen = [r for r in stats if r["p"][i] == "1"]
         total = sum(r["n"] for r in seen)
         means.append(sum(r[f"s{i}"] for r in seen) / total if total else None)
@@ -85,127 +280,49 @@ def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5) -> D
         ranges.append(max((r[f"hi{i}"] for r in seen), default=0.0) - low)
     mean_of = [F.lit(m).cast("double") for m in means]
     pairs = _pairs([r["p"] for r in stats])
-    gaps = _pattern(columns).contains("0")
     if not pairs:
         return typed.withColumns({c: F.coalesce(F.col(c), mean_of[i]) for i, c in enumerate(columns)})
 
-    donors_total = sum(r["n"] for r in stats)
-    widest = max(ranges) or 1.0
-    narrowest = min(r for r in [*ranges, widest] if r > 0)
-    depth = math.ceil(math.log(max(donors_total / k, 1.0) * widest / narrowest, 4)) + 1
-    top = min(max(depth, 1), MAX_LEVEL)
-    finest = widest / 4.0**top * (1 + SLACK)
-
+    grid = _Grid.over(lows, ranges, sum(r["n"] for r in stats), k)
+    coords = grid.coords
     base = typed.select(key, *columns).withColumn("_p", _pattern(columns))
-    coords = [f"_c{i}" for i in dims]
-    cells = [f"_g{i}" for i in dims]
-    point = ["_p", *[f"_z{i}" for i in dims]]
-
+    point = ["_p", *[f"_z{i}" for i in range(size)]]
+    values = [f"_v{i}" for i in range(size)]
     nearest_key = Window.partitionBy("_pair", *coords).orderBy(key)
     donors = (
         _emit(base, pairs, 1, columns)
         .withColumn("_row", F.row_number().over(nearest_key))
         .where(F.col("_row") <= k)
-        .select("_pair", *coords, F.col(key).alias("_donor"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)])
-        .withColumns({f"_g{i}": _cell(F.col(f"_c{i}"), lows[i], finest) for i in dims})
-    )
-
-    def levels() -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_level")
-
-    def lifted(level: Column) -> list[Column]:
-        drop = (F.lit(top) - level) * 2
-        return [F.call_function("shiftright", F.col(g), drop).alias(g) for g in cells]
-
-    counts = (
-        donors.groupBy("_pair", *cells)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_pair", *cells, "_n", levels())
-        .select("_pair", "_level", *lifted(F.col("_level")), "_n")
-        .groupBy("_pair", "_level", *cells)
-        .agg(F.sum("_n").alias("_n"))
-        .where((F.col("_n") >= k) | (F.col("_level") == 0))
+        .select("_pair", *coords, F.col(key).alias("_donor"), *[F.col(c).alias(v) for c, v in zip(columns, values)])
     )
-    per_level = donors.select("*", levels()).select(
-        "_pair", "_level", *lifted(F.col("_level")), *coords, "_donor", *[f"_v{i}" for i in dims]
-    )
-
     receivers = (
         _emit(base, pairs, 0, columns)
         .select("_pair", "_p", *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"_z{i}") for i, c in enumerate(columns)], *coords)
         .distinct()
-        .withColumns({f"_g{i}": _cell(F.col(f"_c{i}"), lows[i], finest) for i in dims})
     )
-    own = (
-        receivers.select("_pair", *point, *coords, *cells, levels())
-        .select("_pair", *point, *coords, "_level", *lifted(F.col("_level")))
-        .join(counts.drop("_n"), ["_pair", "_level", *cells])
-        .groupBy("_pair", *point, *coords)
-        .agg(F.max_by(F.struct("_level", *cells), "_level").alias("_at"))
-        .select("_pair", *point, *coords, "_at.*")
+    candidates = _candidates(
+        grid.located(settled(donors)), grid.located(receivers), grid, point, k, ["_donor", *values]
     )
 
-    there = [F.col(f"d.{c}") for c in coords]
-    here = [F.col(f"r.{c}") for c in coords]
-    squares = [F.coalesce((a - b) * (a - b), F.lit(0.0)) for a, b in zip(here, there)]
-    squared = squares[0]
-    for s in squares[1:]:
-        squared = squared + s
-    used = F.length(F.translate(F.concat(*[F.when(c.isNotNull(), "1").otherwise("0") for c in here]), "0", ""))
-    distance = F.sqrt(F.lit(float(size)) / used * squared)
-    in_cell = ["_pair", "_level", *cells]
-    same_cell = [F.col(f"r.{c}") == F.col(f"d.{c}") for c in in_cell]
-
-    bound = (
-        own.alias("r")
-        .join(per_level.alias("d"), same_cell)
-        .select("r._pair", *[F.col(f"r.{c}") for c in [*point, *coords]], squared.alias("_q"))
-        .withColumn("_row", F.row_number().over(Window.partitionBy("_pair", *point, *coords).orderBy("_q")))
-        .where(F.col("_row") <= k)
-        .groupBy("_pair", *point, *coords)
-        .agg(F.sqrt(F.max(F.when(F.col("_row") == k, F.col("_q")))).alias("_reach"))
-    )
-    # The finest level whose cells are at least as wide as the reach; level 0 where donors are fewer than k.
-    reach = F.col("_reach") * (1 + SLACK)
-    narrow = F.floor(F.log(4.0, F.lit(finest * 4.0**top) / reach)).cast("int")
-    level = (
-        F.when(F.col("_reach").isNull(), 0)
-        .when(F.col("_reach") <= finest, top)
-        .otherwise(F.greatest(F.lit(0), F.least(F.lit(top), narrow)))
-    )
-    box = bound.withColumn("_level", level).withColumn("_drop", (F.lit(top) - F.col("_level")) * 2)
-    for i in dims:
-        x = F.col(f"_c{i}")
-        room = reach + (F.abs(x) + reach) * F.lit(1e-12)
-        ends = [
-            F.call_function("shiftright", _cell(e, lows[i], finest), F.col("_drop")) for e in (x - room, x + room)
-        ]
-        span = F.when(x.isNull() | F.col("_reach").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(*ends))
-        box = box.withColumn(f"_g{i}", F.explode(span))
-
-    near = F.col("r._reach").isNull() | (squared <= F.col("r._reach") * F.col("r._reach") * (1 + SLACK))
-    candidates = (
-        box.alias("r")
-        .join(per_level.alias("d"), [*same_cell, near])
-        .select(*[F.col(f"r.{c}") for c in point], distance.alias("_d"), F.col("d._donor"), *[F.col(f"d._v{i}") for i in dims])
-    )
     targets = F.array(
         *[
-            F.struct(F.lit(i).alias("i"), F.when(F.substring("_p", i + 1, 1) == "0", F.col(f"_v{i}")).alias("v"))
-            for i in dims
+            F.struct(F.lit(i).alias("i"), F.when(F.substring("_p", i + 1, 1) == "0", F.col(v)).alias("v"))
+            for i, v in enumerate(values)
         ]
     )
+    distance = F.sqrt(F.lit(float(size)) / F.col("_used") * F.col("_q"))
     best = Window.partitionBy(*point, "_t.i").orderBy("_d", "_donor")
     found = (
-        candidates.select(*point, "_d", "_donor", F.explode(targets).alias("_t"))
+        candidates.select(*point, distance.alias("_d"), "_donor", F.explode(targets).alias("_t"))
         .where(F.col("_t.v").isNotNull())
         .withColumn("_row", F.row_number().over(best))
         .where(F.col("_row") <= k)
         .groupBy(*point, F.col("_t.i").alias("_i"))
         .agg(F.avg("_t.v").alias("_f"))
         .groupBy(*point)
-        .agg(*[F.max(F.when(F.col("_i") == i, F.col("_f"))).alias(f"_f{i}") for i in dims])
+        .agg(*[F.max(F.when(F.col("_i") == i, F.col("_f"))).alias(f"_f{i}") for i in range(size)])
     )
+    gaps = _pattern(columns).contains("0")
     keyed = typed.where(gaps).withColumn("_p", _pattern(columns)).withColumns(
         {f"_z{i}": F.coalesce(F.col(c), F.lit(0.0)) for i, c in enumerate(columns)}
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The rows computed once and kept in the shared folder, so several uses do not compute them again."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """The rows written once to a table in the shared folder, so several uses do not compute them again.
+
+    The table outlives lost executors; like checkpoint files it stays until the folder is cleaned.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_session(cpus: int | None = None, app: str = "tidemark") -> SparkSession:
