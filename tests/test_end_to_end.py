@@ -12,6 +12,7 @@ from tidemark.plans.inquiry import InquiryDimensions, inquiry_daily
 from tidemark.plans.survey import INQUIRY_SEGMENTS, SURVEY_SEGMENTS, prepare_inquiry, prepare_survey
 from tidemark.plans.vas import vas_usage
 from tidemark.sources.sinks import create_table, reload_table, write_processed
+from tidemark.sources.tables import read_table
 
 START, END = date(2025, 1, 1), date(2025, 3, 1)
 
@@ -19,19 +20,28 @@ START, END = date(2025, 1, 1), date(2025, 3, 1)
 def raw_survey(spark, n=400):
     rng = random.Random(2)
     names = [s for s in SURVEY_SEGMENTS if s != "filial_id"]
+    schema = schemas.survey_raw(SURVEY_SEGMENTS)
     rows = [
-        (
-            i, datetime(2025, 1, 1) + timedelta(hours=rng.randrange(24 * 30)), rng.randint(1, 3), rng.randint(18, 70), rng.randint(18, 70),
-            rng.random() - 0.5, rng.choice([0.0, 1.0, 2.0]), *[rng.choice(["a_1", "b", None]) for _ in names],
-        )
+        {s: rng.choice(["a_1", "b", "nan", None]) for s in names}
+        | {
+            "sk_subs_id": i,
+            "snap_date": datetime(2025, 1, 1) + timedelta(hours=rng.randrange(24 * 30)),
+            "filial_id": rng.randint(1, 3),
+            "survey_age": rng.randint(18, 70),
+            "survey_operator_age": rng.randint(18, 70),
+            "value_1": rng.random() - 0.5,
+            "value_2": rng.choice([0.0, 1.0, 2.0]),
+        }
         for i in range(n)
     ]
-    fixed = "sk_subs_id long, snap_date timestamp, filial_id long, survey_age int, survey_operator_age int, value_1 double, value_2 double, "
-    return spark.createDataFrame(rows, fixed + ", ".join(f"{s} string" for s in names))
+    return spark.createDataFrame([tuple(r.get(c) for c in schema.fieldNames()) for r in rows], schema)
 
 
 def test_survey_chain(spark, tmp_path):
-    processed = prepare_survey(raw_survey(spark))
+    path = str(tmp_path / "raw.csv")
+    raw_survey(spark).write.option("header", True).csv(path)
+    processed = prepare_survey(read_table(spark, path, schemas.survey_raw(SURVEY_SEGMENTS)))
+    assert {r[0] for r in processed.select("network_volte").distinct().collect()} == {"a_1", "b", None}
     assert len(processed.columns) == 29 and processed.where("nps IS NULL").count() == 0
     write_processed(processed, str(tmp_path / "survey"))
     stored = spark.read.parquet(str(tmp_path / "survey"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import placeholder
 from tidemark.operators.profile import columns_of_type
 from tidemark.operators.ranking import category_codes, encode
+from tidemark.session import settled
 
 
 def placeholder_impute(df: DataFrame, columns: Sequence[str], text: str = "missing") -> DataFrame:
@@ -53,7 +54,8 @@ def category_impute(
     if numbers:
         imputer = Imputer(inputCols=[f"_n_{c}" for c in numbers], outputCols=[f"_x_{c}" for c in numbers])
         coded = imputer.fit(coded).transform(coded)
-    assembled = VectorAssembler(inputCols=[f"_x_{c}" for c in features], outputCol="_x").transform(coded)
+    # Fitting reads the rows many times; the joins behind the codes run once.
+    assembled = VectorAssembler(inputCols=[f"_x_{c}" for c in features], outputCol="_x").transform(settled(coded))
 
     known = assembled.where(F.col(target).isNotNull())
     unknown = assembled.where(F.col(target).isNull())

@@ -106,7 +106,7 @@ def rows_of_top_groups(df: DataFrame, group: str, metric: str, k: int = 10) -> D
     return df.join(F.broadcast(top_groups(df, group, metric, k).select(group)), group, "left_semi")
 
 
-def box_statistics(df: DataFrame, group: str, metric: str, bins: int = 1024, rounds: int = 1) -> DataFrame:
+def box_statistics(df: DataFrame, group: str, metric: str, bins: int = 1024, rounds: int = 2) -> DataFrame:
     """(group, n, q1, median, q3, whisker_low, whisker_high); whiskers end at data inside 1.5 IQR."""
     counts = value_counts(df, [group], metric)
     quartiles = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75], ["q1", "median", "q3"], bins, rounds)

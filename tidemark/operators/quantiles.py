@@ -2,7 +2,8 @@
 
 `percentile` keeps every distinct value of a group in one task. Here a group is narrowed instead: values
 are counted, counts are binned, the bin that holds the wanted rank is kept, and the next round bins only
-that range. Per group a task sees at most `bins` rows, and the last step a sliver of the distinct values.
+that range. Ranges end at values that occur, so an outlier costs one round. Per group a task sees at most
+`bins` rows, and the last step a sliver of the distinct values.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def quantiles_of_counts(
     probs: Sequence[float],
     names: Sequence[str],
     bins: int = 1024,
-    rounds: int = 1,
+    rounds: int = 2,
 ) -> DataFrame:
     """(keys, n, one column per probability) from `value_counts`, linear between neighbours."""
     keys = list(keys)
@@ -109,7 +110,7 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     bins: int = 1024,
-    rounds: int = 1,
+    rounds: int = 2,
 ) -> DataFrame:
     """Exact interpolated quantiles of `value` per group. More rounds for values with very long tails."""
     return quantiles_of_counts(value_counts(df, keys, value), keys, probs, names, bins, rounds)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -31,6 +33,40 @@ def _table(required: str = "", **columns: DataType) -> StructType:
     return StructType([StructField(n, t, n != required) for n, t in columns.items()])
 
 
+SURVEY_FIXED = _table(
+    required="snap_date",
+    sk_subs_id=LONG,
+    mnco_group_id=LONG,
+    os_os_id=LONG,
+    filial_id=LONG,
+    snap_date=MOMENT,
+    snap_week=INT,
+    snap_month=INT,
+    snap_quarter=INT,
+    survey_day=INT,
+    survey_time_group=TEXT,
+    survey_weekday=TEXT,
+    survey_weekday_type=TEXT,
+    survey_age=INT,
+    survey_operator_age=INT,
+    survey_gender=TEXT,
+    survey_operator_gender=TEXT,
+    survey_arpu_group=TEXT,
+    survey_city_size=TEXT,
+    ans=INT,
+    value_1=DOUBLE,
+    value_2=DOUBLE,
+    value_3=DOUBLE,
+    value_4=DOUBLE,
+)
+
+
+def survey_raw(segments: Iterable[str]) -> StructType:
+    """Survey fact: the fixed columns and one text column per further segment."""
+    more = [StructField(s, TEXT) for s in segments if s not in SURVEY_FIXED.fieldNames()]
+    return StructType([*SURVEY_FIXED.fields, *more])
+
+
 INQUIRY_SOURCE = _table(
     required="create_date",
     create_date=MOMENT,
