@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -31,21 +31,18 @@ def expected_depth(values: np.ndarray) -> np.ndarray:
         out[known] = 0.0
         return out
     gaps, last = np.diff(points), len(points)
-    depth = np.zeros(last)
+    k = np.arange(last - 1)
+    depth = np.empty(last)
     for start in range(0, last, BLOCK):
         stop = min(start + BLOCK, last)
-        x = points[start:stop, None]
-        inside = np.tri(stop - start, dtype=bool)
-        # Gaps above: those inside the block count from the row's own place on.
-        far = points[start + 1 :] - x
-        far[:, : stop - start][np.tri(stop - start, min(stop, last - 1) - start, -1, dtype=bool)] = np.inf
-        np.divide(gaps[start:], far, out=far)
-        depth[start:stop] += far.sum(axis=1)
-        # Gaps below: those inside the block count up to the row's own place.
-        far = x - points[: stop - 1]
-        far[:, start:][~inside[:, 1:]] = np.inf
-        np.divide(gaps[: stop - 1], far, out=far)
-        depth[start:stop] += far.sum(axis=1)
+        i, x = np.arange(start, stop)[:, None], points[start:stop, None]
+        # Distance to the far edge of each gap above and below the point; gaps on the other side drop out.
+        above, below = points[start + 1 :] - x, x - points[: stop - 1]
+        above[:, : stop - start][k[start:stop] < i] = np.inf
+        below[:, start:][k[start : stop - 1] >= i] = np.inf
+        np.divide(gaps[start:], above, out=above)
+        np.divide(gaps[: stop - 1], below, out=below)
+        depth[start:stop] = above.sum(axis=1) + below.sum(axis=1)
     out[known] = depth[place]
     return out
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import age_band
 from tidemark.operators.categories import category_impute, mode_impute, placeholder_impute
 from tidemark.operators.isolation import isolation_score
 from tidemark.operators.neighbours import knn_impute
-from tidemark.operators.segments import group_daily, to_long, to_wide, wide_names
+from tidemark.operators.segments import group_daily, rolling_anomaly, to_long, to_wide, wide_names
 from tidemark.operators.series import with_delta
 from tidemark.plans.detector import score_groups, segment_anomalies
 from tidemark.plans.inquiry import inquiry_daily
@@ -182,8 +183,6 @@ def j5_contribution(spark, sf):
     f"""WITH {DETECTOR} SELECT segment, grp AS "group", day, coalesce(abs(z_score) > 3, false) AS z_anomaly FROM scored""",
 )
 def j6_rolling_anomaly(spark, sf):
-    from tidemark.operators.segments import rolling_anomaly
-
     return _scored(spark, sf).select("segment", "group", "day", rolling_anomaly("z_score", 3.0).alias("z_anomaly"))
 
 
@@ -257,8 +256,6 @@ def j9_inquiry_daily(spark, sf):
     GROUP BY d.sk_subs_id, d.snap_date, d.snap_month""",
 )
 def j10_vas_usage(spark, sf):
-    from datetime import date
-
     df = vas_usage(subscriber_orders(spark, sf), charges(spark, sf), date(1995, 3, 1), date(2001, 1, 1))
     return df.withColumns({n: F.col(n).cast("double") for n in RULES})
 

@@ -10,7 +10,7 @@ from tidemark.functions import calendar as cal
 from tidemark.functions import scalars as sc
 from tidemark.operators.ranking import category_codes, decode, encode
 from tidemark.registry import query, r6, s6
-from tidemark.registry.standins import INQUIRIES, LABELLED, LINES, inquiries, labelled, lines, table
+from tidemark.registry.standins import INQUIRIES, LABELLED, LINES, labelled, lines, table
 
 
 def _events(spark, sf):
@@ -45,9 +45,6 @@ def h3_period_starts(spark, sf):
     )
 
 
-_ORDER_DATE = "o_orderkey", "o_orderdate"
-
-
 @query(
     "h4_calendar_numbers",
     """SELECT o_orderkey, CAST(week(o_orderdate) AS INTEGER) AS snap_week, CAST(month(o_orderdate) AS INTEGER) AS snap_month,
