@@ -109,3 +109,20 @@ def test_fact_loads_and_reloads(spark, tmp_path):
     assert got == {(date(2025, 1, 1), 5.0, 0.0), (date(2025, 2, 3), 0.0, 7.0)}
     for t in ("inquiry_case", "vas_case"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_options_for_missing_categories(spark):
+    raw = raw_survey(spark, 120).replace("nan", None)
+    segments = ["survey_gender", "network_volte", "network_vowifi"]
+    raw = raw.select("sk_subs_id", "snap_date", "survey_age", "value_1", "value_2", *segments)
+    ages = {"survey_age": "survey_age_group"}
+    kept = prepare_survey(raw, segments=segments, ages=ages)
+    assert kept.where("network_volte IS NULL").count() > 0
+    filled = prepare_survey(
+        raw, segments=segments, ages=ages, mode=["survey_gender"], predict=["network_volte"], placeholder="missing"
+    )
+    assert filled.columns == kept.columns and filled.count() == 120
+    assert filled.where(" OR ".join(f"{c} IS NULL" for c in filled.columns)).count() == 0
+    values = {c: {r[0] for r in filled.select(c).distinct().collect()} for c in segments}
+    assert values["survey_gender"] <= {"a_1", "b"} and values["network_volte"] <= {"a_1", "b"}
+    assert "missing" in values["network_vowifi"]

@@ -94,8 +94,8 @@ def j1_knn_impute(spark, sf):
 
 PART_GAPS = """gaps AS (
   SELECT p_partkey, CAST(nullif(p_size, 7) AS DOUBLE) AS p_size, CASE WHEN p_type <> 'PROMO' THEN p_retailprice END AS p_retailprice, q, d
-  FROM part LEFT JOIN (SELECT l_partkey, round(avg(l_quantity), 4) AS q,
-      CASE WHEN round(avg(l_discount), 4) < 0.055 THEN round(avg(l_discount), 4) END AS d
+  FROM part LEFT JOIN (SELECT l_partkey, round(avg(l_quantity) + CAST(2e-9 AS DOUBLE), 4) AS q,
+      CASE WHEN avg(l_discount) < 0.0550123 THEN round(avg(l_discount) + CAST(2e-9 AS DOUBLE), 4) END AS d
     FROM lineitem GROUP BY l_partkey) ON p_partkey = l_partkey)"""
 
 
@@ -106,14 +106,15 @@ PART_GAPS = """gaps AS (
 def j1_knn_several_patterns(spark, sf):
     """Four numbers per part with gaps in three of them: several patterns and dimensions."""
     sales = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
-        F.round(F.avg("l_quantity"), 4).alias("q"), F.round(F.avg("l_discount"), 4).alias("d")
+        F.round(F.avg("l_quantity") + F.lit(2e-9), 4).alias("q"),
+        F.when(F.avg("l_discount") < 0.0550123, F.round(F.avg("l_discount") + F.lit(2e-9), 4)).alias("d"),
     )
     part = table(spark, sf, "part").select(
         "p_partkey",
         F.nullif(F.col("p_size"), F.lit(7)).alias("p_size"),
         F.when(F.col("p_type") != "PROMO", F.col("p_retailprice")).alias("p_retailprice"),
     )
-    df = part.join(sales.withColumn("d", F.when(F.col("d") < 0.055, F.col("d"))), "p_partkey", "left")
+    df = part.join(sales, "p_partkey", "left")
     columns = ["p_size", "p_retailprice", "q", "d"]
     return knn_impute(df, "p_partkey", columns).select("p_partkey", *[r6(c, 4).alias(c) for c in columns])
 

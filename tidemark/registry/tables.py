@@ -145,15 +145,15 @@ def a6_source_schema(spark, sf):
 
 
 _DICTIONARY = """dictionary AS (
-  SELECT DISTINCT 'p_brand' AS segment, p_brand AS value FROM part WHERE p_size = 1
-  UNION ALL SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part WHERE p_brand = 'Brand#1')"""
+  SELECT DISTINCT 'p_brand' AS segment, p_brand AS value FROM part WHERE p_brand <= 'Brand#20'
+  UNION ALL SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part WHERE p_size <= 40)"""
 
 
 def _dictionary_path(spark, sf):
-    """Brands made in size 1 and sizes made by one brand, as a JSON object of lists."""
+    """Brands and sizes up to a limit, as a JSON object of lists."""
     part = table(spark, sf, "part")
-    brands = part.where(F.col("p_size") == 1).agg(F.sort_array(F.collect_set("p_brand")).alias("p_brand"))
-    sizes = part.where(F.col("p_brand") == "Brand#1").agg(
+    brands = part.where(F.col("p_brand") <= "Brand#20").agg(F.sort_array(F.collect_set("p_brand")).alias("p_brand"))
+    sizes = part.where(F.col("p_size") <= 40).agg(
         F.sort_array(F.collect_set(F.col("p_size").cast("string"))).alias("p_size")
     )
     lists = brands.select(F.lit("p_brand").alias("k"), F.col("p_brand").alias("v")).unionByName(
