@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -12,6 +14,9 @@ from pyspark.sql.types import DoubleType
 from tidemark.operators.ranking import average_rank
 from tidemark.operators.series import daily_metric
 
+# The functions travel with the query, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def guarded_corr(x: str, y: str) -> Column:
     """Pearson correlation; null when either series is constant."""

@@ -10,14 +10,19 @@ thousand numbers at any data size.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+# The functions travel with the query, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DIGITS = 9
 BLOCK = 256
 
