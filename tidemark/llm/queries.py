@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +32,15 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm.near_dedup import near_duplicates
 
     return near_duplicates(_documents(spark, sf))
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.decontamination import verbatim_matches
+
+    found = verbatim_matches(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0)).cast("long")
+    found = found.withColumn("items", items)
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), longest.alias("longest"))
