@@ -44,3 +44,13 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     found = found.withColumn("items", items)
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), longest.alias("longest"))
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.packing import pack
+
+    pieces = pack(_documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
