@@ -83,3 +83,10 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     kept = without_shared_lines(_documents(spark, sf).select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+@query("op10_lm_scoring")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.lm_scoring import score
+
+    return score(_documents(spark, sf), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
