@@ -90,3 +90,18 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm.lm_scoring import score
 
     return score(_documents(spark, sf), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+
+
+@query("op4_sharding")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.sharding import byte_shards
+
+    placed = byte_shards(_documents(spark, sf))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(_documents(spark, sf))
