@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,18 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm.fingerprints import edited_fingerprints
 
     return edited_fingerprints(_documents(spark, sf))
+
+
+@query("op7_pii")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.personal_data import KINDS, personal_data
+
+    found = personal_data(_documents(spark, sf))
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, KINDS), F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
