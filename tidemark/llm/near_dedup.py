@@ -17,7 +17,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -36,6 +35,8 @@ REACH = 2 * CHUNKS - 1
 BITS = 24
 WIDTH = 5
 BLOCK = 512
+#: Pairs compared at a time.
+PAIRS = 100_000
 
 _rng = np.random.default_rng(77)
 FACTOR = _rng.integers(0, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,24 +121,58 @@ def _within(n_a: Column, n_b: Column) -> Column:
     return F.lit(100) * F.least(n_a, n_b) >= F.lit(75) * F.greatest(n_a, n_b)
 
 
-def _search(outer: pd.DataFrame, whole: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one bucket within reach, of different components, reported by the first key that they share."""
-    found = []
-    if len(outer) and len(whole):
-        slot = int(outer["slot"].iloc[0])
-        theirs = np.stack(whole["signs"].to_numpy())
-        cls, comp, n = (whole[c].to_numpy() for c in ("cls", "component", "n"))
-        for row in outer.itertuples(index=False):
-            same = theirs == np.asarray(row.signs)
-            chunks = same.reshape(-1, CHUNKS, 3)
-            left = np.stack([chunks[:, :, 1] & chunks[:, :, 2], chunks[:, :, 0] & chunks[:, :, 2], chunks[:, :, 0] & chunks[:, :, 1]], axis=2)
-            first = left.reshape(-1, SLOTS).argmax(axis=1)
-            near = (SLOTS - same.sum(axis=1) <= REACH) & (comp != row.component) & (first == slot)
-            near &= 100 * np.minimum(n, row.n) >= 75 * np.maximum(n, row.n)
-            # A pair of two outer members comes up twice; the smaller one reports it.
-            near &= ~whole["outer"].to_numpy() | (row.cls < cls)
-            found += [(min(row.cls, c), max(row.cls, c)) for c in cls[near].tolist()]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+def _pairs_of(rows: dict[str, np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of outer and whole rows of a group within reach, of different components, by the first key they share."""
+    outer, whole = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
+    low, high = (np.searchsorted(group[whole], group[outer], side) for side in ("left", "right"))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for part in np.array_split(np.arange(len(outer)), max(1, int((high - low).sum()) // PAIRS)):
+        count = (high - low)[part]
+        x = np.repeat(outer[part], count)
+        y = whole[np.repeat(low[part] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))]
+        same = rows["signs"][x] == rows["signs"][y]
+        n_x, n_y = rows["n"][x], rows["n"][y]
+        near = (SLOTS - same.sum(axis=1) <= REACH) & (rows["component"][x] != rows["component"][y])
+        near &= 100 * np.minimum(n_x, n_y) >= 75 * np.maximum(n_x, n_y)
+        # A pair of two outer members comes up twice; the smaller one reports it.
+        near &= (rows["side"][y] == 1) | (rows["cls"][x] < rows["cls"][y])
+        x, y, chunks = x[near], y[near], same[near].reshape(-1, CHUNKS, 3)
+        left = np.stack([chunks[:, :, 1] & chunks[:, :, 2], chunks[:, :, 0] & chunks[:, :, 2], chunks[:, :, 0] & chunks[:, :, 1]], axis=2)
+        own = left.reshape(-1, SLOTS).argmax(axis=1) == rows["slot"][x]
+        a, b = rows["cls"][x[own]], rows["cls"][y[own]]
+        found.append((np.minimum(a, b), np.maximum(a, b)))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, block, part), searched group by group; a group is one block against one part."""
+    names = ["key", "block", "part", "slot", "cls", "component", "n", "side", "role"]
+    held: dict[str, np.ndarray] = {}
+
+    def searched(rows: dict[str, np.ndarray], group: np.ndarray) -> pa.RecordBatch:
+        a, b = _pairs_of(rows, group)
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def groups(rows: dict[str, np.ndarray]) -> np.ndarray:
+        new = np.zeros(len(rows["key"]), dtype=bool)
+        for c in ("key", "block", "part"):
+            new[1:] |= rows[c][1:] != rows[c][:-1]
+        return np.cumsum(new)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
+        rows["signs"] = batch.column(len(names)).flatten().to_numpy().reshape(-1, SLOTS)
+        if held:
+            rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+        group = groups(rows)
+        end = int(np.searchsorted(group, group[-1]))
+        held = {c: v[end:] for c, v in rows.items()}
+        if end:
+            yield searched({c: v[:end] for c, v in rows.items()}, group[:end])
+    if held:
+        yield searched(held, groups(held))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -172,13 +207,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pending = settled(member.join(largest, "key").join(signs, "cls").withColumn("outer", F.col("component") != F.col("main")))
     blocks = F.ceil(F.col("outside") / BLOCK).cast("int")
     parts = F.ceil(F.col("members") / (8 * BLOCK)).cast("int")
-    columns = ["slot", "key", "cls", "component", "n", "signs", "outer"]
+    columns = ["slot", "cls", "component", "n", F.when(F.col("outer"), 0).otherwise(1).alias("side")]
     outer = pending.where("outer").withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    outer = outer.select(*columns, "block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("key", "block", "part", *columns, F.lit(0).alias("role"), "signs")
     whole = pending.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(1)), parts).cast("int"))
-    whole = whole.select(*columns, "part", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    whole = whole.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("key", "block", "part", *columns, F.lit(1).alias("role"), "signs")
     by = ["key", "block", "part"]
-    rest = outer.groupBy(*by).cogroup(whole.groupBy(*by)).applyInPandas(_search, "a long, b long").distinct()
+    rest = outer.union(whole).repartition(*by).sortWithinPartitions(*by, "role").mapInArrow(_search, "a long, b long")
     tried = stars.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b"))
     rest = settled(rest.join(tried, ["a", "b"], "left_anti"))
     links = links.union(confirmed(rest, docs))
