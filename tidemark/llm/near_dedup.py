@@ -2,12 +2,14 @@
 
 A signature has 3 slots in each of CHUNKS chunks. Two signatures that differ in at most 2 * CHUNKS - 1 slots
 have, by the pigeonhole principle, a chunk with at most one differing slot; each chunk is therefore indexed
-three times, each time without one slot. All pairs within that signature distance share a key. At a
-similarity of 0.75 a slot differs with probability 0.25, so a pair beyond the distance is a 1e-6 event.
-
-Groups: texts with equal shingle sets are one class. In each key's bucket the smallest class is compared with
-all others first, and what is linked becomes one component. Only buckets that still hold several components
-are searched further: members outside the bucket's largest component against the whole bucket, in blocks.
+three times, each time without one slot. All pairs within that signature distance share a key. CHECKS more
+slots of 8 bits, outside of the index, sort out pairs whose whole signatures differ in more than FAR slots. At a
+similarity of 0.75 a slot differs with probability 0.25, so a pair beyond either distance is a 1e-6 event.
+
+Groups: texts with equal shingle sets are one class. In each of ROUNDS rounds every key's bucket names a head
+out of its largest component and compares the members outside with it, one pair a member; what is linked
+becomes one component. Only buckets that then still hold several components are searched whole: members
+outside the largest component against all of the bucket, in blocks.
 """
 
 from __future__ import annotations
@@ -33,21 +35,29 @@ SLOTS = 3 * CHUNKS
 #: Largest signature distance at which the index finds every pair.
 REACH = 2 * CHUNKS - 1
 BITS = 24
+CHECKS = 98
+#: Largest distance of whole signatures: five standard deviations beyond a quarter of the slots.
+FAR = 56
+ROUNDS = 3
 WIDTH = 5
 BLOCK = 512
+PART = 1024
 #: Pairs compared at a time.
 PAIRS = 100_000
 
 _rng = np.random.default_rng(77)
-FACTOR = _rng.integers(0, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFT = _rng.integers(0, 2**63, SLOTS, dtype=np.uint64)
+FACTOR = _rng.integers(0, 2**63, SLOTS + CHECKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFT = _rng.integers(0, 2**63, SLOTS + CHECKS, dtype=np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The low bits of the smallest value of each slot's hash over the set."""
+def signature(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The low bits of the smallest value of each slot's hash over the set: indexed slots, and those that check."""
+    low = np.full(SLOTS + CHECKS, np.iinfo(np.uint64).max)
     with np.errstate(over="ignore"):
-        low = (shingles[None, :] * FACTOR[:, None] + SHIFT[:, None]).min(axis=1)
-        return (tb.mix(low) & np.uint64((1 << BITS) - 1)).astype(np.int32)
+        for s in range(0, len(shingles), 4096):
+            np.minimum(low, (shingles[None, s : s + 4096] * FACTOR[:, None] + SHIFT[:, None]).min(axis=1), out=low)
+        low = tb.mix(low)
+    return (low[:SLOTS] & np.uint64((1 << BITS) - 1)).astype(np.int32), low[SLOTS:].astype(np.uint8).tobytes()
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,20 +65,20 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, end, data, offsets in tb.slices(batch.column(1)):
             starts, ends, bounds = tb.word_bounds(data, offsets, tb.NOT_SPACE)
             words = tb.word_hashes(data, starts, ends)
-            n, digest, signs = [], [], []
+            n, digest, signs, checks = [], [], [], []
             for own in tb.shingle_sets(words, bounds, WIDTH):
                 n.append(len(own))
                 digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                signs.append(signature(own) if len(own) else None)
-            yield pa.record_batch(
-                [batch.column(0).slice(first, end - first), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(signs, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "digest", "signs"],
-            )
+                sign, check = signature(own) if len(own) else (None, None)
+                signs.append(sign)
+                checks.append(check)
+            columns = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(signs, pa.list_(pa.int32())), pa.array(checks, pa.binary())]
+            yield pa.record_batch([batch.column(0).slice(first, end - first), *columns], names=["doc_id", "n_shingles", "digest", "signs", "checks"])
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, signs) of each text; digest and signs are null for a text without words."""
-    return docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, signs array<int>")
+    """(doc_id, n_shingles, digest, signs, checks) of each text; the last three are null for a text without words."""
+    return docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, signs array<int>, checks binary")
 
 
 def _keys() -> Column:
@@ -80,99 +90,155 @@ def _keys() -> Column:
     return F.array(*keys)
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (a, b, text_a, text_b), those whose whole sets reach the similarity."""
-    last: tuple[int | None, np.ndarray] = (None, np.zeros(0))
-    for batch in batches:
-        ids = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)]
-        texts, keep = [batch.column(2), batch.column(3)], []
-        for i in range(batch.num_rows):
-            sets = []
-            for side in (0, 1):
-                if side == 1 and ids[1][i] == last[0]:
-                    sets.append(last[1])
-                    continue
-                _, _, data, offsets = next(tb.slices(texts[side].slice(i, 1)))
-                starts, ends, bounds = tb.word_bounds(data, offsets, tb.NOT_SPACE)
-                sets.append(next(tb.shingle_sets(tb.word_hashes(data, starts, ends), bounds, WIDTH)))
-            last = (ids[1][i], sets[1])
-            both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-            if 100 * both >= 75 * (len(sets[0]) + len(sets[1]) - both):
-                keep.append(i)
-        yield pa.record_batch([pa.array(ids[0][keep], pa.int64()), pa.array(ids[1][keep], pa.int64())], names=["a", "b"])
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that reach the similarity on whole shingle sets."""
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    # Rows that repeat an id have the texts of one class or of several; any text of the class has its set.
-    texts = settled(docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, "_id", "left_semi").dropDuplicates(["_id"]))
-    rows = pairs.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("text_a")), "a")
-    rows = rows.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
-
-
-def _distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
-
-
-def _within(n_a: Column, n_b: Column) -> Column:
-    """Sets whose sizes alone do not rule out the similarity."""
-    return F.lit(100) * F.least(n_a, n_b) >= F.lit(75) * F.greatest(n_a, n_b)
-
-
-def _pairs_of(rows: dict[str, np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of outer and whole rows of a group within reach, of different components, by the first key they share."""
-    outer, whole = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
-    low, high = (np.searchsorted(group[whole], group[outer], side) for side in ("left", "right"))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for part in np.array_split(np.arange(len(outer)), max(1, int((high - low).sum()) // PAIRS)):
-        count = (high - low)[part]
-        x = np.repeat(outer[part], count)
-        y = whole[np.repeat(low[part] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))]
-        same = rows["signs"][x] == rows["signs"][y]
-        n_x, n_y = rows["n"][x], rows["n"][y]
-        near = (SLOTS - same.sum(axis=1) <= REACH) & (rows["component"][x] != rows["component"][y])
-        near &= 100 * np.minimum(n_x, n_y) >= 75 * np.maximum(n_x, n_y)
-        # A pair of two outer members comes up twice; the smaller one reports it.
-        near &= (rows["side"][y] == 1) | (rows["cls"][x] < rows["cls"][y])
-        x, y, chunks = x[near], y[near], same[near].reshape(-1, CHUNKS, 3)
-        left = np.stack([chunks[:, :, 1] & chunks[:, :, 2], chunks[:, :, 0] & chunks[:, :, 2], chunks[:, :, 0] & chunks[:, :, 1]], axis=2)
-        own = left.reshape(-1, SLOTS).argmax(axis=1) == rows["slot"][x]
-        a, b = rows["cls"][x[own]], rows["cls"][y[own]]
-        found.append((np.minimum(a, b), np.maximum(a, b)))
-    return tuple(np.concatenate(c) for c in zip(*found))
-
-
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, block, part), searched group by group; a group is one block against one part."""
-    names = ["key", "block", "part", "slot", "cls", "component", "n", "side", "role"]
-    held: dict[str, np.ndarray] = {}
+def _near(n: tuple[np.ndarray, np.ndarray], same: np.ndarray, same_checks: np.ndarray) -> np.ndarray:
+    """Pairs that sizes and signatures do not rule out."""
+    index = SLOTS - same.sum(axis=1)
+    near = (index <= REACH) & (index + CHECKS - same_checks.sum(axis=1) <= FAR)
+    return near & (100 * np.minimum(*n) >= 75 * np.maximum(*n))
+
+
+def _matrix(signs: pa.Array, checks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return signs.flatten().to_numpy().reshape(-1, SLOTS), np.frombuffer(b"".join(checks.to_pylist()), np.uint8).reshape(-1, CHECKS)
 
-    def searched(rows: dict[str, np.ndarray], group: np.ndarray) -> pa.RecordBatch:
-        a, b = _pairs_of(rows, group)
-        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    def groups(rows: dict[str, np.ndarray]) -> np.ndarray:
-        new = np.zeros(len(rows["key"]), dtype=bool)
-        for c in ("key", "block", "part"):
+CELL = ["g", "block", "part"]
+MEMBER = [*CELL, "cls", "component", "role", "n", "signs", "checks"]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, list[np.ndarray]]]:
+    """Rows of whole cells out of batches sorted by cell: columns, number of the cell, shingle sets where texts are given."""
+    held: dict[str, np.ndarray] = {}
+    held_sets: list[np.ndarray] = []
+
+    def numbers(rows: dict[str, np.ndarray]) -> np.ndarray:
+        new = np.zeros(len(rows["cls"]), dtype=bool)
+        for c in CELL:
             new[1:] |= rows[c][1:] != rows[c][:-1]
         return np.cumsum(new)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
-        rows["signs"] = batch.column(len(names)).flatten().to_numpy().reshape(-1, SLOTS)
+        rows = {c: batch.column(i).to_numpy() for i, c in enumerate(MEMBER[:-2])}
+        rows["signs"], rows["checks"] = _matrix(batch.column(len(MEMBER) - 2), batch.column(len(MEMBER) - 1))
+        sets: list[np.ndarray] = []
+        for _, _, data, offsets in tb.slices(batch.column(len(MEMBER))) if batch.num_columns > len(MEMBER) else ():
+            starts, ends, bounds = tb.word_bounds(data, offsets, tb.NOT_SPACE)
+            sets += tb.shingle_sets(tb.word_hashes(data, starts, ends), bounds, WIDTH)
         if held:
-            rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
-        group = groups(rows)
-        end = int(np.searchsorted(group, group[-1]))
-        held = {c: v[end:] for c, v in rows.items()}
+            rows, sets = {c: np.concatenate([held[c], rows[c]]) for c in rows}, held_sets + sets
+        cell = numbers(rows)
+        end = int(np.searchsorted(cell, cell[-1]))
+        held, held_sets = {c: v[end:] for c, v in rows.items()}, sets[end:]
         if end:
-            yield searched({c: v[:end] for c, v in rows.items()}, group[:end])
+            yield {c: v[:end] for c, v in rows.items()}, cell[:end], sets[:end]
     if held:
-        yield searched(held, groups(held))
+        yield held, numbers(held), held_sets
+
+
+def _near_pairs(rows: dict[str, np.ndarray], cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of an outer row (role 0) and another row (role 1) of its cell, of two components, within reach; outer rows in order."""
+    outer, other = np.flatnonzero(rows["role"] == 0), np.flatnonzero(rows["role"] == 1)
+    low, high = (np.searchsorted(cell[other], cell[outer], side) for side in ("left", "right"))
+    done = np.cumsum(high - low) // PAIRS
+    for part in np.split(np.arange(len(outer)), np.flatnonzero(np.diff(done)) + 1):
+        count = (high - low)[part]
+        x = np.repeat(outer[part], count)
+        y = other[np.repeat(low[part] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))]
+        apart = rows["component"][x] != rows["component"][y]
+        x, y = x[apart], y[apart]
+        near = _near((rows["n"][x], rows["n"][y]), rows["signs"][x] == rows["signs"][y], rows["checks"][x] == rows["checks"][y])
+        yield x[near], y[near]
+
+
+def _members_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that have another row within reach in their cell."""
+    for rows, cell, _ in _cells(batches):
+        keep = np.zeros(len(cell), dtype=bool)
+        for x, y in _near_pairs(rows, cell):
+            keep[x] = keep[y] = True
+        columns = MEMBER[:6]
+        yield pa.record_batch([pa.array(rows[c][keep]) for c in columns], names=columns)
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components, confirmed on whole sets; of a cell's links, those that join what it has not joined yet."""
+    for rows, cell, sets in _cells(batches):
+        bounds = np.concatenate([[0], np.cumsum([len(own) for own in sets])])
+        shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        marked = np.zeros(int(shingle.max()) + 1, dtype=np.int32)
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                root[c] = root.get(root[c], root[c])
+                c = root[c]
+            return c
+
+        found = []
+        for xs, ys in _near_pairs(rows, cell):
+            for part in np.split(np.arange(len(xs)), np.flatnonzero(np.diff(xs)) + 1) if len(xs) else ():
+                x, y = int(xs[part[0]]), ys[part]
+                own = shingle[bounds[x] : bounds[x + 1]]
+                marked[own] = 1
+                low, high = int(y[0]), int(y[-1]) + 1
+                both = np.add.reduceat(marked[shingle[bounds[low] : bounds[high]]], bounds[low:high] - bounds[low])[y - low]
+                marked[own] = 0
+                either = len(own) + np.diff(bounds)[y] - both
+                y = y[100 * both >= 75 * either]
+                for c, first in zip(*np.unique(rows["component"][y], return_index=True)):
+                    a, b = find(int(rows["component"][x])), find(int(c))
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        found.append((int(rows["cls"][x]), int(rows["cls"][y[first]])))
+        yield pa.record_batch([pa.array([p[side] for p in found], pa.int64()) for side in (0, 1)], names=["a", "b"])
+
+
+def linked(cells: DataFrame, signs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): confirmed links between outer rows (role 0) and other rows (role 1) of the same cell.
+
+    `cells` has g, block, part, cls, component, role. Signatures decide which rows have a near partner at all;
+    only these fetch their texts, once for each cell.
+    """
+
+    def sorted_(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*CELL).sortWithinPartitions(*CELL, "role")
+
+    near = sorted_(cells.join(signs, "cls").select(*MEMBER)).mapInArrow(_members_near, "g long, block int, part int, cls long, component long, role int")
+    near = settled(near)
+    wanted = near.select(F.col("cls").alias("_id")).distinct()
+    # Rows that repeat an id may have texts of several classes; the one of the class has its digest's set.
+    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, "_id", "left_semi")
+    texts = texts.dropDuplicates(["_id"]).select(F.col("_id").alias("cls"), "text")
+    return sorted_(near.join(signs, "cls").join(texts, "cls").select(*MEMBER, "text")).mapInArrow(_links, "a long, b long")
+
+
+def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return buckets.withColumn("component", F.col("cls"))
+    found = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    return found.select("slot", "key", "cls", F.coalesce("component", "cls").alias("component"))
+
+
+def _stars(rays: DataFrame) -> DataFrame:
+    """Cells of a head (g, of component main) and up to BLOCK classes to be compared with it."""
+    sizes = rays.groupBy("g", "main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    outer = rays.join(sizes.select("g", "blocks"), "g").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    outer = outer.select("g", "block", F.lit(0).alias("part"), "cls", "component", F.lit(0).alias("role"))
+    head = sizes.select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("part"), F.col("g").alias("cls"), F.col("main").alias("component"), F.lit(1).alias("role"))
+    return outer.union(head)
+
+
+def _blocks(pending: DataFrame) -> DataFrame:
+    """Cells of BLOCK classes outside of the component g and PART classes of the same buckets, each with each."""
+    outside = F.col("component") != F.col("g")
+    sizes = pending.groupBy("g").agg(F.ceil(F.sum(outside.cast("int")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    rows = pending.join(sizes, "g")
+    outer = rows.where(outside).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*MEMBER[:5], F.lit(0).alias("role"))
+    other = rows.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("parts")).cast("int"))
+    other = other.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*MEMBER[:5], F.lit(1).alias("role"))
+    return outer.union(other)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -186,40 +252,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = settled(described(docs))
     named = rows.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signs")).alias("_c"))
-    classes = settled(classes.select("digest", F.col("_c.doc_id").alias("cls"), F.col("_c.n_shingles").alias("n"), F.col("_c.signs").alias("signs")))
+    classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signs", "checks")).alias("_c"))
+    classes = settled(classes.select("digest", F.col("_c.doc_id").alias("cls"), F.col("_c.n_shingles").alias("n"), "_c.signs", "_c.checks"))
+    signs = classes.select("cls", "n", "signs", "checks")
     keyed = classes.select("cls", F.posexplode(_keys()).alias("slot", "key"))
-    heads = keyed.groupBy("key").agg(F.min("cls").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = settled(keyed.join(heads.select("key", "head"), "key"))
-
-    signs = classes.select("cls", "n", "signs")
-    stars = buckets.where("cls != head").select("cls", "head").distinct()
-    stars = stars.join(signs, "cls").join(signs.select(F.col("cls").alias("head"), F.col("n").alias("_n"), F.col("signs").alias("_signs")), "head")
-    stars = stars.where(_within(F.col("n"), F.col("_n")) & (_distance(F.col("signs"), F.col("_signs")) <= REACH))
-    links = settled(confirmed(settled(stars.select(F.col("cls").alias("a"), F.col("head").alias("b"))), docs))
-    found = components(links, "a", "b")
-
-    member = buckets.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-    member = member.select("slot", "key", "cls", F.coalesce("component", "cls").alias("component"))
-    sizes = settled(member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size")))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("_m"), F.sum("size").alias("members"), F.count(F.lit(1)).alias("parts"))
-    largest = largest.where("parts > 1").select("key", F.col("_m.component").alias("main"), (F.col("members") - F.col("_m.size")).alias("outside"), "members")
-    pending = settled(member.join(largest, "key").join(signs, "cls").withColumn("outer", F.col("component") != F.col("main")))
-    blocks = F.ceil(F.col("outside") / BLOCK).cast("int")
-    parts = F.ceil(F.col("members") / (8 * BLOCK)).cast("int")
-    columns = ["slot", "cls", "component", "n", F.when(F.col("outer"), 0).otherwise(1).alias("side")]
-    outer = pending.where("outer").withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("key", "block", "part", *columns, F.lit(0).alias("role"), "signs")
-    whole = pending.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(1)), parts).cast("int"))
-    whole = whole.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("key", "block", "part", *columns, F.lit(1).alias("role"), "signs")
-    by = ["key", "block", "part"]
-    rest = outer.union(whole).repartition(*by).sortWithinPartitions(*by, "role").mapInArrow(_search, "a long, b long")
-    tried = stars.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b"))
-    rest = settled(rest.join(tried, ["a", "b"], "left_anti"))
-    links = links.union(confirmed(rest, docs))
-    linked = components(links, "a", "b").withColumnRenamed("node", "cls")
-
-    of_class = classes.select("digest", "cls").join(linked, "cls", "left").select("digest", F.coalesce("component", "cls").alias("_component"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
+    buckets = settled(keyed.join(shared, "key"))
+
+    labels = links = None
+    for turn in range(ROUNDS):
+        member = _labelled(buckets, labels)
+        sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("cls", F.lit(turn)), "cls"))["cls"].alias("head"))
+        heads = sizes.groupBy("key").agg(F.max(F.struct("size", F.xxhash64("component", F.lit(turn)), "component", "head")).alias("_m"), F.count(F.lit(1)).alias("parts"))
+        heads = heads.where("parts > 1").select("key", F.col("_m.component").alias("main"), F.col("_m.head").alias("g"))
+        rays = settled(member.join(heads, "key").where("component != main").select("g", "main", "cls", "component").distinct())
+        new = settled(linked(_stars(rays), signs, docs))
+        links = new if links is None else links.union(new)
+        if turn and new.isEmpty():
+            break
+        labels = components(links, "a", "b")
+
+    member = _labelled(buckets, labels)
+    sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("size", "component"))["component"].alias("g"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    pending = settled(member.join(main.select("key", "g"), "key").select("g", "cls", "component").distinct())
+    links = links.union(linked(_blocks(pending), signs, docs))
+    every = components(links, "a", "b").withColumnRenamed("node", "cls")
+
+    of_class = classes.select("digest", "cls").join(every, "cls", "left").select("digest", F.coalesce("component", "cls").alias("_component"))
     out = rows.join(of_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
