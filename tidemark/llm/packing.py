@@ -11,7 +11,9 @@ block gets one window more and is partitioned again.
 from __future__ import annotations
 
 import heapq
+import os
 import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,11 @@ WINDOWS = 64
 END_ID = 2
 #: Words whose ids a worker remembers before it starts anew.
 REMEMBERED = 1 << 20
+SLICE_BYTES = 2 << 20
+#: 1 for ASCII letters, 2 for what ends clauses; neighbours that add up to 3 belong to two parts.
+KIND = np.full(256, 4, dtype=np.uint8)
+KIND[65:91] = KIND[97:123] = 1
+KIND[[44, 46]] = 2
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -87,50 +94,73 @@ def packed(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
 
 
 class Encoder:
-    """Ids of texts from the ids of their words: the tokenizer never joins what white space parts.
+    """Ids of texts from the ids of their parts: what the tokenizer never joins is tokenized once and remembered.
 
-    A word is known by its 64-bit hash; words of a slice that are new to this worker are tokenized once.
+    Parts are bounded by white space, and by a change between ASCII letters and full stops or commas. A part is
+    known by its 64-bit hash with A-Z lower-cased, as the tokenizer lower-cases.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.forget()
 
+    @staticmethod
+    def of_worker(path: str) -> Encoder:
+        """The encoder of this Python worker: it outlives a task, so later tasks find its words known."""
+        state = sys.modules.setdefault("_worker_encoders", types.ModuleType("_worker_encoders"))
+        if path not in vars(state):
+            vars(state)[path] = Encoder(path)
+        return vars(state)[path]
+
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
         self.starts = self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lists = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(counts.sum()))
-        starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-        sizes = np.concatenate([self.sizes, counts])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known)
-        self.known, self.starts, self.sizes = known[order], starts[order], sizes[order]
-        self.ids = np.concatenate([self.ids, flat])
+        return np.array([i for ids in lists for i in ids], np.uint32), counts
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters only, tokenized as texts of many words: the last id of each word closes it."""
+        texts = [" ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(self.closes[flat]) + 1
+        return (flat, np.diff(ends, prepend=0)) if len(ends) == len(words) and ends[-1] == len(flat) else self._one_by_one(words)
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        plain = np.fromiter((w.isalpha() for w in words), bool, len(words))
+        for own, encode in ((np.flatnonzero(plain), self._together), (np.flatnonzero(~plain), self._one_by_one)):
+            if len(own):
+                flat, counts = encode([words[i] for i in own.tolist()])
+                at = np.searchsorted(self.known, hashes[own])
+                self.known = np.insert(self.known, at, hashes[own])
+                self.starts = np.insert(self.starts, at, len(self.ids) + np.cumsum(counts) - counts)
+                self.sizes = np.insert(self.sizes, at, counts)
+                self.ids = np.concatenate([self.ids, flat])
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of the column, END_ID behind them."""
-        for begin, end, data, offsets in tb.slices(column):
-            starts, ends, first = tb.word_bounds(data, offsets, tb.NOT_SPACE)
-            hashes = tb.word_hashes(data, starts, ends, fold=False)
+        for begin, end, data, offsets in tb.slices(column, SLICE_BYTES):
+            starts, ends, first = _parts(data, offsets)
+            hashes = tb.word_hashes(data, starts, ends)
             own, one, back = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.known) > REMEMBERED:
                 self.forget()
-            at = np.searchsorted(self.known, own)
-            fresh = np.ones(len(own), dtype=bool)
-            inside = at < len(self.known)
-            fresh[inside] = self.known[at[inside]] != own[inside]
+            at = np.minimum(np.searchsorted(self.known, own), max(0, len(self.known) - 1))
+            fresh = self.known[at] != own if len(self.known) else np.ones(len(own), dtype=bool)
             if fresh.any():
-                s, e, raw = starts[one[fresh]], ends[one[fresh]], data.tobytes()
-                self.learn(own[fresh], [raw[x:y].decode() for x, y in zip(s.tolist(), e.tolist())])
+                raw = data.tobytes()
+                self.learn(own[fresh], [raw[x:y].decode() for x, y in zip(starts[one[fresh]].tolist(), ends[one[fresh]].tolist())])
                 at = np.searchsorted(self.known, own)
-            start, size = (self.starts[at][back], self.sizes[at][back]) if len(own) else (np.zeros(0, np.int64),) * 2
+            start, size = self.starts[at][back], self.sizes[at][back]
             stop = np.cumsum(size)
             ids = self.ids[np.repeat(start - stop + size, size) + np.arange(int(size.sum()))]
             bound = np.concatenate([[0], stop])[first]
@@ -138,6 +168,14 @@ class Encoder:
                 yield np.append(ids[a:b], np.uint32(END_ID))
 
 
+def _parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends, _ = tb.word_bounds(data, offsets, tb.NOT_SPACE)
+    kind = KIND[data]
+    cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+    starts, ends = (np.sort(np.concatenate([bounds, cuts])) for bounds in (starts, ends))
+    return starts, ends, np.searchsorted(starts, offsets, "left")
+
+
 def _blocks(rows: Iterator[tuple[int | None, np.ndarray]], capacity: int, windows: int) -> Iterator[tuple[list, list]]:
     """Pieces (doc_id, start, ids, doc_tokens) block by block: those that fill a window, and those to be packed.
 
@@ -157,12 +195,12 @@ def _blocks(rows: Iterator[tuple[int | None, np.ndarray]], capacity: int, window
                 rest.append((doc_id, s, ids[s : s + size], n))
                 held += size
             s += size
-            if held >= limit or len(full) >= windows:
-                full_block = held >= limit
-                yield full, rest if full_block else []
+            if held >= limit:
+                yield full, rest
+                full, rest, held = [], [], 0
+            elif len(full) >= windows:
+                yield full, []
                 full = []
-                if full_block:
-                    rest, held = [], 0
     if full or rest:
         yield full, rest
 
@@ -177,7 +215,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, windows: int
     """
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.of_worker(tokenizer)
         number = TaskContext.get().partitionId() << 40
 
         def rows() -> Iterator[tuple[int | None, np.ndarray]]:
