@@ -120,3 +120,10 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", *map(number, KINDS), F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.language import predict
+
+    return predict(_documents(spark, sf), F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
