@@ -127,3 +127,10 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm.language import predict
 
     return predict(_documents(spark, sf), F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.toxicity import score
+
+    return score(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
