@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType
 
 from tidemark.session import settled
 
@@ -109,7 +110,7 @@ def _stream(least: int):
     return tasks
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _bitmap(positions: pd.Series) -> pd.Series:
     def one(dropped: np.ndarray) -> bytes:
         keep = np.ones(int(dropped.max()) + 1, dtype=bool)
@@ -119,7 +120,7 @@ def _bitmap(positions: pd.Series) -> pd.Series:
     return positions.map(lambda p: one(np.asarray(p)))
 
 
-@F.pandas_udf("array<boolean>")
+@F.pandas_udf(ArrayType(BooleanType()))
 def bitmap_lines(bitmaps: pd.Series) -> pd.Series:
     """Keep or drop for each line up to the last dropped one; the lines behind it are kept."""
 

@@ -134,3 +134,10 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm.toxicity import score
 
     return score(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
