@@ -42,6 +42,7 @@ ROUNDS = 3
 WIDTH = 5
 BLOCK = 512
 PART = 1024
+SIEVE = 1 << 19
 #: Pairs compared at a time.
 PAIRS = 100_000
 
@@ -72,13 +73,15 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sign, check = signature(own) if len(own) else (None, None)
                 signs.append(sign)
                 checks.append(check)
+            named = [batch.column(c).slice(first, end - first) for c in (0, 2)]
             columns = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(signs, pa.list_(pa.int32())), pa.array(checks, pa.binary())]
-            yield pa.record_batch([batch.column(0).slice(first, end - first), *columns], names=["doc_id", "n_shingles", "digest", "signs", "checks"])
+            yield pa.record_batch([*named, *columns], names=["doc_id", "print", "n_shingles", "digest", "signs", "checks"])
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, signs, checks) of each text; the last three are null for a text without words."""
-    return docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, signs array<int>, checks binary")
+    """(doc_id, print, n_shingles, digest, signs, checks) of each text; the last three are null for a text without words."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print"))
+    return rows.mapInArrow(_describe, "doc_id long, print long, n_shingles long, digest binary, signs array<int>, checks binary")
 
 
 def _keys() -> Column:
@@ -194,6 +197,21 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([p[side] for p in found], pa.int64()) for side in (0, 1)], names=["a", "b"])
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_id, text) of the wanted (_id, _print), one text each.
+
+    A table of the hash values modulo SIEVE, at most SIEVE rows at any size, first lets through the rows that can
+    be wanted, so other texts are not shuffled.
+    """
+
+    def sieve() -> Column:
+        return F.pmod(F.xxhash64("_id"), F.lit(SIEVE))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_print")).withColumn("_s", sieve())
+    rows = rows.join(F.broadcast(wanted.select(sieve().alias("_s")).distinct()), "_s", "left_semi").drop("_s")
+    return rows.join(wanted.hint("merge"), ["_id", "_print"], "left_semi").dropDuplicates(["_id"])
+
+
 def linked(cells: DataFrame, signs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): confirmed links between outer rows (role 0) and other rows (role 1) of the same cell.
 
@@ -206,10 +224,8 @@ def linked(cells: DataFrame, signs: DataFrame, docs: DataFrame) -> DataFrame:
 
     near = sorted_(cells.join(signs, "cls").select(*MEMBER)).mapInArrow(_members_near, "g long, block int, part int, cls long, component long, role int")
     near = settled(near)
-    wanted = near.select(F.col("cls").alias("_id")).distinct()
-    # Rows that repeat an id may have texts of several classes; the one of the class has its digest's set.
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, "_id", "left_semi")
-    texts = texts.dropDuplicates(["_id"]).select(F.col("_id").alias("cls"), "text")
+    wanted = near.select("cls").distinct().join(signs.select("cls", "print"), "cls").select(F.col("cls").alias("_id"), F.col("print").alias("_print"))
+    texts = _texts(docs, wanted).select(F.col("_id").alias("cls"), "text")
     return sorted_(near.join(signs, "cls").join(texts, "cls").select(*MEMBER, "text")).mapInArrow(_links, "a long, b long")
 
 
@@ -246,15 +262,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts are linked when 100 * intersection >= 75 * union of their sets of 5-word shingles; component_id is the
     smallest doc_id that links reach, kept marks that document. A null or wordless text has no shingles and is
-    linked with nothing. Rows that repeat a doc_id with one text share their class. A row without doc_id is not
+    linked with nothing. Rows that repeat a doc_id with one text share their class; with several texts one of them
+    is linked to others, and the rest stand alone. A row without doc_id is not
     linked, has no component and is kept. An empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
     rows = settled(described(docs))
     named = rows.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signs", "checks")).alias("_c"))
-    classes = settled(classes.select("digest", F.col("_c.doc_id").alias("cls"), F.col("_c.n_shingles").alias("n"), "_c.signs", "_c.checks"))
-    signs = classes.select("cls", "n", "signs", "checks")
+    classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "print", "n_shingles", "signs", "checks")).alias("_c"))
+    # One class a doc_id: rows that repeat an id with another text are linked by one of their texts only.
+    classes = classes.groupBy(F.col("_c.doc_id").alias("cls")).agg(F.min(F.struct("_c.print", "digest", "_c.n_shingles", "_c.signs", "_c.checks")).alias("_c"))
+    classes = settled(classes.select("cls", "_c.print", "_c.digest", F.col("_c.n_shingles").alias("n"), "_c.signs", "_c.checks"))
+    signs = classes.select("cls", "print", "n", "signs", "checks")
     keyed = classes.select("cls", F.posexplode(_keys()).alias("slot", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     buckets = settled(keyed.join(shared, "key"))
