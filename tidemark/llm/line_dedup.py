@@ -158,18 +158,24 @@ def without_shared_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_
     """The rows of `docs` with all columns, `text` cut to its kept lines, and `n_lines`, `n_dropped` (long).
 
     A null or empty text is one empty line; a null text stays null, a text that loses all its lines becomes
-    empty. An empty table stays empty. Columns named n_lines, n_dropped or starting with an underscore would clash
-    and are replaced or must not be given.
+    empty. An empty table stays empty. Columns named n_lines or n_dropped are replaced.
     """
-    bitmaps = keep_bitmaps(docs, least_chars, least_docs)
-    bitmaps = bitmaps.select(F.col("doc").alias("_doc"), F.col("print").alias("_print"), bitmap_lines("bitmap").alias("_keep"))
-    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == bitmaps["_doc"]) & (F.xxhash64(docs["text"]) == bitmaps["_print"])
+    doc, mark, keep = (_free(docs, name) for name in ("_doc", "_print", "_keep"))
+    bitmaps = keep_bitmaps(docs.select("doc_id", "text"), least_chars, least_docs)
+    bitmaps = bitmaps.select(F.col("doc").alias(doc), F.col("print").alias(mark), bitmap_lines("bitmap").alias(keep))
+    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == bitmaps[doc]) & (F.xxhash64(docs["text"]) == bitmaps[mark])
     rows = docs.join(bitmaps, same, "left")
-    kept = F.filter(_lines(F.col("text")), lambda line, i: F.coalesce(F.get(F.col("_keep"), i), F.lit(True)))
-    dropped = F.coalesce(F.size(F.filter("_keep", lambda k: ~k)), F.lit(0))
+    kept = F.filter(_lines(F.col("text")), lambda line, i: F.coalesce(F.get(F.col(keep), i), F.lit(True)))
+    dropped = F.coalesce(F.size(F.filter(keep, lambda k: ~k)), F.lit(0))
     rows = rows.withColumns({
         "n_lines": F.size(_lines(F.col("text"))).cast("long"),
-        "n_dropped": F.when(F.col("_keep").isNull(), 0).otherwise(dropped).cast("long"),
-        "text": F.when(F.col("_keep").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
+        "n_dropped": F.when(F.col(keep).isNull(), 0).otherwise(dropped).cast("long"),
+        "text": F.when(F.col(keep).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
     })
-    return rows.drop("_doc", "_print", "_keep")
+    return rows.drop(doc, mark, keep)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
