@@ -40,6 +40,8 @@ BEGINNING = 4
 LEAST_LENGTH = 6
 LEAST_ODDS = 1.5
 VOTERS = 13
+#: Weight, in rows, of what is thought of a voter beforehand.
+PRIOR = 4.0
 
 
 @dataclass
@@ -191,20 +193,23 @@ def posteriors(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray, rou
     """Probability of class 1 of each pattern, and the tree of correlations; labels are 0, 1, or -1 for none."""
     votes = (patterns[:, None] >> np.arange(VOTERS)) & 1
     counts = counts.astype(float)
-    signs = np.where(np.arange(VOTERS) >= 11, -1, 1)
-    post = 1 / (1 + np.exp(-(votes * signs).sum(axis=1).clip(-6, 6).astype(float)))
+    # What is thought of a voter before any vote: how often it votes in a clean and in a toxic text.
+    often = np.where(np.arange(VOTERS) >= 11, [[0.9], [0.1]], [[0.05], [0.5]])
+    before = PRIOR * np.stack([1 - often, often], axis=2)
+    log = np.log([0.9, 0.1])[:, None] + sum(np.log(before[:, v, :] / PRIOR)[:, votes[:, v]] for v in range(VOTERS))
+    post = 1 / (1 + np.exp(np.clip(log[0] - log[1], -6, 6)))
     parent = np.full(VOTERS, -1)
     for turn in range(rounds):
         post = np.where(labels >= 0, labels, post)
         weight = np.stack([counts * (1 - post), counts * post])
         if turn % 10 == 0:
             parent = _tree(votes, weight)
-        prior = (weight.sum(axis=1) + 1) / (counts.sum() + 2)
+        prior = (weight.sum(axis=1) + [9, 1]) / (counts.sum() + 10)
         log = np.log(prior)[:, None] + np.zeros((2, len(votes)))
         for v in range(VOTERS):
             given = votes[:, parent[v]] if parent[v] >= 0 else np.zeros(len(votes), dtype=int)
             for c in (0, 1):
-                table = np.ones((2, 2))
+                table = np.stack([before[c, v]] * 2)
                 np.add.at(table, (given, votes[:, v]), weight[c])
                 log[c] += np.log(table / table.sum(axis=1, keepdims=True))[given, votes[:, v]]
         post = 1 / (1 + np.exp(np.clip(log[0] - log[1], -40, 40)))
