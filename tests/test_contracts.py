@@ -265,9 +265,13 @@ def test_box_hides_outliers(spark):
     assert (row["q1"], row["median"], row["q3"], row["whisker_low"], row["whisker_high"]) == (2.25, 3.5, 4.75, 1.0, 5.0)
 
 
-def test_wide_export_and_cap(spark):
+def test_wide_export_in_blocks(spark):
     df = spark.createDataFrame([(d(1), "s", "a", 1.0), (d(2), "s", "b", 2.0)], "day date, segment string, group string, z double")
-    wide = to_wide(df, "day", "z", wide_names(df, "z")).orderBy("day")
+    (segment, names), = wide_names(df, "z")
+    assert segment == "s" and [n for _, n in wide_names(df, "z", 1)] == [["z_s_a"], ["z_s_b"]]
+    many = spark.range(5100).selectExpr("concat('s', id % 2) AS segment", "cast(id AS string) AS group", "1.0 AS z")
+    assert [len(n) for _, n in wide_names(many, "z", 2000)] == [2000, 550, 2000, 550]
+    wide = to_wide(df, "day", "z", names).orderBy("day")
     assert wide.columns == ["day", "z_s_a", "z_s_b"]
     assert [tuple(r)[1:] for r in wide.collect()] == [(1.0, None), (None, 2.0)]
 

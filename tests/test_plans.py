@@ -80,8 +80,8 @@ def test_quantiles_of_a_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     names = ["a", "b", "c", "d"]
     probs = [0.0, 0.25, 0.5, 0.99]
-    for rounds, bins in ((1, 16), (2, 64)):
-        got = {r["g"]: [r[n] for n in names] for r in exact_quantiles(df, ["g"], "v", probs, names, bins, rounds).collect()}
+    for limit, bins in ((5, 16), (100, 4), (20_000, 64)):
+        got = {r["g"]: [r[n] for n in names] for r in exact_quantiles(df, ["g"], "v", probs, names, bins, limit).collect()}
         want = df.where("g IS NOT NULL AND v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
         expected = {r["g"]: list(r["q"]) for r in want.collect()}
         assert got.keys() == expected.keys()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,18 +16,18 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clip(x: Column, low: float, high: float) -> Column:
-    """Null stays null; `greatest` and `least` alone would skip it."""
-    return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))
-
-
 def nan_to_null(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def clip(x: Column, low: float, high: float) -> Column:
+    """Null and NaN give null; `greatest` and `least` alone would skip the one and take the other for the largest number."""
+    return F.when(x.isNotNull() & ~F.isnan(x), F.greatest(F.lit(low), F.least(F.lit(high), x)))
+
+
 def clipped_ratio(a: str | Column, b: str | Column, low: float = -1.0, high: float = 1.0) -> Column:
-    """a/b held inside [low, high]; a zero divisor gives the bound on the side of a, and 0/0 gives null."""
-    num, den = _col(a), _col(b)
+    """a/b held inside [low, high]; a zero divisor gives the bound on the side of a, 0/0 and NaN on either side give null."""
+    num, den = nan_to_null(_col(a)), nan_to_null(_col(b))
     return (
         F.when(den != 0, clip(num / den, low, high))
         .when((den == 0) & (num > 0), F.lit(high))
@@ -74,10 +76,14 @@ def placeholder(c: str | Column, text: str = "missing") -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(text))
 
 
-def text_null(c: str | Column) -> Column:
-    """The text `nan` and the empty text mean a missing value."""
+#: Texts that readers of delimited files take for a missing value.
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def text_null(c: str | Column, missing: Sequence[str] = MISSING_TEXTS) -> Column:
+    """Null for the texts that mean a missing value."""
     column = _col(c)
-    return F.when(~column.isin("nan", ""), column)
+    return F.when(~column.isin(*missing), column)
 
 
 def last_token(c: str | Column, sep: str = "_") -> Column:

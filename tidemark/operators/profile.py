@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from tidemark.operators.quantiles import quantiles_of_counts, value_counts
+from tidemark.operators.quantiles import LIMIT, quantiles_of_counts, value_counts
 from tidemark.operators.salting import salted_join
 
 BINS = 30
@@ -106,10 +106,10 @@ def rows_of_top_groups(df: DataFrame, group: str, metric: str, k: int = 10) -> D
     return df.join(F.broadcast(top_groups(df, group, metric, k).select(group)), group, "left_semi")
 
 
-def box_statistics(df: DataFrame, group: str, metric: str, bins: int = 1024, rounds: int = 2) -> DataFrame:
+def box_statistics(df: DataFrame, group: str, metric: str, bins: int = 1024, limit: int = LIMIT) -> DataFrame:
     """(group, n, q1, median, q3, whisker_low, whisker_high); whiskers end at data inside 1.5 IQR."""
     counts = value_counts(df, [group], metric)
-    quartiles = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75], ["q1", "median", "q3"], bins, rounds)
+    quartiles = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75], ["q1", "median", "q3"], bins, limit)
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
     return (

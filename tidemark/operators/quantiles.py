@@ -2,8 +2,8 @@
 
 `percentile` keeps every distinct value of a group in one task. Here a group is narrowed instead: values
 are counted, counts are binned, the bin that holds the wanted rank is kept, and the next round bins only
-that range. Ranges end at values that occur, so an outlier costs one round. Per group a task sees at most
-`bins` rows, and the last step a sliver of the distinct values.
+that range, until no range holds more than `limit` distinct values. Ranges end at values that occur, so each
+round leaves out at least the values at one end, and a long tail costs rounds, not one large task.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.salting import salted_join
+from tidemark.session import settled
+
+LIMIT = 20_000
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -40,6 +43,7 @@ def _ranks(sizes: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> Dat
         "_lo",
         "_hi",
         F.lit(0).cast("long").alias("_below"),
+        F.col("_values").alias("_inside"),
     )
 
 
@@ -56,10 +60,11 @@ def _narrow(counts: DataFrame, state: DataFrame, keys: Sequence[str], bins: int)
             F.sum("_n").alias("_n"),
             F.min("_v").alias("_lo"),
             F.max("_v").alias("_hi"),
+            F.count(F.lit(1)).alias("_inside"),
             F.first("_below").alias("_below"),
         )
     )
-    return _holding(binned, keys, "_bin").select(*keys, "_rank", "_lo", "_hi", "_below")
+    return _holding(binned, keys, "_bin").select(*keys, "_rank", "_lo", "_hi", "_below", "_inside")
 
 
 def _holding(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -72,22 +77,33 @@ def _holding(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     )
 
 
+def _largest(state: DataFrame) -> int:
+    return state.agg(F.max("_inside").alias("n")).first()["n"] or 0
+
+
 def quantiles_of_counts(
     counts: DataFrame,
     keys: Sequence[str],
     probs: Sequence[float],
     names: Sequence[str],
     bins: int = 1024,
-    rounds: int = 2,
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """(keys, n, one column per probability) from `value_counts`, linear between neighbours."""
+    """(keys, n, one column per probability) from `value_counts`, linear between neighbours.
+
+    Ranges above `limit` distinct values are narrowed round by round; the ranges of a round are one row for each
+    (keys, wanted rank), and only the size of the largest reaches the driver. Counts are written once where a
+    round is needed.
+    """
     keys = list(keys)
-    sizes = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("_size"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
+    sizes = settled(counts.groupBy(*keys).agg(
+        F.sum("_n").alias("_size"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_values")
+    ))
     state = _ranks(sizes, keys, probs)
-    for _ in range(rounds):
-        state = _narrow(counts, state, keys, bins)
+    if _largest(state) > limit:
+        counts = settled(counts)
+    while _largest(state) > limit:
+        state = settled(_narrow(counts, state, keys, bins))
     last = salted_join(counts, state, keys, ["_v"]).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     picked = _holding(last, keys, "_v").select(*keys, "_rank", "_v")
     by_rank = picked.groupBy(*keys).agg(
@@ -110,7 +126,7 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     bins: int = 1024,
-    rounds: int = 2,
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """Exact interpolated quantiles of `value` per group. More rounds for values with very long tails."""
-    return quantiles_of_counts(value_counts(df, keys, value), keys, probs, names, bins, rounds)
+    """Exact interpolated quantiles of `value` per group; no task sees more than `limit` distinct values of one."""
+    return quantiles_of_counts(value_counts(df, keys, value), keys, probs, names, bins, limit)

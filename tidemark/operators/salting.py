@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-
 
 def salted_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "inner", salts: int = SALTS
+    big: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str], how: str = "inner", salts: int | None = None
 ) -> DataFrame:
     """Equi join on `keys` with the rows of each key spread over `salts` tasks by the `spread` columns.
 
-    The summary is repeated `salts` times. An aggregate that follows on the same keys then gets its own
-    exchange behind a map-side combine, where a plain join would leave the group in one task.
+    By default a key can fill as many tasks as the session has shuffle partitions. The summary is
+    repeated `salts` times. An aggregate that follows on the same keys then gets its own exchange behind a
+    map-side combine, where a plain join would leave the group in one task.
     """
+    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Never null, so no filter is derived from the join that would tell this use of `big` from others.
     salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(salts)), F.lit(0).cast("long"))
     left = big.withColumn("_salt", salt)

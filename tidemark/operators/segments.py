@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import clip, infinite_to_zero, zero_when_flat
+from tidemark.functions.scalars import clip, infinite_to_zero, nan_to_null, zero_when_flat
 from tidemark.operators.series import daily_metric
 
 CONTRIBUTION_DIGITS = 9
-MAX_WIDE = 5000
+WIDE_COLUMNS = 2000
 
 
 def segment_columns(df: DataFrame, day: str, metric: str) -> list[str]:
@@ -70,8 +70,9 @@ def with_contribution(
 
 
 def rolling_anomaly(z: str | Column, threshold: float) -> Column:
+    """A null or NaN score is no anomaly."""
     column = F.col(z) if isinstance(z, str) else z
-    return F.coalesce(F.abs(column) > threshold, F.lit(False))
+    return F.coalesce(nan_to_null(F.abs(column)) > threshold, F.lit(False))
 
 
 def _strength(contribution: Column) -> Column:
@@ -110,12 +111,19 @@ def significant_groups(
     )
 
 
-def wide_names(df: DataFrame, measure: str) -> list[str]:
-    """Sorted column names of the wide form; an error beyond MAX_WIDE, where the long form is the export."""
-    rows = df.select("segment", "group").distinct().limit(MAX_WIDE + 1).collect()
-    if len(rows) > MAX_WIDE:
-        raise ValueError(f"more than {MAX_WIDE} groups: keep the long form")
-    return sorted(f"{measure}_{r['segment']}_{r['group']}" for r in rows)
+def wide_names(df: DataFrame, measure: str, columns: int = WIDE_COLUMNS) -> Iterator[tuple[str, list[str]]]:
+    """(segment, sorted column names of the wide form), at most `columns` names at a time; all groups come in some block."""
+    rows = df.select("segment", F.concat_ws("_", F.lit(measure), "segment", "group").alias("_name")).distinct()
+    block: list[str] = []
+    segment = None
+    for row in rows.orderBy("segment", "_name").toLocalIterator():
+        if block and (row["segment"] != segment or len(block) == columns):
+            yield segment, block
+            block = []
+        segment = row["segment"]
+        block.append(row["_name"])
+    if block:
+        yield segment, block
 
 
 def to_wide(df: DataFrame, day: str, measure: str, names: Sequence[str]) -> DataFrame:

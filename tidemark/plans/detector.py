@@ -32,6 +32,14 @@ class SegmentAnomalies:
     base: DataFrame
 
 
+def _known(df: DataFrame, day: str, metric: str, segments: Sequence[str]) -> DataFrame:
+    """The columns in use, with NaN as null."""
+    source = df.select(day, metric, *segments)
+    if source.schema[metric].dataType.typeName() in ("double", "float"):
+        source = source.withColumn(metric, nan_to_null(F.col(metric)))
+    return source
+
+
 def base_series(df: DataFrame, day: str, metric: str, func: str | Callable[[Column], Column]) -> DataFrame:
     """(day, metric, total_count, delta_all) over all rows: one row per calendar day."""
     daily = daily_metric(df, day, metric, func).select(
@@ -60,6 +68,8 @@ def score_groups(
     Series, scores and group sizes share one exchange on (segment, group). The base series holds one row
     per calendar day, so it is broadcast.
     """
+    segments = list(segments) if segments else segment_columns(df, day, metric)
+    df = _known(df, day, metric, segments)
     daily = group_daily(df, day, metric, func, segments).withColumnRenamed(day, "day")
     large = keep_large_groups(daily, min_group_size).drop("n_rows")
     moved = with_delta(large, "day", "metric", SERIES)
@@ -110,9 +120,7 @@ def segment_anomalies(
     groups are all too small is absent.
     """
     segments = list(segments) if segments else segment_columns(df, day, metric)
-    source = df.select(day, metric, *segments)
-    if source.schema[metric].dataType.typeName() in ("double", "float"):
-        source = source.withColumn(metric, nan_to_null(F.col(metric)))
+    source = _known(df, day, metric, segments)
     base = base_series(source, day, metric, func)
     scored = score_groups(source, day, metric, func, segments, base=base, **options)
     return SegmentAnomalies(
@@ -137,11 +145,10 @@ def detect_to_tables(
 ) -> None:
     """Run the detector and write its three tables.
 
-    The base and the scored series are written first and everything else reads those copies, so the source
-    is scored once.
+    The source is read once for the base series and once for the groups; everything else reads the written copies.
     """
     segments = list(segments) if segments else segment_columns(df, day, metric)
-    result = segment_anomalies(df, day, metric, segments=segments, **options)
-    base = write_table(result.base, f"{path}/base")
-    scored = write_table(result.scored, f"{path}/scored")
+    base = base_series(_known(df, day, metric, segments), day, metric, options.get("func", "mean"))
+    base = write_table(base, f"{path}/base")
+    scored = write_table(score_groups(df, day, metric, segments=segments, base=base, **options), f"{path}/scored")
     write_detector(significant_table(base, scored, segments, z_threshold, winner), scored, path, wide)

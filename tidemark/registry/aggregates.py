@@ -126,21 +126,30 @@ def d4_cell_day_counts(spark, sf):
     return _counts(spark, sf)
 
 
-def _sql_ids(ids):
-    return ", ".join(str(i) for i in ids)
-
-
-def rule_sql(name):
-    r = RULES[name]
-    cond = (
-        f"vas_vas_id IN ({_sql_ids(r.services)})"
-        if r.services
-        else f"detg_detg_id IN ({_sql_ids(r.charges)}) AND lcal_lcal_id IN ({_sql_ids(r.call_types)})"
+# Fixed values, written out here as well so that a wrong id in the plan shows.
+_MN = "detg_detg_id IN (30, 3379, 22) AND lcal_lcal_id IN (16, 17, 18, 19, 20, 21, 94)"
+_GOR = "detg_detg_id IN (21, 30, 3383) AND lcal_lcal_id IN (7, 14, 15, 227, 228)"
+_OPER = (
+    "detg_detg_id IN (21, 30, 3383, 3380, 3381) AND lcal_lcal_id IN (6, 13, 225, 468, 469, 470, 471, 472, 473, 474, 475,"
+    " 476, 477, 478, 479, 480, 481, 482, 483, 484, 485, 486, 505, 506, 507, 508, 509, 510)"
+)
+_SMS = (
+    "detg_detg_id IN (25, 32, 42) AND lcal_lcal_id IN (23, 24, 26, 27, 28, 29, 30, 31, 33, 34, 36, 552, 553, 554, 555,"
+    " 556, 487, 488, 489, 490, 491, 492, 493, 494, 495, 496, 497, 498, 499, 500, 501, 502, 503, 504)"
+)
+RULE_SQL = ", ".join(
+    f"CAST(sum(CASE WHEN {condition} THEN {value} ELSE 0 END) AS DOUBLE) AS {name}"
+    for name, condition, value in (
+        ("product_perepl_mn", _MN, "amount"),
+        ("product_perepl_gor", _GOR, "amount"),
+        ("product_perepl_oper", _OPER, "amount"),
+        ("product_perepl_sms", _SMS, "amount"),
+        ("product_uderzh", "vas_vas_id = 10600078", "revenue"),
+        ("product_kz", "vas_vas_id = 10600050", "revenue"),
+        ("product_gpya", "vas_vas_id = 10600045", "revenue"),
+        ("product_zkz", "vas_vas_id = 10600095", "revenue"),
     )
-    return f"CAST(sum(CASE WHEN {cond} THEN {r.value} ELSE 0 END) AS DOUBLE) AS {name}"
-
-
-RULE_SQL = ", ".join(rule_sql(n) for n in RULES)
+)
 CHARGE_SQL = (
     "(vas_vas_id IN (10600078, 10600050, 10600045, 10600095)"
     " OR detg_detg_id IN (30, 3379, 22, 21, 3383, 3380, 3381, 25, 32, 42))"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.categories import category_impute, mode_impute, placeholder_impute
@@ -42,6 +44,7 @@ from tidemark.registry.standins import (
     survey,
     table,
 )
+from tidemark.session import settled
 
 
 @query(
@@ -54,15 +57,17 @@ def i1_long_form(spark, sf):
 
 @query(
     "i2_wide_form",
-    f"WITH {SURVEY} SELECT day, "
-    + ", ".join(
-        f"""{s6(f"avg(nps) FILTER (l_returnflag = '{g}')")} AS metric_l_returnflag_{g}""" for g in ("A", "N", "R")
-    )
-    + " FROM survey GROUP BY day",
+    f"""WITH {LONG} SELECT day, 'metric_' || segment || '_' || grp AS name, {s6("avg(nps)")} AS metric
+      FROM long WHERE grp IS NOT NULL GROUP BY day, segment, grp HAVING avg(nps) IS NOT NULL""",
 )
 def i2_wide_form(spark, sf):
-    daily = group_daily(survey(spark, sf), "day", "nps", "mean", ["l_returnflag"]).withColumn("metric", r6("metric"))
-    return to_wide(daily, "day", "metric", wide_names(daily, "metric"))
+    """All groups of all segments as columns, in blocks of 20, read back as rows."""
+    daily = settled(group_daily(survey(spark, sf), "day", "nps", "mean", SEGMENTS).withColumn("metric", r6("metric")))
+    blocks = [
+        to_wide(daily.where(F.col("segment") == segment), "day", "metric", names).unpivot(["day"], names, "name", "metric")
+        for segment, names in wide_names(daily, "metric", 20)
+    ]
+    return reduce(DataFrame.unionByName, blocks).where("metric IS NOT NULL")
 
 
 def _knn_sql(source, key, columns, others="", k=5):

@@ -17,9 +17,17 @@ def _events(spark, sf):
     return table(spark, sf, "events")
 
 
-@query("h1_clipped_ratio", f"WITH {LINES} SELECT l_orderkey, l_linenumber, {s6('nps')} AS nps FROM lines")
+@query(
+    "h1_clipped_ratio",
+    f"""WITH {LINES} SELECT l_orderkey, l_linenumber, {s6('nps')} AS nps,
+      CASE WHEN l_linenumber NOT IN (1, 2) THEN {s6('nps')} END AS nps_with_gaps FROM lines""",
+)
 def h1_clipped_ratio(spark, sf):
-    return lines(spark, sf).select("l_orderkey", "l_linenumber", r6("nps").alias("nps"))
+    """The ratio, and the same with NaN above the line in first rows and below it in second ones."""
+    nan = F.lit(float("nan"))
+    above, below = (F.when(F.col("l_linenumber") == n, nan).otherwise(F.col(c)) for n, c in ((1, "a"), (2, "b")))
+    rows = lines(spark, sf).withColumn("gaps", sc.clipped_ratio(above, below))
+    return rows.select("l_orderkey", "l_linenumber", r6("nps").alias("nps"), r6("gaps").alias("nps_with_gaps"))
 
 
 @query(

@@ -191,25 +191,32 @@ COUNTS = (
   GROUP BY ALL)"""
 )
 
-_WEEK = "PARTITION BY os_os_id, sk_bmt_id, year, month, week"
-
+# A second opinion on the windows of the code: one summary per cell and week, joined back to the days.
 WEEK_STATS = (
     COUNTS
-    + f""", stats0 AS (
-  SELECT *, median(c) OVER ({_WEEK}) AS m, avg(c) OVER ({_WEEK}) AS sr,
-    max(abs(c)) OVER ({_WEEK}) AS c_maximum, min(abs(c)) OVER ({_WEEK}) AS c_minimum
-  FROM counts),
-stats AS (SELECT *, median(abs(c - sr)) OVER ({_WEEK}) AS mad FROM stats0)"""
+    + """, weekly AS (
+  SELECT os_os_id, sk_bmt_id, year, month, week, median(c) AS m, avg(c) AS sr, max(c) AS c_maximum, min(c) AS c_minimum
+  FROM counts GROUP BY os_os_id, sk_bmt_id, year, month, week),
+days AS (
+  SELECT c.*, w.m, w.sr, w.c_maximum, w.c_minimum FROM counts c
+  JOIN weekly w ON c.os_os_id IS NOT DISTINCT FROM w.os_os_id AND c.sk_bmt_id IS NOT DISTINCT FROM w.sk_bmt_id
+    AND c.year = w.year AND c.month = w.month AND c.week = w.week),
+spread AS (
+  SELECT os_os_id, sk_bmt_id, year, month, week, median(abs(c - sr)) AS mad
+  FROM days GROUP BY os_os_id, sk_bmt_id, year, month, week),
+stats AS (
+  SELECT d.*, s.mad FROM days d
+  JOIN spread s ON d.os_os_id IS NOT DISTINCT FROM s.os_os_id AND d.sk_bmt_id IS NOT DISTINCT FROM s.sk_bmt_id
+    AND d.year = s.year AND d.month = s.month AND d.week = s.week)"""
 )
 
 FLAGS = (
     WEEK_STATS
-    + """, scored AS (
-  SELECT *, abs(0.6745 * (c - m) / nullif(mad, 0)) AS z_modif, c_maximum - c_minimum AS maxmin FROM stats),
-flags AS (
-  SELECT *, CASE WHEN maxmin < 3 THEN 0 WHEN c - c_minimum >= 10 THEN 1 WHEN z_modif > 3 THEN 1 ELSE 0 END
-    AS flag_indicator
-  FROM scored)"""
+    + """, flags AS (
+  SELECT *, 0.6745 * abs(c - m) / nullif(mad, 0) AS z_modif, c_maximum - c_minimum AS maxmin,
+    CAST(c_maximum - c_minimum >= 3 AND (c - c_minimum >= 10 OR coalesce(0.6745 * abs(c - m) > 3 * mad AND mad > 0, false))
+      AS INTEGER) AS flag_indicator
+  FROM stats)"""
 )
 
 

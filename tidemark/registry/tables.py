@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.segments import to_long
+from tidemark.operators.segments import to_long, wide_names
 from tidemark.plans.detector import detect_to_tables
 from tidemark.plans.vas import subscriber_days
 from tidemark.registry import query, r6, s6
-from tidemark.registry.standins import SURVEY, inquiries, lines, scratch, subscriber_orders, survey, table
+from tidemark.registry.detector_sql import DETECTOR, WINNERS
+from tidemark.registry.standins import SEGMENTS, SURVEY, inquiries, lines, scratch, subscriber_orders, survey, table
 from tidemark.schemas import INQUIRY_SOURCE, VAS_USAGE
 from tidemark.sources.sinks import create_table, reload_period, reload_table, write_processed
 from tidemark.sources.tables import (
@@ -102,18 +105,27 @@ def a4_write_processed(spark, sf):
     return read_table(spark, path).select("snap_date_day", r6("nps").alias("nps"), "p_brand")
 
 
-@query("a5_write_detector")
+@query(
+    "a5_write_detector",
+    f"""WITH {DETECTOR}, {WINNERS} SELECT s.day, s.segment, s.grp AS "group", {s6("s.z_score", 4)} AS z_score,
+      {s6("s.contribution", 4)} AS contribution, {s6("s.z_score", 4)} AS wide_z_score, coalesce(w.ml_group = w.z_group AND w.ml_group = s.grp, false) AS winner
+    FROM scored s JOIN winners w ON s.day = w.day AND s.segment = w.segment""",
+)
 def a5_write_detector(spark, sf):
-    """The three stored outputs counted back, with the wide export beside them."""
+    """The stored outputs of all segments put together again, with the wide export read back beside them."""
     path = scratch(spark, "detector")
-    detect_to_tables(survey(spark, sf).select("day", "nps", "l_returnflag"), path, "day", "nps", wide=True)
-    parts = [
-        spark.read.parquet(f"{path}/{t}").agg(F.lit(t).alias("output"), F.count(F.lit(1)).alias("n_rows"))
-        for t in ("significant", "z_scores", "contributions")
-    ]
-    wide = spark.read.option("header", True).csv(f"{path}/z_scores_wide")
-    parts.append(wide.agg(F.lit("z_scores_wide").alias("output"), F.count(F.lit(1)).alias("n_rows")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    detect_to_tables(survey(spark, sf), path, "day", "nps", SEGMENTS, wide=True)
+    z, contributions, significant = (spark.read.parquet(f"{path}/{t}") for t in ("z_scores", "contributions", "significant"))
+    wide = []
+    for number, (segment, names) in enumerate(wide_names(z, "z_score")):
+        rows = spark.read.option("header", True).csv(f"{path}/z_scores_wide/{number:05d}_{segment}")
+        rows = rows.unpivot(["day"], names, "name", "wide_z_score").withColumn("segment", F.lit(segment))
+        group = F.expr(f"substring(name, {len('z_score_' + segment + '_') + 1})")
+        wide.append(rows.select(F.to_date("day").alias("day"), "segment", group.alias("group"), F.col("wide_z_score").cast("double").alias("wide_z_score")))
+    key = ["day", "segment", "group"]
+    rows = z.join(contributions, key).join(reduce(DataFrame.unionByName, wide), key, "left")
+    rows = rows.join(significant.select("day", "segment", F.col("group").alias("_winner")), ["day", "segment"])
+    return rows.select(*key, *[r6(c, 4).alias(c) for c in ("z_score", "contribution", "wide_z_score")], F.coalesce(F.col("_winner") == F.col("group"), F.lit(False)).alias("winner"))
 
 
 @query(

@@ -18,7 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = _LOCAL.setdefault("folder", tempfile.mkdtemp(prefix="run-"))
+        if "folder" not in _LOCAL:
+            _LOCAL["folder"] = tempfile.mkdtemp(prefix="run-")
+        folder = _LOCAL["folder"]
     return folder
 
 

@@ -91,12 +91,16 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 def write_detector(significant: DataFrame, stored: DataFrame, path: str, wide: bool = False, day: str = "day") -> None:
     """Significant groups, z-scores and contributions as three tables, from scored series already stored.
 
-    With `wide` CSV exports with one column per group are added.
+    With `wide` CSV exports with one column per group are added: per segment, in blocks of columns, so any number
+    of groups can be exported and the driver holds the names of one block.
     """
     significant.write.mode("overwrite").parquet(f"{path}/significant")
     for measure, folder in (("z_score", "z_scores"), ("contribution", "contributions")):
         long = stored.select(day, "segment", "group", measure)
         long.write.mode("overwrite").parquet(f"{path}/{folder}")
         if wide:
-            table = to_wide(long, day, measure, wide_names(long, measure)).orderBy(day)
-            table.write.mode("overwrite").option("header", True).csv(f"{path}/{folder}_wide")
+            stored_long = long.sparkSession.read.parquet(f"{path}/{folder}")
+            for number, (segment, names) in enumerate(wide_names(stored_long, measure)):
+                part = stored_long.where(F.col("segment") == segment)
+                table = to_wide(part, day, measure, names).orderBy(day)
+                table.write.mode("overwrite").option("header", True).csv(f"{path}/{folder}_wide/{number:05d}_{segment}")
