@@ -49,3 +49,22 @@ def test_quantiles_of_a_long_tail(spark):
     got = exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.99], ["a", "b", "c"], bins=64, limit=200).first()
     want = df.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.99)))).first()[0]
     assert [got["a"], got["b"], got["c"]] == pytest.approx(want)
+
+
+def test_facts_without_a_key_are_spread(spark):
+    """Most facts have no key: they stay, unmatched, and no partition of the exchange holds them all."""
+    from tidemark.operators.joins import join_lookup
+
+    facts = spark.range(4000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN id % 7 END AS k")
+    dim = spark.range(5).selectExpr("id AS dk", "concat('n', id) AS name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_lookup(facts, dim, "k", "dk", ["name"])
+        got = {r["id"]: r["name"] for r in joined.collect()}
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert got == {i: f"n{i % 7}" if i % 10 == 0 and i % 7 < 5 else None for i in range(4000)}
+    assert max(sizes) < 1500

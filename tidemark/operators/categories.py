@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import placeholder
 from tidemark.operators.profile import columns_of_type
 from tidemark.operators.ranking import category_codes, encode
+from tidemark.operators.salting import salted_join
 from tidemark.session import settled
 
 
@@ -20,7 +21,10 @@ def placeholder_impute(df: DataFrame, columns: Sequence[str], text: str = "missi
 
 
 def mode_impute(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
-    """Most frequent category, of the row's group when `by` is given; ties to the smallest name."""
+    """Most frequent category, of the row's group when `by` is given; ties to the smallest name.
+
+    A row without a group, or of a group without any category, keeps its gap.
+    """
     by = list(by)
     modes = (
         df.where(F.col(c).isNotNull())
@@ -30,7 +34,8 @@ def mode_impute(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:
         .agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col(c).alias("v")))["v"].alias("_mode"))
     )
     if by:
-        filled = df.join(modes, by, "left")
+        # A large group's rows are dealt out by their content.
+        filled = salted_join(df, modes, by, df.columns, "left")
     else:
         row = modes.head()
         filled = df.withColumn("_mode", F.lit(row["_mode"] if row else None).cast("string"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import day_key, month_start, quarter_start, week_start, within_period
-from tidemark.operators.joins import join_history, join_lookup, join_snapshot, valid_as_of
+from tidemark.operators.joins import join_history, join_lookup, join_snapshot, valid_as_of, spread_nulls
 from tidemark.operators.site_flags import (
     PERIOD_KEYS,
     cell_counts,
@@ -79,7 +79,10 @@ def attach_flags(facts: DataFrame, flags: DataFrame) -> DataFrame:
         F.col("os_os_id").alias("cr_os_os_id"), "sk_bmt_id", *PERIOD_KEYS, "flag_indicator"
     )
     parts = facts.withColumns(date_parts("create_date"))
-    return parts.join(side, ["cr_os_os_id", "sk_bmt_id", *PERIOD_KEYS], "left").drop(*PERIOD_KEYS)
+    keys = ["cr_os_os_id", "sk_bmt_id", *PERIOD_KEYS]
+    side = side.withColumnsRenamed({k: f"_side_{k}" for k in keys})
+    on = spread_nulls(parts, side, [(parts[k], side[f"_side_{k}"]) for k in keys])
+    return parts.join(side, on, "left").drop(*PERIOD_KEYS, *[f"_side_{k}" for k in keys])
 
 
 def inquiry_daily(

@@ -43,7 +43,7 @@ def a1_read_table(spark, sf):
         F.when(F.col("o_orderstatus") == "P", float("nan")).otherwise(F.col("o_totalprice")).alias("price"),
     ).write.option("header", True).option("nanValue", "nan").csv(path)
     schema = "o_orderkey long, status string, priority string, price double"
-    df = read_table(spark, path, spark.createDataFrame([], schema).schema)
+    df = read_table(spark, path, spark.createDataFrame([], schema).schema, form="csv")
     return df.withColumn("price", r6("price", 2))
 
 

@@ -11,12 +11,14 @@ from pyspark.sql.types import MapType, ArrayType, StringType, StructType
 from tidemark.functions.scalars import text_null
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet by default; `.csv` paths with header, where empty text and `nan` mean missing.
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None, form: str | None = None) -> DataFrame:
+    """A table of the form "parquet" or "csv", by default told by the end of the path.
 
+    Delimited files have a header, and the usual texts for a missing value become null.
     A schema avoids the extra pass over the file that inferring types takes.
     """
-    if ".csv" not in path:
+    form = form or ("csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
+    if form == "parquet":
         return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     reader = spark.read.option("header", True).option("nullValue", "").option("nanValue", "nan")
     df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
