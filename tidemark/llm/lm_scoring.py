@@ -30,12 +30,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Share of the pair model; the rest is the smoothed word model.
 PAIR_SHARE = 0.2
-BITS_PER_ENTRY = 10
+BITS_PER_ENTRY = 8
 PROBES = 5
 LEVELS = 48
 #: Words with counts sent to every task, 16 bytes each; rarer ones are joined.
-HEAD = 1 << 20
-BROADCAST_BYTES = 192 << 20
+HEAD = 1 << 19
+BROADCAST_BYTES = 96 << 20
 SEGMENT_BYTES = 8 << 20
 FLUSH_TOKENS = 2_000_000
 END = np.uint64(0x9E3779B97F4A7C15)
@@ -208,9 +208,10 @@ def _head(vocabulary: DataFrame, types: int, head: int) -> tuple[np.ndarray, np.
             if taken > head:
                 break
             least = row["level"]
-    rows = vocabulary.where(F.col("c") >= 2**least).toPandas()
-    rows = rows.assign(word=rows["word"].to_numpy().astype(np.uint64)).sort_values("word")
-    return rows["word"].to_numpy(), rows["c"].to_numpy()
+    rows = vocabulary.where(F.col("c") >= 2**least).toArrow()
+    words, counts = rows["word"].to_numpy().view(np.uint64), rows["c"].to_numpy()
+    order = np.argsort(words)
+    return words[order], counts[order]
 
 
 def _scores(tokens: np.ndarray, first: np.ndarray, look: Lookup, total: int, types: int) -> np.ndarray:
@@ -257,13 +258,17 @@ OUT_NAMES = ["n_tokens", "n_known", "base_score", "score", "rest"]
 
 
 def _by_broadcast(rows: DataFrame, model: DataFrame, segments: int, facts: dict) -> DataFrame:
-    table = {(r["order"], r["segment"]): r["bits"] for r in model.select("order", "segment", "bits").toLocalIterator()}
+    sizes = {(r["order"], r["segment"]): r["n"] for r in model.select("order", "segment", F.octet_length("bits").alias("n")).collect()}
     filters = {}
     for order in (1, 2):
-        parts = [table.get((order, s), bytes(8)) for s in range(segments)]
-        size = np.array([8 * len(p) for p in parts], dtype=np.uint64)
+        size = np.array([8 * sizes.get((order, s), 8) for s in range(segments)], dtype=np.uint64)
         start = (np.cumsum(size) - size).astype(np.int64)
-        filters[order] = (np.frombuffer(b"".join(parts), np.uint8), start, size)
+        filters[order] = (np.zeros(int(size.sum()) // 8, np.uint8), start, size)
+    # Segment by segment into one array each: the driver never holds the filter twice.
+    for r in model.select("order", "segment", "bits").repartition(32).toLocalIterator():
+        bits, start, _ = filters[r["order"]]
+        at = int(start[r["segment"]]) // 8
+        bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     sent = rows.sparkSession.sparkContext.broadcast((filters, facts))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
