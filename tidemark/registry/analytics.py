@@ -124,11 +124,28 @@ def j1_knn_several_patterns(spark, sf):
     return knn_impute(df, "p_partkey", columns).select("p_partkey", *[r6(c, 4).alias(c) for c in columns])
 
 
-@query("j2_category_impute")
+@query(
+    "j2_category_impute",
+    f"""WITH {LABELLED} SELECT doc_id, CAST(quality AS VARCHAR) AS observed, true AS kept, true AS known_category FROM labelled""",
+)
 def j2_category_impute(spark, sf):
-    df = labelled(spark, sf).withColumn("quality", F.col("quality").cast("string"))
-    filled = category_impute(df.select("doc_id", "lang", "source", "n_chars", "quality"), "quality", ["lang", "source", "n_chars"])
-    return filled.groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    """Every row: what was observed stays, and gaps get one of the observed categories."""
+    df = labelled(spark, sf).select("doc_id", "lang", "source", "n_chars", F.col("quality").cast("string").alias("quality"))
+    filled = category_impute(df, "quality", ["lang", "source", "n_chars"]).select("doc_id", F.col("quality").alias("_filled"))
+    rows = df.join(filled, "doc_id")
+    known = F.coalesce(F.col("_filled").isin("0", "1"), F.lit(False))
+    return rows.select("doc_id", F.col("quality").alias("observed"), F.coalesce(F.col("quality") == F.col("_filled"), F.lit(True)).alias("kept"), known.alias("known_category"))
+
+
+@query(
+    "j2_category_rule",
+    "SELECT doc_id, CASE lang WHEN 'en' THEN 'island' WHEN 'de' THEN 'centre' ELSE 'south' END AS region FROM documents",
+)
+def j2_category_rule(spark, sf):
+    """A category that follows from the language, lost in a third of the rows: the forest finds it again."""
+    region = F.when(F.col("lang") == "en", "island").when(F.col("lang") == "de", "centre").otherwise("south")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars", F.when(F.col("doc_id") % 3 != 0, region).alias("region"))
+    return category_impute(docs, "region", ["lang", "n_chars"]).select("doc_id", "region")
 
 
 @query(
@@ -166,13 +183,18 @@ def j4_isolation_score(spark, sf):
     return scored.select("segment", "group", "day", r6("depth", 4).alias("depth"), "ml_anomaly")
 
 
-@query("j4_isolation_forest")
+@query(
+    "j4_isolation_forest",
+    f"""WITH {LONG} SELECT segment, grp AS "group", count(DISTINCT day) AS n_days, true AS within_quantile
+      FROM long WHERE grp IS NOT NULL GROUP BY segment, grp""",
+)
 def j4_isolation_forest(spark, sf):
-    """Seeded forest: flagged days per group."""
-    df = with_delta(group_daily(survey(spark, sf), "day", "nps", "mean", ["l_linestatus", "l_returnflag"]), "day", "metric", ["segment", "group"])
+    """Seeded forest on all segments: days per group, and whether no more are flagged than the quantile allows."""
+    df = with_delta(group_daily(survey(spark, sf), "day", "nps", "mean", SEGMENTS), "day", "metric", ["segment", "group"])
     scored = isolation_score(df, "day", "delta", ["segment", "group"], method="forest")
+    allowed = F.floor(0.05 * (F.count("depth") - 1)) + 1
     return scored.groupBy("segment", "group").agg(
-        F.count(F.lit(1)).alias("n_days"), F.count_if("ml_anomaly").alias("n_flagged")
+        F.count(F.lit(1)).alias("n_days"), (F.count_if("ml_anomaly") <= F.greatest(allowed, F.lit(0))).alias("within_quantile")
     )
 
 
