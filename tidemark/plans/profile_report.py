@@ -1,11 +1,11 @@
-"""Profile of a survey table: the data behind each chart, as one result table per topic."""
+"""Profile of a survey or inquiry table: the data behind each chart, as one result table per topic."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import age_bin
@@ -27,17 +27,27 @@ from tidemark.operators.series import daily_metric
 
 @dataclass(frozen=True)
 class ProfileColumns:
-    """Names of the columns with a role in the report."""
+    """Names of the columns with a role in the report; topics of a role that is None are left out."""
 
     day: str = "snap_date_day"
-    metric: str = "nps"
-    region: str = "region_filial"
-    age: str = "survey_age"
-    revenue: str = "product_revenue_wo_iitc_vas_roam"
+    metric: str | None = "nps"
+    region: str | None = "region_filial"
+    age: str | None = "survey_age"
+    revenue: str | None = "product_revenue_wo_iitc_vas_roam"
 
 
-def profile(df: DataFrame, segments: Sequence[str], roles: ProfileColumns = ProfileColumns()) -> dict[str, DataFrame]:
-    """Missing shares, distributions, box statistics, densities and daily series by name."""
+#: An inquiry table has no score: its daily series are numbers of rows.
+INQUIRY_COLUMNS = ProfileColumns(metric=None, region="filial_id", age=None, revenue=None)
+
+
+def profile(
+    df: DataFrame, segments: Sequence[str], roles: ProfileColumns = ProfileColumns(), func: str | Callable[[Column], Column] | None = None
+) -> dict[str, DataFrame]:
+    """Missing shares, distributions, box statistics, densities and daily series by name.
+
+    `func` aggregates the metric of a day, by default its mean, or the number of rows without a metric.
+    """
+    func = func or ("mean" if roles.metric else "size")
     available = select_available(df, segments)
     numbers = columns_of_type(available, "numeric")
     report = {"missing": missing_share(df), "categories": top_categories(df, available.columns)}
@@ -47,13 +57,17 @@ def profile(df: DataFrame, segments: Sequence[str], roles: ProfileColumns = Prof
         # Numbers with many values have a histogram in place of a frequency table.
         ranged = F.broadcast(report["histogram"].select("column").distinct())
         report["categories"] = report["categories"].join(ranged, "column", "left_anti")
-    aged = df.withColumn("age_group", age_bin(roles.age))
-    report["region_box"] = box_statistics(rows_of_top_groups(df, roles.region, roles.metric), roles.region, roles.metric)
-    report["age_box"] = box_statistics(aged, "age_group", roles.metric)
-    report["revenue_density"] = density_histogram(df, roles.revenue, roles.metric)
-    report["regions"] = frequencies(df, roles.region)
-    report["daily"] = daily_metric(df, roles.day, roles.metric)
-    report["daily_by_group"] = group_daily(df, roles.day, roles.metric, "mean", available.columns)
+    if roles.metric and roles.region:
+        report["region_box"] = box_statistics(rows_of_top_groups(df, roles.region, roles.metric), roles.region, roles.metric)
+    if roles.metric and roles.age:
+        report["age_box"] = box_statistics(df.withColumn("age_group", age_bin(roles.age)), "age_group", roles.metric)
+    if roles.metric and roles.revenue:
+        report["revenue_density"] = density_histogram(df, roles.revenue, roles.metric)
+    if roles.region:
+        report["regions"] = frequencies(df, roles.region)
+    counted, metric = (df, roles.metric) if roles.metric else (df.withColumn("_row", F.lit(1)), "_row")
+    report["daily"] = daily_metric(counted, roles.day, metric, func)
+    report["daily_by_group"] = group_daily(counted, roles.day, metric, func, available.columns)
     return report
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -15,7 +16,7 @@ from tidemark.operators.segments import group_daily, rolling_anomaly, to_long, t
 from tidemark.operators.series import with_delta
 from tidemark.plans.detector import score_groups, segment_anomalies
 from tidemark.plans.inquiry import inquiry_daily
-from tidemark.plans.profile_report import ProfileColumns, profile, report_rows
+from tidemark.plans.profile_report import INQUIRY_COLUMNS, ProfileColumns, profile, report_rows
 from tidemark.plans.survey import prepare_inquiry, prepare_survey
 from tidemark.plans.vas import RULES, vas_usage
 from tidemark.operators.correlation import series_correlation
@@ -344,6 +345,7 @@ _REPORT_KEYS = {
     "revenue_density": ("p_type", "bin", "density"),
     "regions": ("value", "value", "n"),
     "daily": ("day", "n_rows", "metric"),
+    "daily_by_group": ("group", "day", "metric"),
 }
 _PROFILED = (
     LINES
@@ -375,6 +377,10 @@ _REPORT_SQL = " UNION ALL ".join(
           ON v.p_type = r.p_type WHERE nps IS NOT NULL) GROUP BY p_type, bin, total, width""",
         _part("regions", "p_brand", "p_brand", "count(*)") + " FROM profiled GROUP BY p_brand",
         _part("daily", "day", "count(*)", "avg(nps)") + " FROM profiled GROUP BY day",
+        *[
+            _part("daily_by_group", c, "day", "avg(nps)") + f" FROM profiled WHERE {c} IS NOT NULL GROUP BY {c}, day"
+            for c in ("l_returnflag", "p_brand", "p_type", "l_quantity")
+        ],
     ]
 )
 
@@ -388,6 +394,40 @@ def j12_profile(spark, sf):
     return report_rows(report, _REPORT_KEYS).withColumn("value", r6("value"))
 
 
+_INQUIRY_PROFILED = """facts AS (SELECT CAST(ts AS DATE) AS day, event_type AS description, CAST(user_id % 19 AS VARCHAR) AS filial_id,
+  CASE WHEN event_type <> 'error' THEN CAST(user_id % 7 AS VARCHAR) END AS category FROM events)"""
+_INQUIRY_GROUPS = ("description", "filial_id", "category")
+_INQUIRY_REPORT = " UNION ALL ".join(
+    [
+        _part("missing", "'category'", "'category'", "100.0 * (count(*) - count(category)) / count(*)") + " FROM facts HAVING count(*) > count(category)",
+        *[
+            f"{_part('categories', repr(c), c, 'n')} FROM (SELECT {c}, count(*) AS n FROM facts WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, {c} LIMIT 15)"
+            for c in _INQUIRY_GROUPS
+        ],
+        _part("regions", "filial_id", "filial_id", "count(*)") + " FROM facts GROUP BY filial_id",
+        _part("daily", "day", "count(*)", "count(*)") + " FROM facts GROUP BY day",
+        *[_part("daily_by_group", c, "day", "count(*)") + f" FROM facts WHERE {c} IS NOT NULL GROUP BY {c}, day" for c in _INQUIRY_GROUPS],
+    ]
+)
+
+
+@query(
+    "j12_inquiry_profile",
+    f"WITH {_INQUIRY_PROFILED}, report AS ({_INQUIRY_REPORT}) SELECT topic, item, part, {s6('value')} AS value FROM report",
+)
+def j12_inquiry_profile(spark, sf):
+    """The report of a table without score and age: numbers of rows a day, in all and for each group."""
+    df = table(spark, sf, "events").select(
+        F.to_date("ts").alias("day"),
+        F.col("event_type").alias("description"),
+        F.pmod("user_id", F.lit(19)).cast("string").alias("filial_id"),
+        F.when(F.col("event_type") != "error", F.pmod("user_id", F.lit(7)).cast("string")).alias("category"),
+    )
+    report = profile(df, [*_INQUIRY_GROUPS, "network_volte"], replace(INQUIRY_COLUMNS, day="day"))
+    keys = {t: _REPORT_KEYS[t] for t in ("missing", "categories", "regions", "daily")} | {"daily_by_group": ("group", "day", "metric")}
+    return report_rows(report, keys).withColumn("value", r6("value"))
+
+
 @query(
     "j13_series_correlation",
     f"WITH {PAIRS} SELECT count(*) AS n, {s6('corr(x, y)')} AS pearson, {s6('corr(rx, ry)')} AS spearman FROM ranked",
