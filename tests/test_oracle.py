@@ -1,12 +1,13 @@
-"""Every registered query on the smallest tables, beside its SQL where it has one."""
+"""Every query of the registry on the smallest tables, beside its SQL where it has one."""
 
 import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from tidemark.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
+ENTRY_QUERIES = entry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +17,12 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equal_to_sql(spark, con, name):
-    assert difference(spark, con, SF, name, entry.queries()[name], ORACLES[name]) is None
+    assert difference(spark, con, SF, name, ENTRY_QUERIES[name], ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+    assert ENTRY_QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.registry import QUERIES
 from tidemark.registry.standins import charges, inquiries, inquiry_dimensions, subscriber_orders
 
 SF = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
