@@ -58,6 +58,14 @@ def test_all_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_gives_rows_without_a_cross_join(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert df.count() > 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 # --- language -----------------------------------------------------------------------------------------------
 
 

@@ -77,11 +77,13 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, row_bytes: in
     """
     placed = byte_shards(docs, shards, row_bytes)
     key = ["doc_id", "text_crc32", "size"]
-    bounds = placed.where("slot = 0").select("shard", F.struct(*key).alias("_key"))
-    bounds = bounds.groupBy().agg(F.array_sort(F.collect_list(F.struct("_key", "shard"))).alias("_bounds"))
+    firsts = sorted((r["shard"], *(r[k] for k in key)) for r in placed.where("slot = 0").collect())
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = F.struct(F.col("doc_id"), F.crc32(text.cast("binary")), (F.octet_length(text) + F.lit(row_bytes)).cast("long"))
-    rows = docs.withColumn("_own", own).join(F.broadcast(bounds))
-    shard = F.element_at(F.filter("_bounds", lambda b: b["_key"] <= F.col("_own")), -1)["shard"]
-    rows = rows.withColumn("shard", shard).drop("_bounds")
+    own = F.struct(F.col("doc_id").cast("long"), F.crc32(text.cast("binary")), (F.octet_length(text) + F.lit(row_bytes)).cast("long"))
+    shard = F.lit(firsts[0][0] if firsts else 0)
+    # Later shards are asked first.
+    for number, doc_id, crc, size in firsts[1:]:
+        first = F.struct(F.lit(doc_id).cast("long"), F.lit(crc).cast("long"), F.lit(size).cast("long"))
+        shard = F.when(F.col("_own") >= first, number).otherwise(shard)
+    rows = docs.withColumn("_own", own).withColumn("shard", shard)
     rows.repartitionByRange("shard", "_own").sortWithinPartitions("shard", "_own").drop("_own").write.partitionBy("shard").parquet(path)
