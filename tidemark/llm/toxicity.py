@@ -42,6 +42,8 @@ LEAST_ODDS = 1.5
 VOTERS = 13
 #: Weight, in rows, of what is thought of a voter beforehand.
 PRIOR = 4.0
+#: Weight, in rows, of the mixture's word on a pattern against its labelled rows.
+PATTERN_PRIOR = 5.0
 
 
 @dataclass
@@ -213,13 +215,16 @@ def posteriors(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray, rou
                 np.add.at(table, (given, votes[:, v]), weight[c])
                 log[c] += np.log(table / table.sum(axis=1, keepdims=True))[given, votes[:, v]]
         post = 1 / (1 + np.exp(np.clip(log[0] - log[1], -40, 40)))
+    # Labelled rows of a pattern speak for its rows without a label too.
     free = {}
-    for p, value in zip(patterns.tolist(), post.tolist()):
-        free[p] = value
+    for p in set(patterns.tolist()):
+        own = patterns == p
+        bad, good = (counts[own & (labels == c)].sum() for c in (1, 0))
+        free[p] = float((PATTERN_PRIOR * post[own][0] + bad) / (PATTERN_PRIOR + bad + good))
     return free, parent
 
 
-def fitted(patterns: np.ndarray, terms: list[np.ndarray], target: np.ndarray, weight: np.ndarray, size: int, rounds: int = 800) -> np.ndarray:
+def fitted(patterns: np.ndarray, terms: list[np.ndarray], target: np.ndarray, weight: np.ndarray, size: int, rounds: int = 1500) -> np.ndarray:
     """Weights of terms, then votes, then the bias: logistic regression by accelerated gradient steps."""
     rows = np.concatenate([np.repeat(np.arange(len(terms)), [len(t) for t in terms]), np.repeat(np.arange(len(terms)), VOTERS), np.arange(len(terms))])
     votes = ((patterns[:, None] >> np.arange(VOTERS)) & 1).astype(float)
