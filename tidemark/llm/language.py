@@ -264,7 +264,7 @@ def identified(docs: DataFrame, weights: Weights, languages: list[str]) -> DataF
         weights, languages = sent.value
         names = np.array([*languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for begin, end, data, offsets in tb.slices(batch.column(place), 4 * tb.SLICE_BYTES):
+            for begin, end, data, offsets in tb.slices(batch.column(place)):
                 known = has_letter(data, offsets) & (len(languages) > 0)
                 p = pooled(data, offsets, weights) if len(languages) else np.zeros((end - begin, 1))
                 best = np.where(known, p.argmax(axis=1), len(languages))

@@ -45,6 +45,8 @@ PART = 1024
 SIEVE = 1 << 19
 #: Pairs compared at a time.
 PAIRS = 100_000
+#: Rows whose shingle sets are held at a time, besides those of an unfinished cell.
+ROWS = 1024
 
 _rng = np.random.default_rng(77)
 FACTOR = _rng.integers(0, 2**63, SLOTS + CHECKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,9 +121,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
             new[1:] |= rows[c][1:] != rows[c][:-1]
         return np.cumsum(new)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (whole.slice(s, ROWS) for whole in batches for s in range(0, whole.num_rows, ROWS)):
         rows = {c: batch.column(i).to_numpy() for i, c in enumerate(MEMBER[:-2])}
         rows["signs"], rows["checks"] = _matrix(batch.column(len(MEMBER) - 2), batch.column(len(MEMBER) - 1))
         sets: list[np.ndarray] = []

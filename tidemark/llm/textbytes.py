@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = (1 << 20) - 1024
 LINE_FEED, NOTHING = pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string())
 
 _rng = np.random.default_rng(20240229)
@@ -80,6 +80,8 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         data = np.frombuffer(buffers[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
         yield first, end, data, offsets - offsets[0]
         first = end
+    # A worker that waits for its next task does not keep what this column took.
+    pa.default_memory_pool().release_unused()
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
