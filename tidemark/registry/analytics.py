@@ -35,7 +35,6 @@ from tidemark.registry.standins import (
     LONG,
     SEGMENTS,
     START,
-    SURVEY,
     charges,
     inquiries,
     inquiry_dimensions,
