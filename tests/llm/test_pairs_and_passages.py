@@ -74,6 +74,20 @@ def test_near_duplicates_of_odd_tables(spark, corpus):
     assert {r["component_id"] for r in near_duplicates(frame(spark, rows)).where("doc_id = 9").collect()} <= {3, 9}
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_near_duplicates_where_an_id_has_two_texts(spark, turned):
+    """Each text is linked for itself, whichever of the two has the smaller hash; no text leaves the corpus altogether."""
+    rng = random.Random(12)
+    a, b = sorted((text_of(rng, 60) for _ in range(2)), reverse=turned)
+    near_b = f"{b} at the end"
+    gone = frame(spark, [(3, a), (9, a), (9, b)])
+    assert sorted(map(tuple, near_duplicates(gone).select("doc_id", "component_id", "kept").collect())) == [(3, 3, True), (9, 3, False), (9, 9, True)]
+    assert {(r["doc_id"], r["text"]) for r in first_of_each(gone).collect()} == {(3, a), (9, b)}
+    lost = frame(spark, [(9, a), (9, b), (12, b), (15, near_b), (15, a), (20, a), (21, near_b)])
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(lost).collect()} == {(9, 9, True), *((i, 9, False) for i in (12, 15, 20, 21))}
+    assert sorted((r["doc_id"], r["text"]) for r in first_of_each(lost).collect()) == sorted([(9, a), (9, b)])
+
+
 def test_first_of_each_keeps_one_of_a_group(spark, corpus):
     df = frame(spark, corpus)
     kept = first_of_each(df)

@@ -6,7 +6,8 @@ three times, each time without one slot. All pairs within that signature distanc
 slots of 8 bits, outside of the index, sort out pairs whose whole signatures differ in more than FAR slots. At a
 similarity of 0.75 a slot differs with probability 0.25, so a pair beyond either distance is a 1e-6 event.
 
-Groups: texts with equal shingle sets are one class. In each of ROUNDS rounds every key's bucket names a head
+Groups: texts with equal shingle sets are one class, known by 64 bits of the set's digest; its smallest doc_id is an
+attribute, so a doc_id with several texts stands in several classes. In each of ROUNDS rounds every key's bucket names a head
 out of its largest component and compares the members outside with it, one pair a member; what is linked
 becomes one component. Only buckets that then still hold several components are searched whole: members
 outside the largest component against all of the bucket, in blocks.
@@ -107,7 +108,8 @@ def _matrix(signs: pa.Array, checks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 CELL = ["g", "block", "part"]
-MEMBER = [*CELL, "cls", "component", "role", "n", "signs", "checks"]
+MEMBER = [*CELL, "cls", "component", "role", "n", "doc", "signs", "checks"]
+LINK = ["a", "a_doc", "b", "b_doc"]
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, list[np.ndarray]]]:
@@ -193,12 +195,12 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     a, b = find(int(rows["component"][x])), find(int(c))
                     if a != b:
                         root[max(a, b)] = min(a, b)
-                        found.append((int(rows["cls"][x]), int(rows["cls"][y[first]])))
-        yield pa.record_batch([pa.array([p[side] for p in found], pa.int64()) for side in (0, 1)], names=["a", "b"])
+                        found.append([int(rows[c][i]) for i in (x, y[first]) for c in ("cls", "doc")])
+        yield pa.record_batch([pa.array([p[at] for p in found], pa.int64()) for at in range(len(LINK))], names=LINK)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(_id, text) of the wanted (_id, _print), one text each.
+    """(cls, text) of the wanted (cls, _id, _print), one text each.
 
     A table of the hash values modulo SIEVE, at most SIEVE rows at any size, first lets through the rows that can
     be wanted, so other texts are not shuffled.
@@ -209,11 +211,11 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_print")).withColumn("_s", sieve())
     rows = rows.join(F.broadcast(wanted.select(sieve().alias("_s")).distinct()), "_s", "left_semi").drop("_s")
-    return rows.join(wanted.hint("merge"), ["_id", "_print"], "left_semi").dropDuplicates(["_id"])
+    return rows.join(wanted.hint("merge"), ["_id", "_print"]).dropDuplicates(["cls"]).select("cls", "text")
 
 
 def linked(cells: DataFrame, signs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): confirmed links between outer rows (role 0) and other rows (role 1) of the same cell.
+    """(a, a_doc, b, b_doc): confirmed links between outer rows (role 0) and other rows (role 1) of the same cell.
 
     `cells` has g, block, part, cls, component, role. Signatures decide which rows have a near partner at all;
     only these fetch their texts, once for each cell.
@@ -224,15 +226,22 @@ def linked(cells: DataFrame, signs: DataFrame, docs: DataFrame) -> DataFrame:
 
     near = sorted_(cells.join(signs, "cls").select(*MEMBER)).mapInArrow(_members_near, "g long, block int, part int, cls long, component long, role int")
     near = settled(near)
-    wanted = near.select("cls").distinct().join(signs.select("cls", "print"), "cls").select(F.col("cls").alias("_id"), F.col("print").alias("_print"))
-    texts = _texts(docs, wanted).select(F.col("_id").alias("cls"), "text")
-    return sorted_(near.join(signs, "cls").join(texts, "cls").select(*MEMBER, "text")).mapInArrow(_links, "a long, b long")
+    wanted = near.select("cls").distinct().join(signs.select("cls", "doc", "print"), "cls").select("cls", F.col("doc").alias("_id"), F.col("print").alias("_print"))
+    texts = _texts(docs, wanted)
+    return sorted_(near.join(signs, "cls").join(texts, "cls").select(*MEMBER, "text")).mapInArrow(_links, ", ".join(f"{c} long" for c in LINK))
+
+
+def _joined(links: DataFrame) -> DataFrame:
+    """(cls, component, first): the component of each linked class, and the smallest doc_id in it."""
+    ends = [F.when(F.col(end).isNotNull(), F.struct(F.col(f"{end}_doc").alias("doc"), F.col(end).alias("cls"))).alias(end) for end in ("a", "b")]
+    found = components(links.select(*ends), "a", "b")
+    return found.select("node.cls", F.col("component.cls").alias("component"), F.col("component.doc").alias("first"))
 
 
 def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return buckets.withColumn("component", F.col("cls"))
-    found = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    found = buckets.join(labels, "cls", "left")
     return found.select("slot", "key", "cls", F.coalesce("component", "cls").alias("component"))
 
 
@@ -262,18 +271,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts are linked when 100 * intersection >= 75 * union of their sets of 5-word shingles; component_id is the
     smallest doc_id that links reach, kept marks that document. A null or wordless text has no shingles and is
-    linked with nothing. Rows that repeat a doc_id with one text share their class; with several texts one of them
-    is linked to others, and the rest stand alone. A row without doc_id is not
-    linked, has no component and is kept. An empty table gives an empty table.
+    linked with nothing. Rows that repeat a doc_id with one text share their component. Rows that repeat it with
+    several texts are each linked by their own text, not by the id: components and kept can differ from row to row,
+    and two components with the same smallest doc_id have the same name. A row without doc_id is not linked, has no
+    component and is kept. An empty table gives an empty table.
     """
+    return _marked(docs).drop("print")
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """The rows of near_duplicates with print, the hash of their text."""
     docs = docs.select("doc_id", "text")
     rows = settled(described(docs))
     named = rows.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "print", "n_shingles", "signs", "checks")).alias("_c"))
-    # One class a doc_id: rows that repeat an id with another text are linked by one of their texts only.
-    classes = classes.groupBy(F.col("_c.doc_id").alias("cls")).agg(F.min(F.struct("_c.print", "digest", "_c.n_shingles", "_c.signs", "_c.checks")).alias("_c"))
-    classes = settled(classes.select("cls", "_c.print", "_c.digest", F.col("_c.n_shingles").alias("n"), "_c.signs", "_c.checks"))
-    signs = classes.select("cls", "print", "n", "signs", "checks")
+    number = F.xxhash64("digest").alias("cls")
+    classes = settled(classes.select(number, F.col("_c.doc_id").alias("doc"), "_c.print", "digest", F.col("_c.n_shingles").alias("n"), "_c.signs", "_c.checks"))
+    signs = classes.select("cls", "doc", "print", "n", "signs", "checks")
     keyed = classes.select("cls", F.posexplode(_keys()).alias("slot", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     buckets = settled(keyed.join(shared, "key"))
@@ -289,22 +303,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = new if links is None else links.union(new)
         if turn and new.isEmpty():
             break
-        labels = components(links, "a", "b")
+        labels = _joined(links)
 
     member = _labelled(buckets, labels)
     sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("key").agg(F.max(F.struct("size", "component"))["component"].alias("g"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     pending = settled(member.join(main.select("key", "g"), "key").select("g", "cls", "component").distinct())
     links = links.union(linked(_blocks(pending), signs, docs))
-    every = components(links, "a", "b").withColumnRenamed("node", "cls")
+    every = _joined(links)
 
-    of_class = classes.select("digest", "cls").join(every, "cls", "left").select("digest", F.coalesce("component", "cls").alias("_component"))
+    of_class = classes.select("digest", "cls", "doc").join(every, "cls", "left").select("digest", F.coalesce("first", "doc").alias("_component"))
     out = rows.join(of_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "print", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, without those whose component has a smaller doc_id."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows of `docs`, all columns, without those whose component has a smaller doc_id; other texts of their doc_id stay."""
+    gone = _marked(docs).where("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("print").alias("_gone_text")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_text"]), "left_anti")
