@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tidemark.llm.language import fit, identified, predict, start_weights, train
 from tidemark.llm.lm_scoring import count_of, level_of, score
-from tidemark.llm.packing import differencing, pack, packed
+from tidemark.llm.packing import Encoder, differencing, pack, packed
 from tidemark.llm.personal_data import personal_data, reliabilities
 from tidemark.llm.queries import ORACLES, QUERIES
 from tidemark.llm.sharding import byte_shards, write_shards
@@ -292,6 +293,16 @@ def test_pack_is_an_exact_round_trip(spark, texts, capacity):
     assert pack(empty(spark), TOKENIZER).count() == 0
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_added_tokens_and_their_other_spellings_in_one_worker(turned):
+    texts = ["<|endoftext|>", "<|ENDOFTEXT|>", "Ab <|StartOfText|> x<|endoftext|>Y", "ab <|startoftext|> X<|ENDOFTEXT|>y <|", "x<|endoftext|>y. AB<", ""]
+    texts = texts[::-1] if turned else texts
+    tokenizer, encoder = Tokenizer.from_file(TOKENIZER), Encoder(TOKENIZER)
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [own.tolist() for own in encoder.encode(pa.array(texts))] == want
+    assert [own.tolist() for t in texts for own in encoder.encode(pa.array([t]))] == want
+
+
 # --- pipeline -----------------------------------------------------------------------------------------------
 
 

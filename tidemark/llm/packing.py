@@ -96,7 +96,8 @@ class Encoder:
     """Ids of texts from the ids of their parts: what the tokenizer never joins is tokenized once and remembered.
 
     Parts are bounded by white space, and by a change between ASCII letters and full stops or commas. A part is
-    known by its 64-bit hash with A-Z lower-cased, as the tokenizer lower-cases.
+    known by its 64-bit hash with A-Z lower-cased, as the tokenizer lower-cases; a part with the first two bytes of an
+    added token by its hash as it is, since those tokens are looked for before that.
     """
 
     def __init__(self, path: str) -> None:
@@ -107,6 +108,8 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if not t.normalized]
+        self.opens = sorted({(t[0], t[1] if len(t) > 1 else -1) for t in added})
         self.forget()
 
     @staticmethod
@@ -145,11 +148,22 @@ class Encoder:
                 self.sizes = np.insert(self.sizes, at, counts)
                 self.ids = np.concatenate([self.ids, flat])
 
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        hashes = tb.word_hashes(data, starts, ends)
+        at = [np.flatnonzero(data == a) if b < 0 else np.flatnonzero((data[:-1] == a) & (data[1:] == b)) for a, b in self.opens]
+        exact = np.unique(np.searchsorted(starts, np.concatenate(at), "right") - 1) if at else np.zeros(0, np.int64)
+        if len(exact):
+            sizes = ends[exact] - starts[exact]
+            stop = np.cumsum(sizes)
+            own = data[np.repeat(starts[exact] - stop + sizes, sizes) + np.arange(int(stop[-1]))]
+            hashes[exact] = tb.word_hashes(own, stop - sizes, stop, fold=False)
+        return hashes
+
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of the column, END_ID behind them."""
         for begin, end, data, offsets in tb.slices(column):
             starts, ends, first = _parts(data, offsets)
-            hashes = tb.word_hashes(data, starts, ends)
+            hashes = self._hashes(data, starts, ends)
             own, one, back = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.known) > REMEMBERED:
                 self.forget()
