@@ -136,6 +136,62 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return score(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
 
 
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.simhash import near_duplicates
+
+    return near_duplicates(_documents(spark, sf))
+
+
+_OP12_SQL = r"""
+WITH texts AS (
+    SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents
+    UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark
+), worded AS (
+    SELECT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts
+), featured AS (
+    SELECT side, id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature
+    FROM worded
+), counted AS (
+    SELECT side, id, feature, count(*) AS n FROM featured GROUP BY ALL
+), bits AS (
+    SELECT feature, encode(feature)::BIT AS bit, 8 * octet_length(encode(feature)) AS size FROM (SELECT DISTINCT feature FROM counted)
+), hashed AS (
+    SELECT feature, xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(size), lambda i: get_bit(bit, (i - i % 8 + 7 - i % 8)::INT)::BIGINT)),
+               lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) % 10000 AS bucket
+    FROM bits
+), sums AS (
+    SELECT bucket, sum(n) FILTER (WHERE side = 'd') AS s, sum(n) FILTER (WHERE side = 'b') AS t
+    FROM counted JOIN hashed USING (feature) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                   / ((coalesce(s, 0) + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM sums
+), weights AS (
+    SELECT id, sum(n)::BIGINT AS n, floor(sum(n * gain) / sum(n))::BIGINT AS weight
+    FROM counted JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+    SELECT w.id, len(words) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || w.id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM worded w LEFT JOIN weights x ON x.id = w.id WHERE side = 'd'
+), placed AS (
+    SELECT id, row_number() OVER (ORDER BY score DESC, id) AS place, count(*) OVER () AS total FROM scored WHERE n_words >= 20
+)
+SELECT s.id AS doc_id, n_features, weight, score, CASE WHEN place <= 25 * total // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed p ON p.id = s.id
+"""
+
+
+@query("op12_importance_resampling", _OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm.resampling import resampled
+
+    return resampled(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
