@@ -192,6 +192,16 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     return resampled(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
 
+@query("op11_tokenizer_alignment")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.alignment import aligned
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return aligned(_documents(spark, sf), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline

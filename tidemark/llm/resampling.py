@@ -144,8 +144,9 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGES
             for _, _, data, offsets in tb.slices(batch.column(0)):
                 for bucket, begin, end in _runs(dictionary, data, offsets, buckets, longest):
                     inside = np.zeros(len(bucket) + 1, np.int64)
-                    np.add.at(inside, begin, 1)
-                    np.add.at(inside, end, -1)
+                    some = end > begin
+                    np.add.at(inside, begin[some], 1)
+                    np.add.at(inside, end[some], -1)
                     total += np.bincount(bucket[np.cumsum(inside[:-1]) > 0], minlength=buckets)
         own = np.flatnonzero(total)
         yield pa.record_batch([pa.array(own), pa.array(total[own])], names=["bucket", "n"])
