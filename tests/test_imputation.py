@@ -2,10 +2,13 @@
 
 import math
 import random
+import warnings
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import neighbours
 from tidemark.operators.categories import category_impute, mode_impute
 from tidemark.operators.neighbours import knn_impute
 
@@ -88,6 +91,50 @@ def test_points_closer_than_the_grid(spark):
     check(spark, rows)
 
 
+def test_twelve_columns_with_all_kinds_of_gaps(spark):
+    rng = random.Random(10)
+    rows = []
+    for i in range(700):
+        a, b = rng.gauss(0, 1), rng.gauss(0, 1)
+        rows.append((i, *gaps(rng, [a * (j + 1) + b * (12 - j) + rng.gauss(0, 0.1) for j in range(12)], 0.15)))
+    check(spark, rows)
+
+
+def test_long_tails(spark):
+    rng = random.Random(11)
+    check(spark, [(i, *gaps(rng, [rng.lognormvariate(0, 3) for _ in range(3)], 0.2)) for i in range(900)])
+
+
+def test_leaves_and_cells_of_any_size(spark, monkeypatch):
+    """Small leaves and cells: many of both, receivers that share a cell with few donors, and one column that few have."""
+    monkeypatch.setattr(neighbours, "LEAF", 7)
+    monkeypatch.setattr(neighbours, "CELL_BITS", 2)
+    monkeypatch.setattr(neighbours, "AT_A_TIME", 50)
+    rng = random.Random(12)
+    rows = [(i, *gaps(rng, [rng.choice([0.0, -0.0, 1.0, rng.gauss(0, 1)]), rng.random(), rng.gauss(5, 2)], 0.2), 3.5 if i % 97 == 0 else None) for i in range(400)]
+    check(spark, rows)
+
+
+def test_least_distance_of_a_leaf_is_below_all_its_donors():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        donors, points = (np.where(rng.random((n, 5)) < 0.3, np.nan, rng.normal(size=(n, 5)) * [1, 5, 1, 2, 9]) for n in (60, 40))
+        tree = neighbours.Tree.over(donors, 6)
+        at = tree.leaf(donors)
+        own = [donors[at == leaf] for leaf in np.unique(at)]
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            ranges = [np.array([f(x, axis=0) for x in own]) for f in (np.nanmin, np.nanmax)]
+        leaves = neighbours.Leaves(np.unique(at), np.array(list(map(len, own))), *ranges, np.array([(~np.isnan(x)).sum(axis=0) for x in own]))
+        least = leaves.least(points)
+        for i, point in enumerate(points):
+            for j, rows in enumerate(own):
+                for row in rows:
+                    both = ~np.isnan(point - row)
+                    if both.any():
+                        assert least[i, j] <= 5 / both.sum() * ((point - row)[both] ** 2).sum()
+
+
 def test_few_donors_and_empty_rows(spark):
     check(spark, [(1, 1.0, 2.0), (2, 3.0, 4.0), (3, 2.0, None), (4, None, None), (5, None, 1.0)])
     check(spark, [(1, None, 2.0), (2, 3.0, None), (3, 2.0, None)])

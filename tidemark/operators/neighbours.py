@@ -1,333 +1,330 @@
-"""Missing numbers from the k nearest complete rows: exact, by equi joins on nested grid cells.
+"""Missing numbers from the k nearest rows that have them: exact, for any number of columns and any gaps.
 
 Distance between two rows: sqrt(m/p * sum of squared differences) over the p of m columns both have.
-Rows with the same set of present columns form a pattern, and each pair (receiver pattern, donor pattern)
-is a plain nearest-neighbour search over the shared columns:
 
 1. equal donors are cut to the k smallest keys, equal receivers become one point;
-2. donors are counted per grid cell on nested levels, each level a quarter of the width before;
-3. a receiver takes the finest cell around it with at least k donors; the k-th distance among some donors
-   there bounds its reach, and cells of about that width around it hold every donor that can be nearer;
-4. a cell with many donors is replaced by those of its children within reach, and the children tighten the
-   reach; this repeats while such cells are left, usually never;
-5. the k best donors by (distance, key) of the cells that remain give the value, the column mean where no
-   donor is comparable.
-
-A hot value therefore costs k rows, not its number of rows, and a receiver meets the donors of light cells
-only. Meant for a few numeric columns: boxes have 3^m cells and patterns come in pairs.
+2. a tree grown on a bounded sample of the donors cuts them into at most LEAVES leaves, by values and by which columns are
+   missing; every donor then goes to its leaf, and the leaf's ranges and counts are taken over all of them;
+3. a receiver first meets the leaf that can be nearest, for each column it lacks; the k-th distance there is its reach;
+4. of the other leaves it meets those whose least possible distance is within reach. That bound holds for every
+   set of columns the receiver may share with a donor of the leaf, so gaps need no patterns in pairs;
+5. the k best donors by (distance, key) give the value, the column mean where no donor is comparable.
+
+Receivers meet donors in cells of a bounded number of both, whatever the size of a leaf, each cell with array arithmetic.
+Only the sample, the tree and the leaves' ranges pass through the driver.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+import heapq
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
+from tidemark.operators.salting import salted_join
 from tidemark.session import settled
 
-MAX_LEVEL = 26
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Donors the tree is grown on.
+SAMPLE = 1 << 16
+#: Donors a leaf should have, and the most leaves there are.
+LEAF = 512
+LEAVES = 4096
+#: Donors and receivers of one cell, as powers of two.
+CELL_BITS = 12
+#: Distances worked out at a time.
+AT_A_TIME = 1 << 21
 SLACK = 1e-9
-# Donors a cell may hold before it is split; the rank limit below it is applied before the shuffle.
-MAX_LIGHT = 500
 
 
-def _pattern(columns: Sequence[str]) -> Column:
-    return F.concat(*[F.when(F.col(c).isNotNull(), "1").otherwise("0") for c in columns])
+def _matrix(columns: Sequence[pa.Array | pa.ChunkedArray]) -> np.ndarray:
+    """Rows by columns; missing values are NaN."""
+    return np.column_stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in map(_whole, columns)])
 
 
-def _statistics(df: DataFrame, columns: Sequence[str]) -> list:
-    """One row per pattern of present columns: at most 2^m rows for m columns."""
-    parts = []
-    for i, c in enumerate(columns):
-        parts += [F.sum(c).alias(f"s{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    return df.groupBy(_pattern(columns).alias("p")).agg(F.count(F.lit(1)).alias("n"), *parts).collect()
-
-
-def _pairs(patterns: Sequence[str]) -> list[tuple[str, str]]:
-    """(receiver pattern, donor pattern) that share a column while the donor has one the receiver lacks."""
-    return [
-        (r, d)
-        for r in patterns
-        for d in patterns
-        if any(a == b == "1" for a, b in zip(r, d)) and any(a == "0" and b == "1" for a, b in zip(r, d))
-    ]
-
-
-def _emit(df: DataFrame, pairs: Sequence[tuple[str, str]], side: int, columns: Sequence[str]) -> DataFrame:
-    """Repeat each row for the pairs its pattern takes part in; coordinates outside the shared columns are null."""
-    chain = None
-    for pattern in sorted({p[side] for p in pairs}):
-        own = F.array(*[F.lit(f"{r}|{d}") for r, d in pairs if (r, d)[side] == pattern])
-        chain = F.when(F.col("_p") == pattern, own) if chain is None else chain.when(F.col("_p") == pattern, own)
-    emitted = df.withColumn("_pair", F.explode(chain))
-    size = len(columns)
-    shared = [
-        (F.substring("_pair", i + 1, 1) == "1") & (F.substring("_pair", size + i + 2, 1) == "1")
-        for i in range(size)
-    ]
-    return emitted.withColumns({f"_c{i}": F.when(shared[i], F.col(c)) for i, c in enumerate(columns)})
-
-
-def _sum(parts: Sequence[Column]) -> Column:
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
+def _whole(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
 @dataclass(frozen=True)
-class _Grid:
-    """Nested cells: level 0 is one cell, each further level has a quarter of the width."""
+class Tree:
+    """Cuts of the space: a row goes left when the node's column is missing or at most the threshold. Leaves have column -1."""
 
-    lows: tuple[float, ...]
-    finest: float
-    top: int
+    column: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
 
     @classmethod
-    def over(cls, lows: Sequence[float], ranges: Sequence[float], donors: int, k: int) -> _Grid:
-        widest = max(ranges) or 1.0
-        narrowest = min(r for r in [*ranges, widest] if r > 0)
-        depth = math.ceil(math.log(max(donors / k, 1.0) * widest / narrowest, 4)) + 1
-        top = min(max(depth, 1), MAX_LEVEL)
-        return cls(tuple(lows), widest / 4.0**top * (1 + SLACK), top)
-
-    @property
-    def coords(self) -> list[str]:
-        return [f"_c{i}" for i in range(len(self.lows))]
-
-    @property
-    def cells(self) -> list[str]:
-        return [f"_g{i}" for i in range(len(self.lows))]
-
-    def cell(self, x: Column, i: int) -> Column:
-        """Cell number on the finest level; coordinates outside the search share cell 0."""
-        return F.coalesce(F.floor((x - F.lit(self.lows[i])) / F.lit(self.finest)), F.lit(0)).cast("long")
-
-    def located(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({g: self.cell(F.col(c), i) for i, (c, g) in enumerate(zip(self.coords, self.cells))})
-
-    def levels(self) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(self.top))).alias("_level")
-
-    def lifted(self, level: Column) -> list[Column]:
-        """Cells of the finest level as cells of `level`."""
-        drop = (F.lit(self.top) - level) * 2
-        return [F.call_function("shiftright", F.col(g), drop).alias(g) for g in self.cells]
-
-    def reaches(self) -> tuple[Column, Column]:
-        """Smallest and largest squared distance between the point of a row and its cell."""
-        width = F.lit(self.finest) * F.pow(F.lit(4.0), (F.lit(self.top) - F.col("_level")).cast("double"))
-        least, most = [], []
-        for i, (c, g) in enumerate(zip(self.coords, self.cells)):
-            low = F.lit(self.lows[i]) + F.col(g) * width
-            before, after = low - F.col(c), F.col(c) - (low + width)
-            outside = F.greatest(before, after, F.lit(0.0))
-            across = F.greatest(F.abs(before), F.abs(after))
-            least.append(F.when(F.col(c).isNull(), 0.0).otherwise(outside * outside))
-            most.append(F.when(F.col(c).isNull(), 0.0).otherwise(across * across))
-        return _sum(least) * (1 - SLACK), _sum(most) * (1 + SLACK)
-
-
-def _within(square: Column) -> Column:
-    """Squared distance inside the reach; without a reach the pair has fewer than k donors, all of which count."""
-    return F.col("_reach").isNull() | (square * (1 - SLACK) <= F.col("_reach") * F.col("_reach"))
-
-
-def _squared(grid: _Grid, here: str, there: str) -> Column:
-    parts = [(F.col(f"{here}.{c}"), F.col(f"{there}.{c}")) for c in grid.coords]
-    return _sum([F.coalesce((a - b) * (a - b), F.lit(0.0)) for a, b in parts])
-
-
-def _boxes(bound: DataFrame, grid: _Grid) -> DataFrame:
-    """Cells around each receiver, on the finest level whose cells are at least as wide as its reach."""
-    reach = F.col("_reach") * (1 + SLACK)
-    narrow = F.floor(F.log(4.0, F.lit(grid.finest * 4.0**grid.top) / reach)).cast("int")
-    level = (
-        F.when(F.col("_reach").isNull(), 0)
-        .when(F.col("_reach") <= grid.finest, grid.top)
-        .otherwise(F.greatest(F.lit(0), F.least(F.lit(grid.top), narrow)))
-    )
-    box = bound.withColumn("_level", level)
-    drop = (F.lit(grid.top) - F.col("_level")) * 2
-    for i, (c, g) in enumerate(zip(grid.coords, grid.cells)):
-        x = F.col(c)
-        room = reach + (F.abs(x) + reach) * F.lit(1e-12)
-        ends = [F.call_function("shiftright", grid.cell(e, i), drop) for e in (x - room, x + room)]
-        everywhere = x.isNull() | F.col("_reach").isNull()
-        box = box.withColumn(g, F.explode(F.when(everywhere, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(*ends))))
-    return box
-
-
-def _split(heavy: DataFrame, counts: DataFrame, grid: _Grid, receiver: Sequence[str], k: int) -> DataFrame:
-    """Heavy cells replaced by their non-empty children within reach; the children tighten the reach."""
-    child = counts.select(
-        "_pair",
-        (F.col("_level") - 1).alias("_level"),
-        *[F.call_function("shiftright", F.col(g), F.lit(2)).alias(g) for g in grid.cells],
-        *[F.col(g).alias(f"_child{i}") for i, g in enumerate(grid.cells)],
-        "_n",
-    )
-    opened = (
-        heavy.drop("_n")
-        .join(child, ["_pair", "_level", *grid.cells])
-        .withColumn("_level", F.col("_level") + 1)
-        .withColumns({g: F.col(f"_child{i}") for i, g in enumerate(grid.cells)})
-        .drop(*[f"_child{i}" for i in range(len(grid.cells))])
-    )
-    least, most = grid.reaches()
-    nearest = Window.partitionBy(*receiver).orderBy("_most").rowsBetween(Window.unboundedPreceding, 0)
-    enough = F.min(F.when(F.col("_upto") >= k, F.sqrt("_most"))).over(Window.partitionBy(*receiver))
-    return (
-        opened.withColumns({"_least": least, "_most": most})
-        .withColumn("_upto", F.sum("_n").over(nearest))
-        .withColumn("_reach", F.least("_reach", enough))
-        .where(_within(F.col("_least")))
-        .drop("_least", "_most", "_upto")
-    )
+    def over(cls, points: np.ndarray, leaves: int) -> Tree:
+        """The largest node is cut until there are `leaves`: by presence where that is near even, else at the median of the widest column."""
+        nodes = [(-1, 0.0, -1, -1)]
+        heap = [(-len(points), 0, points)]
+        while heap and (len(nodes) + 1) // 2 < leaves:
+            _, node, own = heapq.heappop(heap)
+            cut = _cut(own)
+            if cut is None:
+                continue
+            column, threshold = cut
+            goes_left = ~(own[:, column] > threshold)
+            nodes[node] = (column, threshold, len(nodes), len(nodes) + 1)
+            for part in (own[goes_left], own[~goes_left]):
+                heapq.heappush(heap, (-len(part), len(nodes), part))
+                nodes.append((-1, 0.0, -1, -1))
+        return cls(*(np.array(x) for x in zip(*nodes)))
+
+    def leaf(self, points: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(points), np.int64)
+        inner = np.flatnonzero(self.column[at] >= 0)
+        while len(inner):
+            node = at[inner]
+            goes_right = points[inner, self.column[node]] > self.threshold[node]
+            at[inner] = np.where(goes_right, self.right[node], self.left[node])
+            inner = inner[self.column[at[inner]] >= 0]
+        return at
+
+
+def _cut(own: np.ndarray) -> tuple[int, float] | None:
+    if len(own) < 2:
+        return None
+    share = np.isnan(own).mean(axis=0)
+    even = share * (1 - share)
+    if even.max() > 0.1875:
+        return int(even.argmax()), -np.inf
+    best = None
+    for c in range(own.shape[1]):
+        values = own[~np.isnan(own[:, c]), c]
+        if len(values) and values.min() < values.max():
+            spread = float(values.std())
+            if best is None or spread > best[0]:
+                best = spread, c, values
+    if best is None:
+        return (int(even.argmax()), -np.inf) if even.max() > 0 else None
+    middle = np.partition(best[2], (len(best[2]) - 1) // 2)[(len(best[2]) - 1) // 2]
+    if middle == best[2].max():
+        middle = best[2][best[2] < middle].max()
+    return best[1], float(middle)
 
 
-def _candidates(
-    donors: DataFrame, receivers: DataFrame, grid: _Grid, point: Sequence[str], k: int, carried: Sequence[str]
-) -> DataFrame:
-    """(point, squared distance, columns shared, donor and its values): every donor that can be among the k nearest."""
-    coords, cells = grid.coords, grid.cells
-    receiver = ["_pair", *point, *coords]
-    light = min(4 ** len(cells) * k, MAX_LIGHT)
-    lifted = donors.select("*", grid.levels())
-    lifted = lifted.select("_pair", "_level", *grid.lifted(F.col("_level")), *coords, *carried)
-    counts = (
-        donors.groupBy("_pair", *cells)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_pair", *cells, "_n", grid.levels())
-        .select("_pair", "_level", *grid.lifted(F.col("_level")), "_n")
-        .groupBy("_pair", "_level", *cells)
-        .agg(F.sum("_n").alias("_n"))
-    )
-    first = Window.partitionBy("_pair", "_level", *cells).orderBy("_donor")
-    some = lifted.withColumn("_row", F.row_number().over(first)).where(F.col("_row") <= light).drop("_row")
-
-    own = (
-        receivers.select(*receiver, *cells, grid.levels())
-        .select(*receiver, "_level", *grid.lifted(F.col("_level")))
-        .join(counts.where((F.col("_n") >= k) | (F.col("_level") == 0)).drop("_n"), ["_pair", "_level", *cells])
-        .groupBy(*receiver)
-        .agg(F.max_by(F.struct("_level", *cells), "_level").alias("_at"))
-        .select(*receiver, "_at.*")
-    )
-    in_cell = ["_pair", "_level", *cells]
-    same_cell = [F.col(f"r.{c}") == F.col(f"d.{c}") for c in in_cell]
-    bound = (
-        own.alias("r")
-        .join(some.alias("d"), same_cell)
-        .select(*[F.col(f"r.{c}") for c in receiver], _squared(grid, "r", "d").alias("_q"))
-        .withColumn("_row", F.row_number().over(Window.partitionBy(*receiver).orderBy("_q")))
-        .where(F.col("_row") <= k)
-        .groupBy(*receiver)
-        .agg(F.sqrt(F.max(F.when(F.col("_row") == k, F.col("_q")))).alias("_reach"))
+@dataclass(frozen=True)
+class Leaves:
+    """Ranges and counts of the donors of each leaf, by column."""
+
+    number: np.ndarray
+    rows: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    count: np.ndarray
+
+    def least(self, points: np.ndarray) -> np.ndarray:
+        """Squared distance, points by leaves, below which no donor of the leaf can be; infinite where none is comparable.
+
+        A column all donors of the leaf have is shared for sure. The others can only add to the shared ones; of those, the
+        smallest gaps give the least mean, taken in one by one.
+        """
+        m = points.shape[1]
+        has = ~np.isnan(points)
+        total, shared = np.zeros((len(points), len(self.rows))), np.zeros((len(points), len(self.rows)), np.int64)
+        optional = []
+        for c in range(m):
+            x = points[:, c, None]
+            gap = np.maximum(np.maximum(self.low[:, c] - x, x - self.high[:, c]), 0.0) ** 2
+            sure = has[:, c, None] & (self.count[:, c] == self.rows)
+            total += np.where(sure, gap, 0.0)
+            shared += sure
+            maybe = has[:, c, None] & (self.count[:, c] > 0) & ~sure
+            if maybe.any():
+                optional.append(np.where(maybe, gap, np.inf))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where(shared > 0, total / shared, np.inf)
+            for gap in np.sort(np.stack(optional), axis=0) if optional else ():
+                shared = shared + np.isfinite(gap)
+                total = total + np.where(np.isfinite(gap), gap, 0.0)
+                least = np.where(shared > 0, np.minimum(least, total / shared), np.inf)
+        return least * m * (1 - SLACK)
+
+    def homes(self, points: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
+        """Points by leaves: for each column a point lacks, the nearest leaf with k donors that have it."""
+        chosen = np.zeros(least.shape, dtype=bool)
+        for c in range(points.shape[1]):
+            rows = np.flatnonzero(np.isnan(points[:, c]))
+            usable = np.where(self.count[:, c] >= k, least[rows], np.inf)
+            at = usable.argmin(axis=1)
+            fits = np.isfinite(usable[np.arange(len(rows)), at])
+            chosen[rows[fits], at[fits]] = True
+        return chosen
+
+    def within(self, points: np.ndarray, least: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Points by leaves: whether the leaf may hold a donor within reach of a column that the point lacks."""
+        chosen = np.zeros(least.shape, dtype=bool)
+        for c in range(points.shape[1]):
+            rows = np.flatnonzero(np.isnan(points[:, c]))
+            near = np.isfinite(least[rows]) & (least[rows] <= (reach[rows, c] ** 2)[:, None])
+            chosen[rows] |= near & (self.count[:, c] > 0)
+        return chosen
+
+
+def _met(receivers: DataFrame, leaves: Leaves, m: int, k: int, with_reach: bool) -> DataFrame:
+    """(_leaf, receiver): the home leaves of each receiver, or with reaches the other leaves that it has to meet."""
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, AT_A_TIME // (len(leaves.rows) * m))
+        for batch in (whole.slice(s, step) for whole in batches for s in range(0, whole.num_rows, step)):
+            points = _matrix(batch.columns[1 : m + 1])
+            least = leaves.least(points)
+            chosen = leaves.homes(points, least, k)
+            if with_reach:
+                chosen = leaves.within(points, least, _matrix(batch.columns[m + 1 :])) & ~chosen
+            row, leaf = np.nonzero(chosen)
+            yield pa.record_batch([pa.array(leaves.number[leaf]), *(c.take(pa.array(row)) for c in batch.columns[: m + 1])], names=names)
+
+    fields = [StructField("_leaf", LongType()), *receivers.schema.fields[: m + 1]]
+    names = [f.name for f in fields]
+    return receivers.mapInArrow(tasks, StructType(fields))
+
+
+def _nearest(points: np.ndarray, donors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(column, point, donor, distance): for each column a point lacks its k nearest donors that have it; ties go to the earlier donor."""
+    m = points.shape[1]
+    step = max(1, AT_A_TIME // max(1, len(donors)))
+    for s in range(0, len(points), step):
+        own = points[s : s + step]
+        total, shared = np.zeros((len(own), len(donors))), np.zeros((len(own), len(donors)))
+        for c in range(m):
+            apart = own[:, c, None] - donors[None, :, c]
+            both = ~np.isnan(apart)
+            total += np.where(both, apart * apart, 0.0)
+            shared += both
+        with np.errstate(divide="ignore", invalid="ignore"):
+            distance = np.where(shared > 0, np.sqrt(m / shared * total), np.inf)
+        for c in range(m):
+            rows, having = np.flatnonzero(np.isnan(own[:, c])), np.flatnonzero(~np.isnan(donors[:, c]))
+            if not len(rows) or not len(having):
+                continue
+            sub = distance[np.ix_(rows, having)]
+            last = min(k, len(having)) - 1
+            near = (sub <= np.partition(sub, last, axis=1)[:, last, None]) & np.isfinite(sub)
+            r, d = np.nonzero(near)
+            order = np.lexsort((d, sub[r, d], r))
+            r, d = r[order], d[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            r, d = r[place < k], d[place < k]
+            yield c, rows[r] + s, having[d], sub[r, d]
+
+
+def _found(met: DataFrame, donors: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """(_rid, _c, _d, _donor, _v): for each receiver, cell and lacking column the nearest donors of that cell."""
+    m = len(columns)
+    blocks = donors.select("_leaf", "_block").distinct()
+    visits = settled(met.join(blocks, "_leaf"))
+    sizes = visits.groupBy("_leaf", "_block").agg(F.ceil(F.count(F.lit(1)) / (1 << CELL_BITS)).cast("int").alias("_parts"))
+    visits = salted_join(visits, sizes, ["_leaf", "_block"], ["_rid"]).withColumn("_part", F.pmod(F.xxhash64("_rid", F.lit(1)), F.col("_parts")).cast("int"))
+    there = donors.join(sizes, ["_leaf", "_block"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    cell = ["_leaf", "_block", "_part"]
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("_order")
+        points, values = _matrix([left.column(c) for c in columns]), _matrix([right.column(c) for c in columns])
+        out = [pa.table({"_rid": [], "_c": [], "_d": [], "_donor": [], "_v": []}, schema=arrow_schema(right))]
+        for c, p, d, distance in _nearest(points, values, k):
+            arrays = [left.column("_rid").take(pa.array(p)), pa.array(np.full(len(p), c, np.int32)), pa.array(distance), right.column("_donor").take(pa.array(d)), pa.array(values[d, c])]
+            out.append(pa.table(arrays, schema=out[0].schema))
+        return pa.concat_tables(out)
+
+    def arrow_schema(right: pa.Table) -> pa.Schema:
+        return pa.schema([("_rid", pa.int64()), ("_c", pa.int32()), ("_d", pa.float64()), ("_donor", right.schema.field("_donor").type), ("_v", pa.float64())])
+
+    schema = StructType(
+        [StructField("_rid", LongType()), StructField("_c", IntegerType()), StructField("_d", DoubleType()), donors.schema["_donor"], StructField("_v", DoubleType())]
     )
-    least, _ = grid.reaches()
-    frontier = _boxes(bound, grid).join(counts, in_cell).where(_within(least))
-
-    ready, full = [], None
-    while True:
-        frontier = settled(frontier)
-        ready.append(frontier.where(F.col("_n") <= light))
-        crowded = frontier.where(F.col("_n") > light)
-        last = crowded.where(F.col("_level") == grid.top)
-        full = last if full is None else full.unionByName(last)
-        heavy = crowded.where(F.col("_level") < grid.top)
-        if heavy.isEmpty():
-            break
-        frontier = _split(heavy, counts, grid, receiver, k)
-    cells_ready = ready[0]
-    for r in ready[1:]:
-        cells_ready = cells_ready.unionByName(r)
-
-    def meet(side: DataFrame, donors_there: DataFrame) -> DataFrame:
-        square = _squared(grid, "r", "d")
-        used = F.size(F.filter(F.array(*[F.col(f"r.{c}") for c in coords]), lambda c: c.isNotNull()))
-        return (
-            side.alias("r")
-            .join(donors_there.alias("d"), [*same_cell, _within(square)])
-            .select(*[F.col(f"r.{c}") for c in point], square.alias("_q"), used.alias("_used"), *[F.col(f"d.{c}") for c in carried])
-        )
-
-    # Finest cells that are still crowded: points closer than the grid resolves, all of them met.
-    at_top = lifted.where(F.col("_level") == grid.top)
-    return meet(cells_ready, some).unionByName(meet(full, at_top))
+    left = visits.select(*cell, "_rid", *columns).groupBy(*cell)
+    right = there.select(*cell, "_order", "_donor", *columns).groupBy(*cell)
+    return left.cogroup(right).applyInArrow(meet, schema)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    nearest = Window.partitionBy("_rid", "_c").orderBy("_d", "_donor")
+    return found.withColumn("_row", F.row_number().over(nearest)).where(F.col("_row") <= k)
+
+
+def _donors(base: DataFrame, columns: Sequence[str], k: int) -> tuple[DataFrame, Leaves | None]:
+    """Donors with leaf, block and their place in the block by key; the leaves."""
+    m = len(columns)
+    same = Window.partitionBy(*columns).orderBy("_donor")
+    some = settled(base.withColumn("_row", F.row_number().over(same)).where(F.col("_row") <= k).drop("_row"))
+    n = some.count()
+    if not n:
+        return some, None
+    sample = some.orderBy(F.xxhash64("_donor", *columns)).limit(SAMPLE).select(*columns).toArrow()
+    tree = Tree.over(_matrix(sample.columns), min(LEAVES, -(-n // LEAF)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = _matrix(batch.columns[1:])
+            first = np.where(np.isnan(points[:, 0]), -np.inf, points[:, 0])
+            yield pa.record_batch([*batch.columns, pa.array(tree.leaf(points)), pa.array(first)], names=[*batch.schema.names, "_leaf", "_first"])
+
+    located = some.select("_donor", *columns).mapInArrow(place, StructType([some.schema["_donor"], *(some.schema[c] for c in columns), StructField("_leaf", LongType()), StructField("_first", DoubleType())]))
+    ranged = located.repartitionByRange("_leaf", "_first").sortWithinPartitions("_leaf", "_first")
+    placed = settled(ranged.withColumn("_block", F.shiftrightunsigned(F.monotonically_increasing_id(), CELL_BITS)).drop("_first"))
+    parts = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(columns):
+        parts += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.count(c).alias(f"n{i}")]
+    seen = placed.groupBy("_leaf").agg(*parts).toArrow()
+    low, high, count = (_matrix([seen.column(f"{p}{i}") for i in range(m)]) for p in ("lo", "hi", "n"))
+    leaves = Leaves(seen.column("_leaf").to_numpy(), seen.column("n").to_numpy(), low, high, count.astype(np.int64))
+    in_block = Window.partitionBy("_leaf", "_block").orderBy("_donor")
+    return placed.withColumn("_order", F.row_number().over(in_block)), leaves
+
+
+def _any(columns: Sequence[str], missing: bool) -> Column:
+    found = F.lit(False)
+    for c in columns:
+        found = found | (F.col(c).isNull() if missing else F.col(c).isNotNull())
+    return found
 
 
 def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5) -> DataFrame:
-    """Fill null numbers in `columns`; `key` breaks ties of the distance.
+    """Fill null numbers in `columns`; `key` breaks ties of the distance. NaN counts as null, rows without any number take the means.
 
-    Runs jobs when called: the collapsed donors and the cells to search are kept in the shared folder.
+    Runs jobs when called: donors, receivers and what they meet are kept in the shared folder.
     """
     columns = list(columns)
-    size = len(columns)
+    own = [f"_z{i}" for i in range(len(columns))]
     typed = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns})
-    stats = _statistics(typed, columns)
-
-    means, lows, ranges = [], [], []
-    for i in range(size):
-        seen = [r for r in stats if r["p"][i] == "1"]
-        total = sum(r["n"] for r in seen)
-        means.append(sum(r[f"s{i}"] for r in seen) / total if total else None)
-        low = min((r[f"lo{i}"] for r in seen), default=0.0)
-        lows.append(low)
-        ranges.append(max((r[f"hi{i}"] for r in seen), default=0.0) - low)
-    mean_of = [F.lit(m).cast("double") for m in means]
-    pairs = _pairs([r["p"] for r in stats])
-    if not pairs:
+    means = typed.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    mean_of = [F.lit(x).cast("double") for x in means]
+    # Zeros of both signs are one point.
+    base = typed.select(F.col(key).alias("_donor"), *[(F.col(c) + F.lit(0.0)).alias(z) for c, z in zip(columns, own)])
+    distinct = base.where(_any(own, True) & _any(own, False)).select(*own).distinct()
+    receivers = settled(distinct.select(F.monotonically_increasing_id().alias("_rid"), *own))
+    donors, leaves = _donors(base.where(_any(own, False)), own, k)
+    if leaves is None or receivers.isEmpty():
         return typed.withColumns({c: F.coalesce(F.col(c), mean_of[i]) for i, c in enumerate(columns)})
 
-    grid = _Grid.over(lows, ranges, sum(r["n"] for r in stats), k)
-    coords = grid.coords
-    base = typed.select(key, *columns).withColumn("_p", _pattern(columns))
-    point = ["_p", *[f"_z{i}" for i in range(size)]]
-    values = [f"_v{i}" for i in range(size)]
-    nearest_key = Window.partitionBy("_pair", *coords).orderBy(key)
-    donors = (
-        _emit(base, pairs, 1, columns)
-        .withColumn("_row", F.row_number().over(nearest_key))
-        .where(F.col("_row") <= k)
-        .select("_pair", *coords, F.col(key).alias("_donor"), *[F.col(c).alias(v) for c, v in zip(columns, values)])
-    )
-    receivers = (
-        _emit(base, pairs, 0, columns)
-        .select("_pair", "_p", *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"_z{i}") for i, c in enumerate(columns)], *coords)
-        .distinct()
-    )
-    candidates = _candidates(
-        grid.located(settled(donors)), grid.located(receivers), grid, point, k, ["_donor", *values]
-    )
-
-    targets = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.when(F.substring("_p", i + 1, 1) == "0", F.col(v)).alias("v"))
-            for i, v in enumerate(values)
-        ]
-    )
-    distance = F.sqrt(F.lit(float(size)) / F.col("_used") * F.col("_q"))
-    best = Window.partitionBy(*point, "_t.i").orderBy("_d", "_donor")
-    found = (
-        candidates.select(*point, distance.alias("_d"), "_donor", F.explode(targets).alias("_t"))
-        .where(F.col("_t.v").isNotNull())
-        .withColumn("_row", F.row_number().over(best))
-        .where(F.col("_row") <= k)
-        .groupBy(*point, F.col("_t.i").alias("_i"))
-        .agg(F.avg("_t.v").alias("_f"))
-        .groupBy(*point)
-        .agg(*[F.max(F.when(F.col("_i") == i, F.col("_f"))).alias(f"_f{i}") for i in range(size)])
-    )
-    gaps = _pattern(columns).contains("0")
-    keyed = typed.where(gaps).withColumn("_p", _pattern(columns)).withColumns(
-        {f"_z{i}": F.coalesce(F.col(c), F.lit(0.0)) for i, c in enumerate(columns)}
-    )
-    filled = keyed.join(found, point, "left").withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_f{i}"), mean_of[i]) for i, c in enumerate(columns)}
-    )
-    complete = typed.where(~gaps)
-    return complete.unionByName(filled.select(*complete.columns))
+    m = len(columns)
+    first = settled(_best(_found(_met(receivers, leaves, m, k, False), donors, own, k), k))
+    reach = first.where(F.col("_row") == k).groupBy("_rid").agg(F.map_from_entries(F.collect_list(F.struct("_c", "_d"))).alias("_reach"))
+    reaching = receivers.join(reach, "_rid", "left")
+    reaching = reaching.select("_rid", *own, *[F.coalesce(F.element_at("_reach", F.lit(i)), F.lit(float("inf"))).alias(f"_r{i}") for i in range(m)])
+    second = _found(_met(reaching, leaves, m, k, True), donors, own, k)
+    best = _best(first.drop("_row").unionByName(second), k)
+    values = best.groupBy("_rid", "_c").agg(F.avg("_v").alias("_f"))
+    values = values.groupBy("_rid").agg(*[F.max(F.when(F.col("_c") == i, F.col("_f"))).alias(f"_f{i}") for i in range(m)])
+
+    def point(names: Sequence[str]) -> list[Column]:
+        return [F.struct(F.col(c).isNull(), F.coalesce(F.col(c), F.lit(0.0)) + F.lit(0.0)).alias(f"_p{i}") for i, c in enumerate(names)]
+
+    found = receivers.join(values, "_rid").select(*point(own), *[f"_f{i}" for i in range(m)])
+    gaps = _any(columns, True)
+    filled = typed.where(gaps).select("*", *point(columns)).join(found, [f"_p{i}" for i in range(m)], "left")
+    filled = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_f{i}"), mean_of[i]) for i, c in enumerate(columns)})
+    return typed.where(~gaps).unionByName(filled.select(*typed.columns))
