@@ -23,3 +23,19 @@ def salted_join(
     left = big.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+#: Share of all rows from which on a key counts as hot: there are at most so many hot keys.
+HOT_KEYS = 1000
+
+
+def hot_join(big: DataFrame, small: DataFrame, keys: Sequence[str], count: str, total: int) -> DataFrame:
+    """Inner join of rows to one summary row a key, with the hot keys joined in place.
+
+    `small` has in `count` how many rows of `big` each key has, and `total` is the sum. Keys with more than one of
+    HOT_KEYS of all rows, at most HOT_KEYS keys, are broadcast; their rows are not shuffled. No key is null.
+    """
+    share = F.col(count).cast("double") * HOT_KEYS
+    hot = F.broadcast(small.where(share > total).drop(count))
+    rest = small.where(share <= total).drop(count)
+    return big.join(hot, list(keys)).unionByName(big.join(hot.select(*keys), list(keys), "left_anti").join(rest, list(keys)))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a file of a small table, and the number of files it has at least.
+FILE_ROWS, FEW = 1 << 18, 8
+
 _LOCAL: dict[str, str] = {}
 
 
@@ -20,17 +25,23 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if "folder" not in _LOCAL:
             _LOCAL["folder"] = tempfile.mkdtemp(prefix="run-")
+            atexit.register(shutil.rmtree, _LOCAL["folder"], ignore_errors=True)
         folder = _LOCAL["folder"]
     return folder
 
 
-def settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame, rows: int | None = None) -> DataFrame:
     """The rows written once to a table in the shared folder, so several uses do not compute them again.
 
-    The table outlives lost executors; like checkpoint files it stays until the folder is cleaned.
+    With `rows`, a bound of their number, a small table is written in few files in place of one for each task of a
+    shuffle: one for FILE_ROWS rows, and at least FEW. The table outlives lost executors; like checkpoint files it stays until
+    the folder is cleaned, or in a local session without such a folder until the session's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    files = None if rows is None else max(FEW, -(-rows // FILE_ROWS))
+    if files is not None and files < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.coalesce(files)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
