@@ -1,11 +1,16 @@
 """Near duplicates, fingerprints, line dedup and decontamination beside brute force, with the odd rows."""
 
 import random
+import tracemalloc
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import near_dedup
+from tidemark.llm import textbytes as tb
 from tidemark.llm.decontamination import decontaminated, suffix_array, verbatim_matches
 from tidemark.llm.fingerprints import containment, edited_fingerprints, likeness, merged, sketch
 from tidemark.llm.graph import components
@@ -206,3 +211,49 @@ def test_suffix_array_is_in_order():
     tail = lambda i: [w for w in words[i:].tolist()][: (words[i:].tolist() + [0]).index(0)]
     assert sorted(got.tolist()) == [i for i, w in enumerate(words) if w]
     assert [tail(i) for i in got] == sorted(tail(i) for i in got)
+
+
+def test_cells_of_long_near_copies_are_bounded(spark, monkeypatch):
+    """A crowd of long near copies: the pieces of a bucket follow the shingles, and no run of rows holds more than one long text."""
+    monkeypatch.setattr(near_dedup, "SHINGLES", 2000)
+    rng = random.Random(21)
+    base = text_of(rng, 900).split()
+    rows = []
+    for i in range(24):
+        own = list(base)
+        for _ in range(12 * (i % 4)):
+            own[rng.randrange(900)] = rng.choice(WORDS) + str(i)
+        rows.append((i, " ".join(own)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(frame(spark, rows)).collect()}
+    assert got == brute.near_duplicates(rows)
+    n = pa.array([1500, 400, 200, 3000, 10, 10])
+    columns = [n if c == "n" else pa.array([0] * 6) for c in near_dedup.MEMBER]
+    runs = list(near_dedup._bounded(iter([pa.record_batch(columns, names=near_dedup.MEMBER)])))
+    assert [r.num_rows for r in runs] == [2, 1, 1, 2]
+
+
+def test_memory_of_a_cell_of_long_near_copies():
+    """Links of one full cell of texts of 10,000 words stay below 300 MB."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(5000)])
+    base = rng.choice(words, 10_000)
+    count = near_dedup.SHINGLES // 10_000
+    columns = {c: [] for c in [*near_dedup.MEMBER, "text"]}
+    for i in range(2 * count):
+        own = base.copy()
+        own[rng.integers(0, 10_000, 100)] = rng.choice(words, 100)
+        text = " ".join(own)
+        columns["text"].append(text)
+        (_, _, data, offsets) = next(tb.slices(pa.array([text])))
+        starts, ends, bounds = tb.word_bounds(data, offsets, tb.NOT_SPACE)
+        (found,) = tb.shingle_sets(tb.word_hashes(data, starts, ends), bounds, near_dedup.WIDTH)
+        signs, checks = near_dedup.signature(found)
+        for c, v in zip(near_dedup.MEMBER, [1, 0, 0, i, i, int(i >= count), len(found), i, signs, checks]):
+            columns[c].append(v)
+    kinds = {"block": pa.int32(), "part": pa.int32(), "role": pa.int32(), "signs": pa.list_(pa.int32()), "checks": pa.binary(), "text": pa.string()}
+    batch = pa.record_batch([pa.array(v, kinds.get(c, pa.int64())) for c, v in columns.items()], names=list(columns))
+    tracemalloc.start()
+    links = [r for b in near_dedup._links(iter([batch])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links and peak < 300e6, peak

@@ -18,14 +18,18 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     own = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     both = own.select(F.col(a).alias("_from"), F.col(b).alias("_to"))
     both = settled(both.union(both.select("_to", "_from")).distinct())
-    labels = settled(both.groupBy(F.col("_from").alias("node")).agg(F.least(F.min("_to"), F.first("_from")).alias("component")))
+    # Tables of labels have one row a node, so their files follow the number of links, not the partitions of the session.
+    rows = both.count()
+    labels = settled(both.groupBy(F.col("_from").alias("node")).agg(F.least(F.min("_to"), F.first("_from")).alias("component")), rows)
+    if not rows:
+        return labels
     while True:
         seen = both.join(labels.select(F.col("node").alias("_to"), "component"), "_to")
         lower = seen.groupBy(F.col("_from").alias("node")).agg(F.min("component").alias("_near"))
         lower = labels.join(lower, "node").select("node", F.col("component").alias("_was"), F.least("component", "_near").alias("_now"))
         roots = labels.select(F.col("node").alias("_now"), F.col("component").alias("_root"))
         moved = lower.join(roots, "_now").select("node", F.least("_now", "_root").alias("component"), "_was")
-        moved = settled(moved)
+        moved = settled(moved, rows)
         labels = moved.select("node", "component")
         if moved.where("component != _was").isEmpty():
             return labels

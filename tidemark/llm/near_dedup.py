@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes as tb
 from tidemark.llm.graph import components
+from tidemark.operators.salting import salted_join
 from tidemark.session import settled
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,12 +42,16 @@ CHECKS = 98
 FAR = 56
 ROUNDS = 3
 WIDTH = 5
+#: Classes of a cell, outer and other ones, and the shingles of either side: a cell is bounded by both.
 BLOCK = 512
 PART = 1024
+SHINGLES = 1 << 19
+#: Tasks over which the classes of one head or bucket are dealt before they are cut into cells.
+SALTS = 16
 SIEVE = 1 << 19
 #: Pairs compared at a time.
 PAIRS = 100_000
-#: Rows whose shingle sets are held at a time, besides those of an unfinished cell.
+#: Rows whose shingle sets are made at a time, besides those of an unfinished cell; fewer where they are long.
 ROWS = 1024
 
 _rng = np.random.default_rng(77)
@@ -112,6 +117,18 @@ MEMBER = [*CELL, "cls", "component", "role", "n", "doc", "signs", "checks"]
 LINK = ["a", "a_doc", "b", "b_doc"]
 
 
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with at most ROWS rows and SHINGLES shingles, or one row."""
+    for whole in batches:
+        upto = np.cumsum(whole.column(MEMBER.index("n")).to_numpy())
+        s = 0
+        while s < whole.num_rows:
+            full = int(np.searchsorted(upto, (upto[s - 1] if s else 0) + SHINGLES, "right"))
+            e = max(s + 1, min(s + ROWS, full))
+            yield whole.slice(s, e - s)
+            s = e
+
+
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, list[np.ndarray]]]:
     """Rows of whole cells out of batches sorted by cell: columns, number of the cell, shingle sets where texts are given."""
     held: dict[str, np.ndarray] = {}
@@ -123,7 +140,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nda
             new[1:] |= rows[c][1:] != rows[c][:-1]
         return np.cumsum(new)
 
-    for batch in (whole.slice(s, ROWS) for whole in batches for s in range(0, whole.num_rows, ROWS)):
+    for batch in _bounded(batches):
         rows = {c: batch.column(i).to_numpy() for i, c in enumerate(MEMBER[:-2])}
         rows["signs"], rows["checks"] = _matrix(batch.column(len(MEMBER) - 2), batch.column(len(MEMBER) - 1))
         sets: list[np.ndarray] = []
@@ -242,23 +259,28 @@ def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return buckets.withColumn("component", F.col("cls"))
     found = buckets.join(labels, "cls", "left")
-    return found.select("slot", "key", "cls", F.coalesce("component", "cls").alias("component"))
+    return found.select("slot", "key", "cls", "n", F.coalesce("component", "cls").alias("component"))
+
+
+def _pieces(which: Column, rows: int) -> Column:
+    """Into how many pieces the classes go, by their number and by their shingles."""
+    return F.greatest(F.ceil(F.sum(which.cast("int")) / rows), F.ceil(F.sum(F.when(which, F.col("n"))) / SHINGLES)).cast("int")
 
 
 def _stars(rays: DataFrame) -> DataFrame:
-    """Cells of a head (g, of component main) and up to BLOCK classes to be compared with it."""
-    sizes = rays.groupBy("g", "main").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    outer = rays.join(sizes.select("g", "blocks"), "g").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    """Cells of a head (g, of component main) and some classes to be compared with it, BLOCK or SHINGLES shingles."""
+    sizes = rays.groupBy("g", "main").agg(_pieces(F.lit(True), BLOCK).alias("blocks"))
+    outer = salted_join(rays, sizes.select("g", "blocks"), ["g"], ["cls"], salts=SALTS).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     outer = outer.select("g", "block", F.lit(0).alias("part"), "cls", "component", F.lit(0).alias("role"))
     head = sizes.select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("part"), F.col("g").alias("cls"), F.col("main").alias("component"), F.lit(1).alias("role"))
     return outer.union(head)
 
 
 def _blocks(pending: DataFrame) -> DataFrame:
-    """Cells of BLOCK classes outside of the component g and PART classes of the same buckets, each with each."""
+    """Cells of BLOCK classes outside of the component g and PART classes of the same buckets, each with each; fewer where they are long."""
     outside = F.col("component") != F.col("g")
-    sizes = pending.groupBy("g").agg(F.ceil(F.sum(outside.cast("int")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    rows = pending.join(sizes, "g")
+    sizes = pending.groupBy("g").agg(_pieces(outside, BLOCK).alias("blocks"), _pieces(F.lit(True), PART).alias("parts"))
+    rows = salted_join(pending, sizes, ["g"], ["cls"], salts=SALTS)
     outer = rows.where(outside).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*MEMBER[:5], F.lit(0).alias("role"))
     other = rows.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("parts")).cast("int"))
@@ -288,7 +310,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     number = F.xxhash64("digest").alias("cls")
     classes = settled(classes.select(number, F.col("_c.doc_id").alias("doc"), "_c.print", "digest", F.col("_c.n_shingles").alias("n"), "_c.signs", "_c.checks"))
     signs = classes.select("cls", "doc", "print", "n", "signs", "checks")
-    keyed = classes.select("cls", F.posexplode(_keys()).alias("slot", "key"))
+    keyed = classes.select("cls", "n", F.posexplode(_keys()).alias("slot", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     buckets = settled(keyed.join(shared, "key"))
 
@@ -298,7 +320,7 @@ def _marked(docs: DataFrame) -> DataFrame:
         sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("cls", F.lit(turn)), "cls"))["cls"].alias("head"))
         heads = sizes.groupBy("key").agg(F.max(F.struct("size", F.xxhash64("component", F.lit(turn)), "component", "head")).alias("_m"), F.count(F.lit(1)).alias("parts"))
         heads = heads.where("parts > 1").select("key", F.col("_m.component").alias("main"), F.col("_m.head").alias("g"))
-        rays = settled(member.join(heads, "key").where("component != main").select("g", "main", "cls", "component").distinct())
+        rays = settled(member.join(heads, "key").where("component != main").select("g", "main", "cls", "n", "component").distinct())
         new = settled(linked(_stars(rays), signs, docs))
         links = new if links is None else links.union(new)
         if turn and new.isEmpty():
@@ -308,7 +330,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     member = _labelled(buckets, labels)
     sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("key").agg(F.max(F.struct("size", "component"))["component"].alias("g"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    pending = settled(member.join(main.select("key", "g"), "key").select("g", "cls", "component").distinct())
+    pending = settled(member.join(main.select("key", "g"), "key").select("g", "cls", "n", "component").distinct())
     links = links.union(linked(_blocks(pending), signs, docs))
     every = _joined(links)
 
