@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes as tb
 from tidemark.llm.graph import components
+from tidemark.operators.salting import hot_join
 from tidemark.session import settled
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -172,12 +173,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     has a fingerprint, no component, and links nothing. An empty table gives an empty table.
     """
     rows = settled(fingerprints(docs, width))
-    classes = settled(rows.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc")))
-    found = components(linked(classes.select("fp")), "a", "b")
+    classes = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("n")))
+    found = components(linked(classes.where("doc IS NOT NULL").select("fp")), "a", "b")
     member = found.join(classes, found["node"] == classes["fp"]).select("fp", "component", "doc")
     smallest = member.groupBy("component").agg(F.min("doc").alias("smallest"))
     moved = member.join(smallest, "component").select("fp", "smallest")
-    named = classes.join(moved, "fp", "left").select("fp", F.coalesce("smallest", "doc").alias("_component"))
-    out = rows.join(named, "fp", "left")
+    named = classes.join(moved, "fp", "left").select("fp", F.coalesce("smallest", "doc").alias("_component"), "n")
+    out = hot_join(rows, settled(named), ["fp"], "n", rows.count())
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return out.select("doc_id", digits.alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("_component")).alias("component_id"))
