@@ -20,22 +20,23 @@ from tidemark.llm.packing import pack
 from tidemark.session import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose likeliest language has less of its bytes' probability is rejected. Texts half in one language and
-#: half in another, and very short ones, have 0.4 to 0.5 and stay; of four languages none in particular would be 0.25.
-LEAST_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters and a language; `lang` becomes the predicted one."""
+    """Documents with letters; `lang` becomes the predicted language, however mixed or short the text.
+
+    Rejected are texts without a letter (`und`). Where no row has a language, none can be learned and all rows stay as they are.
+    """
+    docs = docs.select(*COLUMNS)
     weights, languages = train(docs)
-    named = identified(docs.select(*COLUMNS), weights, languages)
-    kept = named.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).withColumn("lang", F.col("lang_pred"))
-    return kept.select(*COLUMNS)
+    if not languages:
+        return docs
+    return identified(docs, weights, languages).where(F.col("lang_pred") != UNKNOWN).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that a larger doc_id keeps."""
-    rows = without_shared_lines(docs.select(*COLUMNS))
+    """Documents without the lines that a larger doc_id keeps; what has no word left goes, as others hold all of it."""
+    rows = without_shared_lines(docs.select(*COLUMNS)).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return rows.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
