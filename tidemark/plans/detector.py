@@ -17,10 +17,13 @@ from tidemark.operators.segments import (
     significant_groups,
     with_contribution,
 )
-from tidemark.operators.series import daily_metric, with_delta, with_rolling_score
+from tidemark.operators.series import with_delta, with_rolling_score
+from tidemark.session import settled
 from tidemark.sources.sinks import write_detector, write_table
 
 SERIES = ["segment", "group"]
+#: The table as a segment of its own, with one group.
+WHOLE = "__all__"
 
 
 @dataclass(frozen=True)
@@ -40,12 +43,43 @@ def _known(df: DataFrame, day: str, metric: str, segments: Sequence[str]) -> Dat
     return source
 
 
-def base_series(df: DataFrame, day: str, metric: str, func: str | Callable[[Column], Column]) -> DataFrame:
+def all_daily(
+    df: DataFrame, day: str, metric: str, func: str | Callable[[Column], Column], segments: Sequence[str]
+) -> DataFrame:
+    """(segment, group, day, metric, n_rows, n_values) of all groups and of the whole table, from one scan."""
+    source = _known(df, day, metric, segments).withColumn(WHOLE, F.lit("all"))
+    return group_daily(source, day, metric, func, [*segments, WHOLE]).withColumnRenamed(day, "day")
+
+
+def base_series(daily: DataFrame) -> DataFrame:
     """(day, metric, total_count, delta_all) over all rows: one row per calendar day."""
-    daily = daily_metric(df, day, metric, func).select(
-        F.col(day).alias("day"), "metric", F.col("n_rows").alias("total_count")
-    )
-    return with_delta(daily, "day", "metric", out="delta_all")
+    whole = daily.where(F.col("segment") == WHOLE).select("day", "metric", F.col("n_rows").alias("total_count"))
+    return with_delta(whole, "day", "metric", out="delta_all")
+
+
+def score_series(
+    daily: DataFrame,
+    window_size: int = 7,
+    ml_contamination: float = 0.05,
+    min_group_size: int = 2,
+    center: str = "metric",
+    calendar: bool = False,
+    method: str = "exact",
+) -> DataFrame:
+    """Change and both scores of each (segment, group, day) of the daily table; a series depends on its own rows only.
+
+    Series, scores and group sizes share one exchange on (segment, group).
+    """
+    large = keep_large_groups(daily.where(F.col("segment") != WHOLE), min_group_size).drop("n_rows")
+    moved = with_delta(large, "day", "metric", SERIES)
+    rolled = with_rolling_score(moved, "day", "metric", "delta", SERIES, window_size, center=center, calendar=calendar)
+    return isolation_score(rolled, "day", "delta", SERIES, ml_contamination, method)
+
+
+def contributions(series: DataFrame, base: DataFrame, clipped: bool = True) -> DataFrame:
+    """Scored series with the share of each group in the change of the day. The base series is one row a calendar day, so it is broadcast."""
+    joined = series.join(F.broadcast(base.select("day", "total_count", "delta_all")), "day", "left")
+    return with_contribution(joined, clipped=clipped).drop("total_count", "delta_all")
 
 
 def score_groups(
@@ -54,32 +88,16 @@ def score_groups(
     metric: str,
     func: str | Callable[[Column], Column] = "mean",
     segments: Sequence[str] | None = None,
-    window_size: int = 7,
-    ml_contamination: float = 0.05,
-    min_group_size: int = 2,
     clip_contributions: bool = True,
-    center: str = "metric",
-    calendar: bool = False,
-    method: str = "exact",
-    base: DataFrame | None = None,
+    **options,
 ) -> DataFrame:
-    """One row per (segment, group, day): metric, change, both scores and the contribution.
+    """One row per (segment, group, day): metric, change, both scores and the contribution; `options` are those of `score_series`.
 
-    Series, scores and group sizes share one exchange on (segment, group). The base series holds one row
-    per calendar day, so it is broadcast.
+    Runs one job when called: the daily table is written, and everything else reads it.
     """
     segments = list(segments) if segments else segment_columns(df, day, metric)
-    df = _known(df, day, metric, segments)
-    daily = group_daily(df, day, metric, func, segments).withColumnRenamed(day, "day")
-    large = keep_large_groups(daily, min_group_size).drop("n_rows")
-    moved = with_delta(large, "day", "metric", SERIES)
-    rolled = with_rolling_score(
-        moved, "day", "metric", "delta", SERIES, window_size, center=center, calendar=calendar
-    )
-    isolated = isolation_score(rolled, "day", "delta", SERIES, ml_contamination, method)
-    base = base_series(df, day, metric, func) if base is None else base
-    joined = isolated.join(F.broadcast(base.select("day", "total_count", "delta_all")), "day", "left")
-    return with_contribution(joined, clipped=clip_contributions).drop("total_count", "delta_all")
+    daily = settled(all_daily(df, day, metric, func, segments))
+    return contributions(score_series(daily, **options), base_series(daily), clip_contributions)
 
 
 def significant_table(
@@ -116,13 +134,25 @@ def segment_anomalies(
 ) -> SegmentAnomalies:
     """Significant group per day and segment with the z-scores and contributions behind it.
 
-    `options` are those of `score_groups`. Days without a flagged group have null groups; a segment whose
+    `options` are those of `score_series`, and `clip_contributions`. Runs one job when called: the daily table is written. Days without a flagged group have null groups; a segment whose
     groups are all too small is absent.
     """
     segments = list(segments) if segments else segment_columns(df, day, metric)
-    source = _known(df, day, metric, segments)
-    base = base_series(source, day, metric, func)
-    scored = score_groups(source, day, metric, func, segments, base=base, **options)
+    daily = settled(all_daily(df, day, metric, func, segments))
+    return anomalies_of(daily, segments, z_threshold, winner, **options)
+
+
+def anomalies_of(
+    daily: DataFrame, segments: Sequence[str], z_threshold: float, winner: str, clip_contributions: bool = True, **options
+) -> SegmentAnomalies:
+    """The result tables from a stored daily table."""
+    base = base_series(daily)
+    return result_tables(contributions(score_series(daily, **options), base, clip_contributions), base, segments, z_threshold, winner)
+
+
+def result_tables(
+    scored: DataFrame, base: DataFrame, segments: Sequence[str], z_threshold: float = 3.0, winner: str = "contribution"
+) -> SegmentAnomalies:
     return SegmentAnomalies(
         significant_table(base, scored, segments, z_threshold, winner),
         scored.select("day", *SERIES, "z_score"),
@@ -145,10 +175,11 @@ def detect_to_tables(
 ) -> None:
     """Run the detector and write its three tables.
 
-    The source is read once for the base series and once for the groups; everything else reads the written copies.
+    The source is read once, for the daily table; everything else reads the written copies.
     """
     segments = list(segments) if segments else segment_columns(df, day, metric)
-    base = base_series(_known(df, day, metric, segments), day, metric, options.get("func", "mean"))
-    base = write_table(base, f"{path}/base")
-    scored = write_table(score_groups(df, day, metric, segments=segments, base=base, **options), f"{path}/scored")
+    func, clipped = options.pop("func", "mean"), options.pop("clip_contributions", True)
+    daily = write_table(all_daily(df, day, metric, func, segments), f"{path}/daily")
+    base = write_table(base_series(daily), f"{path}/base")
+    scored = write_table(contributions(score_series(daily, **options), base, clipped), f"{path}/scored")
     write_detector(significant_table(base, scored, segments, z_threshold, winner), scored, path, wide)

@@ -15,12 +15,13 @@ from tidemark.operators.neighbours import knn_impute
 from tidemark.operators.segments import group_daily, rolling_anomaly, to_long, to_wide, wide_names
 from tidemark.operators.series import with_delta
 from tidemark.plans.detector import score_groups, segment_anomalies
+from tidemark.plans.incremental import reload_detector, start_detector, stored_anomalies
 from tidemark.plans.inquiry import inquiry_daily
 from tidemark.plans.profile_report import INQUIRY_COLUMNS, ProfileColumns, profile, report_rows
 from tidemark.plans.survey import prepare_inquiry, prepare_survey
 from tidemark.plans.vas import RULES, vas_usage
 from tidemark.operators.correlation import series_correlation
-from tidemark.registry import query, r6, s6
+from tidemark.registry import ORACLES, query, r6, s6
 from tidemark.registry.aggregates import CHARGE_SQL, PAIRS, RULE_SQL, _box_sql, _histogram_sql
 from tidemark.registry.detector_sql import DETECTOR, WINNERS, detector
 from tidemark.registry.joins import _ATTACH, _SNAP
@@ -40,11 +41,13 @@ from tidemark.registry.standins import (
     inquiry_dimensions,
     labelled,
     lines,
+    scratch,
     subscriber_orders,
     survey,
     table,
 )
 from tidemark.session import settled
+from tidemark.sources.versions import Store
 
 
 @query(
@@ -237,6 +240,30 @@ def j8_segment_anomalies(spark, sf):
     return df.withColumns(rounded)
 
 
+def _reloaded_state(spark, sf):
+    """A state started without one month and with a wrong one, then reloaded for both."""
+    facts = survey(spark, sf)
+    store = Store(spark, scratch(spark, "detector-state"))
+    wrong = F.col("day").between(date(1996, 3, 1), date(1996, 3, 31))
+    start_detector(store, facts.where((F.trunc("day", "month") != F.lit(date(1995, 7, 1))) & ~(wrong & (F.col("p_brand") > "Brand#3"))), SEGMENTS, "day")
+    for start, end in ((date(1995, 7, 1), date(1995, 8, 1)), (date(1996, 3, 1), date(1996, 4, 1))):
+        reload_detector(store, facts, start, end, SEGMENTS, "day")
+    return stored_anomalies(store, SEGMENTS)
+
+
+@query("j8_incremental_scores", ORACLES["j8_segment_anomalies"])
+def j8_incremental_scores(spark, sf):
+    """Scores after the reload of two months, equal to those of all facts at once."""
+    rounded = {c: r6(c) for c in ("metric", "delta", "contribution")} | {c: r6(c, 4) for c in ("z_score", "depth")}
+    return _reloaded_state(spark, sf).scored.withColumns(rounded)
+
+
+@query("j8_incremental_significant", ORACLES["j7_significant_group"])
+def j8_incremental_significant(spark, sf):
+    df = _reloaded_state(spark, sf).significant
+    return df.withColumns({"metric": r6("metric"), "delta_all": r6("delta_all")})
+
+
 _SIZE_LONG = f"""survey AS (SELECT CAST(ts AS DATE) AS day, user_id AS nps, event_type, user_id % 7 AS user_group FROM events),
 long AS (SELECT day, nps, 'event_type' AS segment, event_type AS grp FROM survey
   UNION ALL SELECT day, nps, 'user_group', CAST(user_group AS VARCHAR) FROM survey)"""

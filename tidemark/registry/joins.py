@@ -10,7 +10,7 @@ from tidemark.operators.correlation import daily_pairs
 from tidemark.operators.joins import join_history, join_lookup, join_months_apart, join_snapshot, valid_as_of
 from tidemark.operators.profile import rows_of_top_groups
 from tidemark.operators.segments import group_daily
-from tidemark.plans.detector import base_series
+from tidemark.plans.detector import all_daily, base_series
 from tidemark.plans.inquiry import TOPIC_COLUMNS, attach_flags, site_flags
 from tidemark.plans.vas import subscriber_days
 from tidemark.registry import query, r6, s6
@@ -43,7 +43,7 @@ from tidemark.registry.standins import (
 )
 def c1_group_to_base(spark, sf):
     df = survey(spark, sf)
-    base = base_series(df, "day", "nps", "mean").withColumnRenamed("metric", "metric_all")
+    base = base_series(all_daily(df, "day", "nps", "mean", [])).withColumnRenamed("metric", "metric_all")
     groups = group_daily(df, "day", "nps")
     return groups.join(F.broadcast(base), "day", "left").select(
         "segment", "group", "day", r6("metric").alias("metric"), r6("metric_all").alias("metric_all"), "total_count"

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.calendar import within_period
 from tidemark.operators.segments import to_long, wide_names
 from tidemark.plans.detector import detect_to_tables
 from tidemark.plans.vas import subscriber_days
@@ -16,6 +17,7 @@ from tidemark.registry.detector_sql import DETECTOR, WINNERS
 from tidemark.registry.standins import SEGMENTS, SURVEY, inquiries, lines, scratch, subscriber_orders, survey, table
 from tidemark.schemas import INQUIRY_SOURCE, VAS_USAGE
 from tidemark.sources.sinks import create_table, reload_period, reload_table, write_processed
+from tidemark.sources.versions import Store, reload_version
 from tidemark.sources.tables import (
     outside_dictionary,
     read_segment_dictionary,
@@ -94,6 +96,18 @@ def a3_reload_table(spark, sf):
     return spark.table(name).select("sk_subs_id", "snap_date", "n")
 
 
+@query("a3_reload_version", _RELOADED)
+def a3_reload_version(spark, sf):
+    """The same reload as one new version of a stored table, from a period that cuts a month."""
+    existing, fresh = _existing_and_fresh(spark, sf)
+    store = Store(spark, scratch(spark, "versions"))
+    reload_version(store, "charges", existing, date(1900, 1, 1), date(2100, 1, 1))
+    middle = date(1997, 4, 15)
+    for start, end in ((RELOAD[0], middle), (middle, RELOAD[1])):
+        reload_version(store, "charges", fresh.where(within_period("snap_date", start, end)), start, end)
+    return store.read("charges")
+
+
 @query(
     "a4_write_processed",
     f"WITH {SURVEY} SELECT day AS snap_date_day, {s6('nps')} AS nps, p_brand FROM survey",
