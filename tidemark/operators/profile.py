@@ -17,6 +17,8 @@ from tidemark.operators.salting import salted_join
 BINS = 30
 MAX_CATEGORIES = 15
 GRID = 200
+#: Cells of the dense grid between two points of a curve.
+FINE = 8
 WHISKER = 1.5
 
 
@@ -188,36 +190,39 @@ def density_histogram(df: DataFrame, group: str, metric: str, bins: int = BINS)
     )
 
 
-def density_curve(df: DataFrame, columns: Sequence[str], grid: int = GRID) -> DataFrame:
+def _curve_ranges(values: DataFrame) -> DataFrame:
+    """(column, n, lo, hi, h): one row per column; h is the bandwidth, deviation * n^(-1/5)."""
+    spread = values.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.stddev_samp("value").alias("sd")
+    )
+    return spread.where(F.col("sd") > 0).select("column", "n", "lo", "hi", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"))
+
+
+def density_curve(df: DataFrame, columns: Sequence[str], grid: int = GRID, fine: int = FINE, exact: bool = False) -> DataFrame:
     """(column, step, x, density): Gaussian kernel density on an even grid from minimum to maximum.
 
-    Bandwidth is deviation * n^(-1/5). Equal values are counted first; each distinct value then adds to
-    `grid` running sums inside its own task, so only the sums are shuffled.
+    Each value is shared out between the two neighbours of a grid `fine` times as dense, so a task hands on at most
+    (grid - 1) * fine + 1 weights a column; the curve is the convolution of these with the kernel. With d the
+    width of the dense grid the error is at most 0.05 * (d / h)^2 / h. `exact` adds up the kernel of every distinct value instead.
     """
-    counts = long_values(df, columns, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("k"))
-    spread = (
-        long_values(df, columns, "double")
-        .groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("value").alias("lo"),
-            F.max("value").alias("hi"),
-            F.stddev_samp("value").alias("sd"),
-        )
-        .where(F.col("sd") > 0)
-        .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    )
+    values = long_values(df, columns, "double")
+    ranges = _curve_ranges(values)
     steps = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("step")
     x = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("step") / F.lit(grid - 1)
-    u = (F.col("x") - F.col("value")) / F.col("h")
-    return (
-        counts.join(F.broadcast(spread), "column")
-        .select("column", "value", "k", "n", "lo", "hi", "h", steps)
-        .withColumn("x", x)
-        .groupBy("column", "step", "x", "n", "h")
-        .agg(F.sum(F.col("k") * F.exp(F.lit(-0.5) * u * u)).alias("s"))
-        .select("column", "step", "x", (F.col("s") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"))
-    )
+    if exact:
+        weights = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("w")).join(F.broadcast(ranges), "column")
+        u = (x - F.col("value")) / F.col("h")
+    else:
+        cells = (grid - 1) * fine
+        width = (F.col("hi") - F.col("lo")) / F.lit(cells)
+        place = (F.col("value") - F.col("lo")) / width
+        placed = values.join(F.broadcast(ranges), "column").withColumn("_at", F.least(F.floor(place), F.lit(cells - 1)))
+        placed = placed.withColumn("_share", place - F.col("_at"))
+        halves = F.inline(F.array(F.struct(F.col("_at").alias("at"), (1 - F.col("_share")).alias("w")), F.struct((F.col("_at") + 1).alias("at"), F.col("_share").alias("w"))))
+        weights = placed.select("column", halves).groupBy("column", "at").agg(F.sum("w").alias("w")).join(F.broadcast(ranges), "column")
+        u = (F.col("step") * fine - F.col("at")) * width / F.col("h")
+    summed = weights.select("*", steps).groupBy("column", "step", x.alias("x"), "n", "h").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * u * u)).alias("s"))
+    return summed.select("column", "step", "x", (F.col("s") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"))
 
 
 def sorted_groups(df: DataFrame, c: str) -> DataFrame:

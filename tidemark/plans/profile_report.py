@@ -23,6 +23,7 @@ from tidemark.operators.profile import (
 )
 from tidemark.operators.segments import group_daily
 from tidemark.operators.series import daily_metric
+from tidemark.session import settled
 
 
 @dataclass(frozen=True)
@@ -45,14 +46,20 @@ def profile(
 ) -> dict[str, DataFrame]:
     """Missing shares, distributions, box statistics, densities and daily series by name.
 
-    `func` aggregates the metric of a day, by default its mean, or the number of rows without a metric.
+    `func` aggregates the metric of a day, by default its mean, or the number of rows without a metric. Runs jobs when called.
     """
     func = func or ("mean" if roles.metric else "size")
-    available = select_available(df, segments)
+    missing = missing_share(df)
+    wanted = select_available(df, segments).columns
+    roled = [c for c in (roles.day, roles.metric, roles.region, roles.age, roles.revenue) if c]
+    # The source is read twice, for the gaps of all columns and for the columns in use; the topics share their written copy.
+    df = settled(df.select(*dict.fromkeys([*wanted, *roled])))
+    available = df.select(*wanted)
     numbers = columns_of_type(available, "numeric")
-    report = {"missing": missing_share(df), "categories": top_categories(df, available.columns)}
+    report = {"missing": missing, "categories": top_categories(df, available.columns)}
     if numbers:
-        report["histogram"] = histogram(df, numbers)
+        # At most the bins of the schema's numbers: planned once, for the topic and for the categories beside it.
+        report["histogram"] = settled(histogram(df, numbers))
         report["curve"] = density_curve(df, numbers)
         # Numbers with many values have a histogram in place of a frequency table.
         ranged = F.broadcast(report["histogram"].select("column").distinct())
@@ -72,9 +79,9 @@ def profile(
 
 
 def report_rows(report: dict[str, DataFrame], keys: dict[str, tuple[str, str, str]]) -> DataFrame:
-    """(topic, item, part, value): chosen columns of the tables in one long table."""
+    """(topic, item, part, value): chosen columns of the tables in one long table. A topic may be told apart by a name behind `:`."""
     parts = [
-        report[topic].select(
+        report[topic.split(":")[0]].select(
             F.lit(topic).alias("topic"),
             F.col(item).cast("string").alias("item"),
             F.col(part).cast("string").alias("part"),

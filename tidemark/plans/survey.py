@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import day_key
@@ -120,3 +120,25 @@ def prepare_inquiry(
 ) -> DataFrame:
     """Day, selection and imputation of the inquiry table."""
     return _prepare(df, list(segments), key, ts, options)
+
+
+def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The table with its rows and gaps counted on the way of the next action."""
+    found = Observation(name)
+    return df.observe(found, F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)]), found
+
+
+def write_prepared(df: DataFrame, prepare: Callable[[DataFrame], DataFrame], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write what `prepare` makes of a table; the stored result, and (stage, column, n_rows, n_null, n_columns) before and after.
+
+    The counts are gathered while the table is read and written, so they cost no scan of their own.
+    """
+    spark = df.sparkSession
+    source, before = _observed(df, "before")
+    result, after = _observed(prepare(source), "after")
+    result.write.mode("overwrite").parquet(path)
+    rows = []
+    for stage, seen, columns in (("before", before.get, df.columns), ("after", after.get, result.columns)):
+        rows += [(stage, c, seen["n_rows"], seen[f"_{i}"], len(columns)) for i, c in enumerate(columns)]
+    report = spark.createDataFrame(rows, "stage string, column string, n_rows long, n_null long, n_columns long")
+    return spark.read.schema(result.schema).parquet(path), report

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from tidemark.operators.series import daily_metric, day_range
 from tidemark.operators.site_flags import cell_counts, flag_sums, with_flag, with_week_statistics
 from tidemark.operators.joins import valid_as_of
 from tidemark.plans.inquiry import counted_inquiries
+from tidemark.plans.survey import prepare_survey, write_prepared
 from tidemark.plans.vas import RULES, charge_filter, rule_sums, subscriber_days
 from tidemark.registry import query, r6, s6
 from tidemark.registry.standins import (
@@ -47,6 +49,7 @@ from tidemark.registry.standins import (
     labelled,
     lines,
     subscriber_orders,
+    scratch,
     survey,
     table,
 )
@@ -213,6 +216,22 @@ def d9_table_shape(spark, sf):
     return table_shape(labelled(spark, sf))
 
 
+@query(
+    "d9_preparation_report",
+    f"""WITH {LINES}, counts AS (SELECT count(*) AS n, count_if(l_quantity = 13 AND l_returnflag = 'R') AS gaps FROM lines)
+    SELECT s.stage, s.item AS "column", n AS n_rows, CASE WHEN s.stage = 'before' AND s.item = 'l_quantity' THEN CAST(gaps AS BIGINT) ELSE 0 END AS n_null, s.n_columns
+    FROM counts, (SELECT 'before' AS stage, unnest(['l_orderkey', 'l_linenumber', 'snap_date', 'value_1', 'value_2', 'l_returnflag', 'l_quantity']) AS item, CAST(7 AS BIGINT) AS n_columns
+      UNION ALL SELECT 'after', unnest(['l_returnflag', 'l_quantity', 'nps', 'snap_date_day']), 4) s""",
+)
+def d9_preparation_report(spark, sf):
+    """Rows and gaps of each column before and after a preparation, observed while its result is written."""
+    quantity = F.when((F.col("l_quantity") != 13) | (F.col("l_returnflag") != "R"), F.col("l_quantity")).alias("l_quantity")
+    raw = lines(spark, sf).select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("snap_date"), F.col("a").alias("value_1"), F.col("b").alias("value_2"), "l_returnflag", quantity)
+    prepare = partial(prepare_survey, key=["l_orderkey", "l_linenumber"], segments=["l_returnflag", "l_quantity"], ages={})
+    _, report = write_prepared(raw, prepare, scratch(spark, "prepared"))
+    return report
+
+
 @query("d10_frequencies", "SELECT event_type AS value, count(*) AS n FROM events GROUP BY event_type")
 def d10_frequencies(spark, sf):
     return frequencies(table(spark, sf, "events"), "event_type")
@@ -307,10 +326,32 @@ def d15_density_histogram(spark, sf):
     FROM g JOIN k ON g."column" = k."column" GROUP BY g."column", step, x""",
 )
 def d16_density_curve(spark, sf):
-    df = density_curve(lines(spark, sf), ["nps", "l_quantity"])
+    df = density_curve(lines(spark, sf), ["nps", "l_quantity"], exact=True)
     return df.withColumns({"x": r6("x"), "density": r6("density")})
 
 
+def _curve_sql(source, columns):
+    """Values shared out to 1592 cells, and the sum of the kernels of the cells' ends."""
+    long = " UNION ALL ".join(f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS v FROM {source} WHERE {c} IS NOT NULL""" for c in columns)
+    return f"""cv AS ({long}),
+    cs AS (SELECT "column", count(*) AS n, min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 1592 AS d, stddev_samp(v) * pow(count(*), -0.2) AS h FROM cv GROUP BY "column"),
+    cp AS (SELECT cv."column", (v - lo) / d AS p, least(floor((v - lo) / d), 1591) AS a FROM cv JOIN cs ON cv."column" = cs."column"),
+    cw AS (SELECT "column", a, sum(w) AS w FROM (SELECT "column", a, 1 - (p - a) AS w FROM cp UNION ALL SELECT "column", a + 1, p - a FROM cp) GROUP BY "column", a)
+    SELECT cs."column", CAST(step AS INTEGER) AS step, lo + (hi - lo) * step / 199.0 AS x,
+      sum(w * exp(-0.5 * pow((step * 8 - a) * d / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())) AS density
+    FROM cw JOIN cs ON cw."column" = cs."column", range(200) t(step) GROUP BY cs."column", step, lo, hi"""
+
+
+@query(
+    "d16_binned_curve",
+    f"""WITH {LINES}, curve AS (WITH {_curve_sql("lines", ["nps", "l_quantity", "l_extendedprice"])})
+    SELECT "column", step, {s6("x")} AS x, {s6("density", 9)} AS density FROM curve""",
+)
+def d16_binned_curve(spark, sf):
+    df = density_curve(lines(spark, sf), ["nps", "l_quantity", "l_extendedprice"])
+    return df.withColumns({"x": r6("x"), "density": r6("density", 9)})
+
+
 @query("d17_day_range", f"WITH {LINES} SELECT min(day) AS min_day, max(day) AS max_day FROM lines")
 def d17_day_range(spark, sf):
     return day_range(lines(spark, sf), "day")

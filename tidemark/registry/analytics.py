@@ -22,7 +22,7 @@ from tidemark.plans.survey import prepare_inquiry, prepare_survey
 from tidemark.plans.vas import RULES, vas_usage
 from tidemark.operators.correlation import series_correlation
 from tidemark.registry import ORACLES, query, r6, s6
-from tidemark.registry.aggregates import CHARGE_SQL, PAIRS, RULE_SQL, _box_sql, _histogram_sql
+from tidemark.registry.aggregates import CHARGE_SQL, PAIRS, RULE_SQL, _box_sql, _curve_sql, _histogram_sql
 from tidemark.registry.detector_sql import DETECTOR, WINNERS, detector
 from tidemark.registry.joins import _ATTACH, _SNAP
 from tidemark.registry.standins import (
@@ -284,9 +284,11 @@ def j8_inquiry_anomalies(spark, sf):
 
 @query(
     "j9_inquiry_daily",
-    f"""WITH {FLAGS} SELECT i.inqr_id, i.sk_subs_id, i.sk_bmt_id, i.cr_os_os_id, CAST(i.create_date AS DATE) AS snap_date,
+    f"""WITH {FLAGS} SELECT i.comp_os_id, i.billing_filial_id, i.itpc_itpc_id, i.sk_subs_id, CAST(i.create_date AS DATE) AS snap_date,
       CAST(date_trunc('week', i.create_date) AS DATE) AS snap_week, CAST(date_trunc('month', i.create_date) AS DATE) AS snap_month,
-      CAST(date_trunc('quarter', i.create_date) AS DATE) AS snap_quarter, i.description, t.code_level_1, t.code_level_4, t.full_name,
+      CAST(date_trunc('quarter', i.create_date) AS DATE) AS snap_quarter, i.sk_bmt_id, i.subs_os_os_id, i.cr_os_os_id, i.inqr_id,
+      {s6("i.value / 10")} AS lat, {s6("i.value / 20")} AS lon, i.description, i.crcat_crcat_id, CAST(1 AS DOUBLE) AS cr_weight,
+      t.code_level_1, t.code_level_2, t.code_level_3, t.code_level_4, t.full_name,
       f.flag_indicator AS flag_local_general, CAST(s.filial_id AS BIGINT) AS filial_id, c.subcat_pyramid_name, c.cat_pyramid_name, s.subs_subs_id
     FROM inq i LEFT JOIN topics t ON t.itpc_id = i.itpc_itpc_id AND t.billing_filial_id = i.billing_filial_id
       AND t.start_date <= DATE '2024-01-01' AND t.end_date > DATE '2024-02-01'
@@ -294,12 +296,9 @@ def j8_inquiry_anomalies(spark, sf):
     WHERE {IN_PERIOD.replace("create_date", "i.create_date")}""",
 )
 def j9_inquiry_daily(spark, sf):
+    """All columns of the load."""
     df = inquiry_daily(inquiries(spark, sf), inquiry_dimensions(spark, sf), START, END, AS_OF)
-    return df.select(
-        "inqr_id", "sk_subs_id", "sk_bmt_id", "cr_os_os_id", "snap_date", "snap_week", "snap_month", "snap_quarter",
-        "description", "code_level_1", "code_level_4", "full_name", "flag_local_general", "filial_id",
-        "subcat_pyramid_name", "cat_pyramid_name", "subs_subs_id",
-    )
+    return df.withColumns({"lat": r6(F.col("lat").cast("double")), "lon": r6(F.col("lon").cast("double")), "cr_weight": F.col("cr_weight").cast("double")})
 
 
 @query(
@@ -315,50 +314,65 @@ def j10_vas_usage(spark, sf):
     return df.withColumns({n: F.col(n).cast("double") for n in RULES})
 
 
-_SURVEY_COLUMNS = ["l_returnflag", "p_brand"]
-_MEAN_FILL = "coalesce(nps, (SELECT avg(nps) FROM lines))"
+# Lines of an order can repeat their number.
+_LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_SURVEY_GAPS = (
+    LINES
+    + """, gaps AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS k, l_returnflag, p_brand, p_size + 17 AS age, day, nps,
+  CASE WHEN l_quantity <> 13 OR l_returnflag <> 'R' THEN l_quantity END AS l_quantity
+  FROM lines JOIN part ON l_partkey = p_partkey)"""
+)
 
 
 @query(
     "j11_prepare_survey",
-    f"""WITH {LINES} SELECT l_returnflag, p_brand, {s6(_MEAN_FILL)} AS nps, day AS snap_date_day,
-      CASE WHEN p_size + 17 < 25 THEN '18-24' WHEN p_size + 17 < 35 THEN '25-34' WHEN p_size + 17 < 45 THEN '35-44'
-        WHEN p_size + 17 < 55 THEN '45-54' WHEN p_size + 17 > 55 THEN '55+' ELSE '55' END AS survey_age_group
-    FROM lines l JOIN part p ON l.l_partkey = p.p_partkey""",
+    f"""WITH {_SURVEY_GAPS}, filled AS (WITH {_knn_sql("gaps", "k", ["l_quantity", "nps"], ", t.l_returnflag, t.p_brand, t.age, t.day")})
+    SELECT l_returnflag, p_brand, l_quantity, nps, day AS snap_date_day,
+      CASE WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44'
+        WHEN age < 55 THEN '45-54' WHEN age > 55 THEN '55+' ELSE '55' END AS survey_age_group
+    FROM filled""",
 )
 def j11_prepare_survey(spark, sf):
-    """One number only, so no row shares a column with it and a missing metric takes the mean."""
+    """Two numbers with gaps, the metric and a quantity, each filled from the rows near in the other."""
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
     raw = lines(spark, sf).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     raw = raw.select(
-        "l_orderkey",
-        "l_linenumber",
+        *_LINE_KEY,
         F.col("l_shipdate").alias("snap_date"),
         F.col("a").alias("value_1"),
         F.col("b").alias("value_2"),
         (F.col("p_size") + 17).alias("survey_age"),
-        *_SURVEY_COLUMNS,
+        F.when((F.col("l_quantity") != 13) | (F.col("l_returnflag") != "R"), F.col("l_quantity")).alias("l_quantity"),
+        "l_returnflag",
+        "p_brand",
     )
-    df = prepare_survey(raw, ["l_orderkey", "l_linenumber"], segments=_SURVEY_COLUMNS, ages={"survey_age": "survey_age_group"})
-    return df.withColumn("nps", r6("nps"))
+    segments = ["l_returnflag", "p_brand", "l_quantity"]
+    df = prepare_survey(raw, _LINE_KEY, segments=segments, ages={"survey_age": "survey_age_group"})
+    return df.withColumns({"nps": r6("nps", 4), "l_quantity": r6("l_quantity", 4)})
+
+
+_INQUIRY_GAPS = """gaps AS (SELECT event_id AS k, CAST(ts AS DATE) AS snap_date_day, event_type AS description, CAST(user_id % 19 AS VARCHAR) AS filial_id,
+  CASE WHEN event_type <> 'error' OR user_id % 5 > 0 THEN CAST(user_id % 2 AS DOUBLE) END AS flag_local_general,
+  CASE WHEN event_type <> 'view' OR user_id % 7 <> 3 THEN value END AS value FROM events)"""
 
 
 @query(
     "j11_prepare_inquiry",
-    f"""WITH facts AS (SELECT event_id AS inqr_id, CAST(ts AS DATE) AS snap_date_day, event_type AS description,
-      CAST(user_id % 19 AS VARCHAR) AS filial_id, CASE WHEN event_type <> 'error' THEN CAST(user_id % 2 AS DOUBLE) END AS flag_local_general FROM events)
-    SELECT snap_date_day, description, filial_id, {s6("coalesce(flag_local_general, (SELECT avg(flag_local_general) FROM facts))")} AS flag_local_general FROM facts""",
+    f"""WITH {_INQUIRY_GAPS}, filled AS (WITH {_knn_sql("gaps", "k", ["flag_local_general", "value"], ", t.snap_date_day, t.description, t.filial_id")})
+    SELECT snap_date_day, description, filial_id, flag_local_general, value FROM filled""",
 )
 def j11_prepare_inquiry(spark, sf):
+    """Two numbers with gaps, a flag and an amount."""
     raw = table(spark, sf, "events").select(
         F.col("event_id").alias("inqr_id"),
         F.col("ts").alias("snap_date"),
         F.col("event_type").alias("description"),
         F.pmod("user_id", F.lit(19)).alias("filial_id"),
-        F.when(F.col("event_type") != "error", F.pmod("user_id", F.lit(2))).alias("flag_local_general"),
+        F.when((F.col("event_type") != "error") | (F.pmod("user_id", F.lit(5)) > 0), F.pmod("user_id", F.lit(2))).alias("flag_local_general"),
+        F.when((F.col("event_type") != "view") | (F.pmod("user_id", F.lit(7)) != 3), F.col("value")).alias("value"),
     )
-    df = prepare_inquiry(raw, ["inqr_id"], segments=["description", "filial_id", "flag_local_general"])
-    return df.withColumn("flag_local_general", r6("flag_local_general"))
+    df = prepare_inquiry(raw, ["inqr_id"], segments=["description", "filial_id", "flag_local_general", "value"])
+    return df.withColumns({"flag_local_general": r6("flag_local_general", 4), "value": r6("value", 4)})
 
 
 _ROLES = ProfileColumns("day", "nps", "p_brand", "survey_age", "p_type")
@@ -366,8 +380,9 @@ _REPORT_KEYS = {
     "missing": ("column", "column", "missing_percent"),
     "categories": ("column", "value", "n"),
     "histogram": ("column", "bin", "n"),
-    "region_box": ("p_brand", "n", "median"),
-    "age_box": ("age_group", "n", "median"),
+    "curve": ("column", "step", "density"),
+    **{f"region_box:{c}": ("p_brand", "n", c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")},
+    **{f"age_box:{c}": ("age_group", "n", c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")},
     "revenue_density": ("p_type", "bin", "density"),
     "regions": ("value", "value", "n"),
     "daily": ("day", "n_rows", "metric"),
@@ -395,8 +410,9 @@ _REPORT_SQL = " UNION ALL ".join(
             for c in ("l_returnflag", "p_brand", "p_type")
         ],
         _part("histogram", '"column"', "bin", "n") + f" FROM (WITH {_histogram_sql('profiled', ['l_quantity'])})",
-        _part("region_box", "p_brand", "n", "median") + f" FROM (WITH {_box_sql('best', 'p_brand', 'nps')})",
-        _part("age_box", "age_group", "n", "median") + f" FROM (WITH {_box_sql('aged', 'age_group', 'nps')})",
+        _part("curve", '"column"', "step", "density") + f" FROM (WITH {_curve_sql('profiled', ['l_quantity'])})",
+        *[_part(f"region_box:{c}", "p_brand", "n", c) + f" FROM (WITH {_box_sql('best', 'p_brand', 'nps')})" for c in ("q1", "median", "q3", "whisker_low", "whisker_high")],
+        *[_part(f"age_box:{c}", "age_group", "n", c) + f" FROM (WITH {_box_sql('aged', 'age_group', 'nps')})" for c in ("q1", "median", "q3", "whisker_low", "whisker_high")],
         _part("revenue_density", "p_type", "bin", "count(*) / (total * width)")
         + """ FROM (SELECT v.p_type, CAST(least(floor((nps - lo) / width), 29) AS INTEGER) AS bin, width, total FROM profiled v JOIN (
           SELECT p_type, min(nps) AS lo, (max(nps) - min(nps)) / 30 AS width, count(nps) AS total FROM profiled GROUP BY p_type) r

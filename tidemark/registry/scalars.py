@@ -102,13 +102,14 @@ def h7_date_parts(spark, sf):
 
 @query(
     "h8_month_shift",
-    """SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) - INTERVAL 1 MONTH AS DATE) AS previous_month
-    FROM orders WHERE o_orderdate >= DATE '1996-12-01' AND o_orderdate < DATE '1998-02-01'""",
+    """SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) - INTERVAL 1 MONTH AS DATE) AS previous_month,
+      CAST(date_trunc('month', o_orderdate) + INTERVAL 11 MONTH AS DATE) AS eleven_later FROM orders""",
 )
 def h8_month_shift(spark, sf):
-    first, last = cal.shift_month_start(date(1997, 1, 15), -1), cal.shift_month_start(date(1998, 1, 31), 1)
-    df = table(spark, sf, "orders").where(cal.within_period("o_orderdate", first, last))
-    return df.select("o_orderkey", cal.shift_months(cal.month_start("o_orderdate"), -1).alias("previous_month"))
+    first = cal.month_start("o_orderdate")
+    return table(spark, sf, "orders").select(
+        "o_orderkey", cal.shift_months(first, -1).alias("previous_month"), cal.shift_months(first, 11).alias("eleven_later")
+    )
 
 
 _AGE = "p_size + 17"

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import within_period
 from tidemark.operators.segments import to_long, wide_names
 from tidemark.plans.detector import detect_to_tables
-from tidemark.plans.vas import subscriber_days
+from tidemark.plans.vas import vas_usage
 from tidemark.registry import query, r6, s6
+from tidemark.registry.aggregates import CHARGE_SQL, RULE_SQL
 from tidemark.registry.detector_sql import DETECTOR, WINNERS
-from tidemark.registry.standins import SEGMENTS, SURVEY, inquiries, lines, scratch, subscriber_orders, survey, table
-from tidemark.schemas import INQUIRY_SOURCE, VAS_USAGE
+from tidemark.registry.standins import CHARGES, INQUIRIES, SEGMENTS, SURVEY, charges, inquiries, lines, scratch, subscriber_orders, survey, table
+from tidemark.schemas import INQUIRY_SOURCE, VAS_MEASURES, VAS_USAGE
 from tidemark.sources.sinks import create_table, reload_period, reload_table, write_processed
 from tidemark.sources.versions import Store, reload_version
+from tidemark.operators.profile import top_categories
 from tidemark.sources.tables import (
+    listed_segments,
     outside_dictionary,
     read_segment_dictionary,
     read_segment_list,
@@ -144,42 +147,43 @@ def a5_write_detector(spark, sf):
 
 @query(
     "a6_table_definitions",
-    """SELECT DISTINCT o_custkey AS sk_subs_id, CAST(o_orderdate AS DATE) AS snap_date, CAST(date_trunc('month', o_orderdate) AS DATE) AS snap_month
-    FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1997-07-01'""",
+    f"""WITH {CHARGES} SELECT d.sk_subs_id, d.snap_date, d.snap_month, {RULE_SQL}
+    FROM days d JOIN charges c ON c.sk_subs_id = d.sk_subs_id AND c.start_date = CAST(d.snap_month - INTERVAL 1 MONTH AS DATE)
+    WHERE d.snap_date >= DATE '1997-01-01' AND d.snap_date < DATE '1997-07-01' AND c.billing_filial_id = 10 AND {CHARGE_SQL}
+    GROUP BY d.sk_subs_id, d.snap_date, d.snap_month""",
 )
 def a6_table_definitions(spark, sf):
-    """The result table of the charge load created from its schema and filled with one period."""
+    """The result table of the charge load created from its schema and filled with one period, all measures stored."""
     path = scratch(spark, "vas")
     name = "vas_" + path[-32:]
     create_table(spark, name, VAS_USAGE, path=path)
-    days = subscriber_days(subscriber_orders(spark, sf), *RELOAD)
-    empty = {f.name: F.lit(None).cast(f.dataType) for f in VAS_USAGE.fields if f.name not in days.columns}
-    reload_table(spark, name, days.withColumns(empty), *RELOAD)
-    return spark.table(name).select("sk_subs_id", "snap_date", "snap_month")
+    reload_table(spark, name, vas_usage(subscriber_orders(spark, sf), charges(spark, sf), *RELOAD), *RELOAD)
+    return spark.table(name).withColumns({m: F.col(m).cast("double") for m in VAS_MEASURES})
 
 
 @query(
     "a6_source_schema",
-    "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_ids FROM events",
+    f"""WITH {INQUIRIES} SELECT inqr_id, epoch_us(create_date) AS create_us, comp_os_id, billing_filial_id, itpc_itpc_id, sk_subs_id, sk_bmt_id,
+      subs_os_os_id, cr_os_os_id, {s6("value / 10")} AS lat, {s6("value / 20")} AS lon, description, crcat_crcat_id FROM inq""",
 )
 def a6_source_schema(spark, sf):
     """Inquiries stored and read back under the declared source schema."""
     path = scratch(spark, "inquiries")
     inquiries(spark, sf).write.parquet(path)
-    df = read_table(spark, path, INQUIRY_SOURCE)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("inqr_id").alias("n_ids"))
+    df = read_table(spark, path, INQUIRY_SOURCE).withColumn("create_us", F.unix_micros("create_date"))
+    return df.drop("create_date", "cr_weight").withColumns({c: r6(F.col(c).cast("double")) for c in ("lat", "lon")})
 
 
-_DICTIONARY = """dictionary AS (
-  SELECT DISTINCT 'p_brand' AS segment, p_brand AS value FROM part WHERE p_brand <= 'Brand#20'
-  UNION ALL SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part WHERE p_size <= 40)"""
+def _dictionary_sql(known=""):
+    return f"""dictionary AS (SELECT DISTINCT 'p_brand' AS segment, p_brand AS value FROM part {known and "WHERE p_brand <= 'Brand#20'"}
+  UNION ALL SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part {known and "WHERE p_size <= 40"})"""
 
 
-def _dictionary_path(spark, sf):
-    """Brands and sizes up to a limit, as a JSON object of lists."""
+def _dictionary_path(spark, sf, some=False):
+    """Brands and sizes as a JSON object of lists; with `some` the dictionary does not know all of them."""
     part = table(spark, sf, "part")
-    brands = part.where(F.col("p_brand") <= "Brand#20").agg(F.sort_array(F.collect_set("p_brand")).alias("p_brand"))
-    sizes = part.where(F.col("p_size") <= 40).agg(
+    brands = part.where((F.col("p_brand") <= "Brand#20") | F.lit(not some)).agg(F.sort_array(F.collect_set("p_brand")).alias("p_brand"))
+    sizes = part.where((F.col("p_size") <= 40) | F.lit(not some)).agg(
         F.sort_array(F.collect_set(F.col("p_size").cast("string"))).alias("p_size")
     )
     lists = brands.select(F.lit("p_brand").alias("k"), F.col("p_brand").alias("v")).unionByName(
@@ -190,7 +194,7 @@ def _dictionary_path(spark, sf):
     return path
 
 
-@query("a7_segment_dictionary", f"WITH {_DICTIONARY} SELECT segment, value FROM dictionary")
+@query("a7_segment_dictionary", f"WITH {_dictionary_sql()} SELECT segment, value FROM dictionary")
 def a7_segment_dictionary(spark, sf):
     return read_segment_dictionary(spark, _dictionary_path(spark, sf)).select("segment", "value")
 
@@ -207,9 +211,22 @@ def a7_segment_list(spark, sf):
     return read_segment_list(spark, path)
 
 
+@query(
+    "a7_listed_categories",
+    """SELECT 'p_brand' AS "column", p_brand AS value, count(*) AS n FROM part GROUP BY p_brand QUALIFY row_number() OVER (ORDER BY count(*) DESC, p_brand) <= 15
+    UNION ALL SELECT 'p_type', p_type, count(*) FROM part GROUP BY p_type QUALIFY row_number() OVER (ORDER BY count(*) DESC, p_type) <= 15""",
+)
+def a7_listed_categories(spark, sf):
+    """A report over the segments that a list file names and the table has."""
+    path = scratch(spark, "segments")
+    table(spark, sf, "part").select(F.explode(F.array(*[F.lit(n) for n in (" p_brand", "p_type ", "", "unknown")]))).distinct().write.text(path)
+    part = table(spark, sf, "part")
+    return top_categories(part, listed_segments(part, read_segment_list(spark, path))).drop("place")
+
+
 @query(
     "a7_outside_dictionary",
-    f"""WITH {_DICTIONARY}, long AS (
+    f"""WITH {_dictionary_sql("some")}, long AS (
       SELECT 'p_brand' AS segment, p_brand AS g FROM part UNION ALL SELECT 'p_size', CAST(p_size AS VARCHAR) FROM part)
     SELECT l.segment, l.g AS "group", count(*) AS n FROM long l
     WHERE NOT EXISTS (SELECT 1 FROM dictionary d WHERE d.segment = l.segment AND d.value = l.g)
@@ -218,7 +235,7 @@ def a7_segment_list(spark, sf):
 def a7_outside_dictionary(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_brand", "p_size")
     long = to_long(part, "p_partkey", "p_retailprice", ["p_brand", "p_size"])
-    return outside_dictionary(long, read_segment_dictionary(spark, _dictionary_path(spark, sf)))
+    return outside_dictionary(long, read_segment_dictionary(spark, _dictionary_path(spark, sf, some=True)))
 
 
 @query(

@@ -59,6 +59,11 @@ def read_segment_list(spark: SparkSession, path: str) -> DataFrame:
     return names.where(F.col("segment") != "")
 
 
+def listed_segments(df: DataFrame, names: DataFrame) -> list[str]:
+    """The columns of `df` that the list `names` (segment) has, sorted: the segments of a preparation, detector or report."""
+    return sorted(r["segment"] for r in names.where(F.col("segment").isin(df.columns)).distinct().collect())
+
+
 def read_segment_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(segment, position, value) from a JSON object of name -> list of values."""
     text = spark.read.text(path, wholetext=True)
