@@ -41,7 +41,7 @@ FAN = 16
 #: Bytes of text that ask for their pairs together.
 SLICE = 1 << 22
 #: Units a worker remembers before it starts anew.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: Groups with more links are counted by their distinct ids.
 LARGE = 256
 #: Pairs of one large group made at a time.
@@ -79,11 +79,10 @@ class Side:
     start: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     size: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
-    def learn(self, at: np.ndarray, lists: list[list[int]]) -> None:
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
+    def learn(self, at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
         self.start = np.insert(self.start, at, len(self.ids) + np.cumsum(size) - size)
         self.size = np.insert(self.size, at, size)
-        self.ids = np.concatenate([self.ids, np.array([i for ids in lists for i in ids], np.int32)])
+        self.ids = np.concatenate([self.ids, ids])
 
     def of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and where each ends in bytes."""
@@ -93,6 +92,19 @@ class Side:
         return ids, np.cumsum(self.lengths[ids])
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([i for ids in lists for i in ids], np.int32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _between_cuts(unit: bytes) -> bool:
+    """Whether a unit begins and ends with characters that are surely no white space, its first blank aside."""
+    if len(unit) < 2 or not (_GRAPHIC[unit[1]] or _LEAD[unit[1]]):
+        return False
+    if unit[-1] < 0x80:
+        return bool(_GRAPHIC[unit[-1]])
+    return bool(_LEAD[unit[-2] if unit[-2] >= 0xC0 else unit[-3] if unit[-3] >= 0xE0 else 0xF0])
+
+
 class Tokenizers:
     """Both tokenizers of a worker: units between cuts are tokenized once and remembered by a 64-bit hash."""
 
@@ -122,14 +134,38 @@ class Tokenizers:
         self.known, self.good = np.zeros(0, np.uint64), np.zeros(0, bool)
         self.sides = [Side(np.array([len(own[i]) for i in range(max(own) + 1)], np.int64)) for own in (self.bytes_a, self.bytes_b)]
 
+    def _alone(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in self.a.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)])
+
+    def _together(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Units that may follow one another with a cut between them, tokenized as texts of many units."""
+        texts = [b"".join(units[i : i + 256]).decode() for i in range(0, len(units), 256)]
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+        ends, wanted = np.cumsum(self.sides[0].lengths[ids]), np.cumsum([len(u) for u in units])
+        at = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+        return (ids, np.diff(at + 1, prepend=0)) if np.array_equal(ends[at], wanted) and at[-1] == len(ends) - 1 else self._alone(units)
+
     def learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
-        lists = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
-        at = np.searchsorted(self.known, hashes)
-        good = [b"".join(map(self.bytes_a.get, a)) == u == b"".join(map(self.bytes_b.get, b)) for u, a, b in zip(units, *lists)]
-        self.known, self.good = np.insert(self.known, at, hashes), np.insert(self.good, at, good)
-        for side, ids in zip(self.sides, lists):
-            side.learn(at, ids)
+        followed = np.fromiter(map(_between_cuts, units), bool, len(units))
+        for own, encode in ((np.flatnonzero(followed & self.cuttable), self._together), (np.flatnonzero(~(followed & self.cuttable)), self._alone)):
+            if len(own):
+                part = [units[i] for i in own.tolist()]
+                a, b = encode(part), _flat(self.b.encode([u[1:].decode() for u in part], num_threads=1))
+                at = np.searchsorted(self.known, hashes[own])
+                good = self._spelled(part, self.bytes_a, *a) & self._spelled(part, self.bytes_b, *b)
+                self.known, self.good = np.insert(self.known, at, hashes[own]), np.insert(self.good, at, good)
+                for side, (ids, size) in zip(self.sides, (a, b)):
+                    side.learn(at, ids, size)
+
+    @staticmethod
+    def _spelled(units: list[bytes], spelling: dict[int, bytes], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each unit spell it; all units are compared at once where all of them agree."""
+        parts = [spelling[i] for i in ids.tolist()]
+        ends = np.cumsum(size)
+        lengths = np.cumsum([0, *map(len, parts)])[np.concatenate([[0], ends])]
+        if np.array_equal(np.diff(lengths), [len(u) for u in units]) and b"".join(parts) == b"".join(units):
+            return np.ones(len(units), dtype=bool)
+        return np.array([b"".join(parts[e - n : e]) == u for u, e, n in zip(units, ends.tolist(), size.tolist())], dtype=bool)
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units of each stream, and for each stream the number of units before it; a line feed ends each."""
