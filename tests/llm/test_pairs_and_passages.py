@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup
 from tidemark.llm import textbytes as tb
-from tidemark.llm.decontamination import decontaminated, suffix_array, verbatim_matches
+from tidemark.llm.decontamination import decontaminated, occurrences, suffix_array, tests_of, verbatim_matches
 from tidemark.llm.fingerprints import containment, edited_fingerprints, likeness, merged, sketch
 from tidemark.llm.graph import components
 from tidemark.llm.line_dedup import keep_bitmaps, without_shared_lines
@@ -257,3 +257,29 @@ def test_memory_of_a_cell_of_long_near_copies():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert links and peak < 300e6, peak
+
+
+def test_one_word_repeated_in_text_and_item():
+    """500,000 times against 1,000 times: matches that go no further to the left, in bounded memory."""
+    tests = tests_of([("i", "a " * 1000), ("j", "b " + "a " * 20)], 10)
+    words = tb.word_hashes(np.frombuffer(b"a ", np.uint8), np.array([0]), np.array([1])).repeat(500_000)
+    tracemalloc.start()
+    ours, theirs, length = occurrences(words, np.array([0, len(words)]), tests)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6, peak
+    got = set(zip(ours.tolist(), theirs.tolist(), length.tolist()))
+    want = {(i, 0, min(1000, 500_000 - i)) for i in range(500_000 - 9)} | {(0, t, 1000 - t) for t in range(991)}
+    assert len(got) == len(ours) and {g for g in got if g[1] < 1001} == want
+    assert {(o, n) for o, t, n in got if t > 1001} == {(i, min(20, 500_000 - i)) for i in range(500_000 - 9)} | {(0, 20 - k) for k in range(11)}
+
+
+def test_repetitive_texts_against_brute_force(spark):
+    rng = random.Random(31)
+    rows = [(i, " ".join(rng.choice(["a", "a", "a", "b"]) for _ in range(rng.randrange(60)))) for i in range(25)]
+    items = [(i, " ".join(rng.choice(["a", "a", "b"]) for _ in range(rng.choice([3, 12, 30])))) for i in range(6)]
+    test = spark.createDataFrame(items, "item_id long, text string")
+    want = brute.matches(rows, items, 4)
+    for blocks in (1 << 20, 40):
+        got = verbatim_matches(frame(spark, rows), test, width=4, block_bytes=blocks).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n_hit"], {m["item_id"] for m in r["matches"]}) for r in got} == want

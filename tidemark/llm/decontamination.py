@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
+#: Runs of the suffix array looked at together.
+RUNS = 1 << 20
 MATCHES = "array<struct<start:int,length:int,item_id:string,item_start:int>>"
 
 
@@ -99,6 +101,35 @@ def _bound(shard: np.ndarray, order: np.ndarray, tests: Tests, suffix: np.ndarra
     return low
 
 
+def _begun(shard: np.ndarray, order: np.ndarray, tests: Tests, suffix: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of each test suffix's range that the match cannot be carried on from to the left, and the suffix.
+
+    Neighbours of the array with the same word before them are one run. A run whose word also stands before the test suffix
+    is left out as a whole, so the work follows the number of matches that remain, also where one word repeats.
+    """
+    none = np.zeros(0, np.int64)
+    before = np.where(order > 0, shard[order - 1], 0)
+    starts = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+    stops = np.append(starts[1:], len(order))
+    some = high > low
+    suffix, low, high = suffix[some], low[some], high[some]
+    # A suffix at the start of its item is carried on from nowhere.
+    previous = np.where((suffix > 0) & (tests.need[suffix - 1] > 0), tests.words[suffix - 1], 0)
+    first, last = (np.searchsorted(starts, x, "right") - 1 for x in (low, high - 1))
+    ours, theirs = [none], [none]
+    for part in np.array_split(np.arange(len(suffix)), max(1, int((last - first + 1).sum()) // RUNS)):
+        count = (last - first + 1)[part]
+        of = np.repeat(part, count)
+        run = np.repeat(first[part] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        kept = (before[starts[run]] != previous[of]) | (previous[of] == 0)
+        of, run = of[kept], run[kept]
+        begin = np.maximum(low[of], starts[run])
+        size = np.minimum(high[of], stops[run]) - begin
+        ours.append(order[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())])
+        theirs.append(np.repeat(suffix[of], size))
+    return np.concatenate(ours), np.concatenate(theirs)
+
+
 def occurrences(words: np.ndarray, first: np.ndarray, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word of the slice, place among the test words, length) of every longest verbatim match of a window or more."""
     none = np.zeros(0, np.int64)
@@ -127,13 +158,8 @@ def occurrences(words: np.ndarray, first: np.ndarray, tests: Tests) -> tuple[np.
     suffix = suffix[np.isin(tests.words[suffix], shard[places])]
     order = suffix_array(shard, int(tests.need.max()))
     low, high = (_bound(shard, order, tests, suffix, strict) for strict in (True, False))
-    count = high - low
-    theirs = np.repeat(suffix, count)
-    ours = order[np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())]
-    # Only where the match cannot be carried on to the left; then as far right as it goes.
-    left = (ours > 0) & (theirs > 0)
-    begun = ~(left & (shard[ours - 1] == tests.words[theirs - 1]) & (shard[ours - 1] > 0) & (tests.need[theirs - 1] > 0))
-    ours, theirs = ours[begun], theirs[begun]
+    ours, theirs = _begun(shard, order, tests, suffix, low, high)
+    # As far right as each goes.
     length, active, k = np.zeros(len(ours), np.int64), np.arange(len(ours)), 0
     while len(active):
         same = (shard[ours[active] + k] == tests.words[theirs[active] + k]) & (shard[ours[active] + k] > 0)
@@ -143,8 +169,12 @@ def occurrences(words: np.ndarray, first: np.ndarray, tests: Tests) -> tuple[np.
     return origin[ours], theirs, length
 
 
-def _read(column: pa.Array, tests: Tests) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[dict]]]]:
-    """(first row, end row, words, hit words, matches) of each slice of a column of texts."""
+_MATCH = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32())])
+
+
+def _read(column: pa.Array, tests: Tests) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, pa.Array]]:
+    """(first row, end row, words, hit words, lists of matches) of each slice of a column of texts."""
+    names = pa.array(tests.ids, pa.string())
     for begin, end, data, offsets in tb.slices(column):
         starts, ends, first = tb.word_bounds(data, offsets, tb.ALNUM)
         ours, theirs, length = occurrences(tb.word_hashes(data, starts, ends), first, tests)
@@ -152,21 +182,25 @@ def _read(column: pa.Array, tests: Tests) -> Iterator[tuple[int, int, np.ndarray
         np.add.at(cover, ours, 1)
         np.add.at(cover, ours + length, -1)
         hits = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
-        found: list[list[dict]] = [[] for _ in range(end - begin)]
+        placed = np.lexsort((length, theirs, ours))
+        ours, theirs, length = ours[placed], theirs[placed], length[placed]
         doc = np.searchsorted(first, ours, "right") - 1
-        for d, o, t, n in sorted(zip(doc.tolist(), ours.tolist(), theirs.tolist(), length.tolist())):
-            found[d].append({"start": o - int(first[d]), "length": n, "item_id": tests.ids[tests.item[t]], "item_start": int(tests.place[t])})
+        columns = [pa.array(ours - first[doc], pa.int32()), pa.array(length, pa.int32()), names.take(pa.array(tests.item[theirs])), pa.array(tests.place[theirs], pa.int32())]
+        found = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(end - begin + 1)), pa.int32()), pa.StructArray.from_arrays(columns, fields=list(_MATCH)))
         yield begin, end, np.diff(first), np.diff(hits[first]), found
 
 
-def _blocks(items: DataFrame, width: int, block_bytes: int) -> Iterator[Tests]:
-    """The items with a text, in blocks of about `block_bytes`; only one block is on the driver at a time."""
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
+def _block_count(items: DataFrame, block_bytes: int) -> int:
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
-    count = max(1, math.ceil(size / block_bytes))
-    for block in range(count):
-        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
-        yield tests_of([(r["item_id"], r["text"]) for r in part.collect()], width)
+    return max(1, math.ceil(size / block_bytes))
+
+
+def _block(items: DataFrame, block: int, count: int, width: int) -> Tests:
+    """One of `count` blocks of the items with a text, each about as large; one is on the driver at a time."""
+    part = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
+    if count > 1:
+        part = part.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
+    return tests_of([(r["item_id"], r["text"]) for r in part.collect()], width)
 
 
 def verbatim_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -176,32 +210,32 @@ def verbatim_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, blo
     in the document, words, item, first word in the item. n_hit counts the document's words inside any of them.
     A null or wordless text has none; items without words match nothing; equal items are all reported; rows
     that repeat a doc_id are answered each. Other columns are ignored. With several blocks of items a row's matches are
-    gathered by (doc_id, text).
+    gathered by (doc_id, text), and the passes run when this is called, one block in memory at a time.
     """
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
 
-    def passed(tests: Tests) -> DataFrame:
-        sent = spark.sparkContext.broadcast(vars(tests))
+    def passed(sent: Broadcast) -> DataFrame:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for begin, end, words, hits, found in _read(batch.column(1), Tests(**sent.value)):
-                    kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32())]))
                     columns = [batch.column(c).slice(begin, end - begin) for c in (0, 2)]
-                    yield pa.record_batch([*columns, pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(found, kind)], names=["doc_id", "print", "n_words", "n_hit", "matches"])
+                    yield pa.record_batch([*columns, pa.array(words, pa.int64()), pa.array(hits, pa.int64()), found], names=["doc_id", "print", "n_words", "n_hit", "matches"])
 
         named = docs.withColumn("print", F.xxhash64("text"))
         return named.mapInArrow(scan, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print long, n_words long, n_hit long, matches {MATCHES}")
 
-    passes = [passed(tests) for tests in _blocks(items, width, block_bytes)]
-    if len(passes) == 1:
-        return passes[0].drop("print")
-    key = ["doc_id", "print"]
-    rows = passes[0].select(*key, "n_words")
-    some = [p.where("size(matches) > 0").dropDuplicates(key) for p in passes]
-    gathered = some[0]
-    for more in some[1:]:
-        gathered = gathered.union(more)
+    count = _block_count(items, block_bytes)
+    if count == 1:
+        return passed(spark.sparkContext.broadcast(vars(_block(items, 0, 1, width)))).drop("print")
+    key, rows, gathered = ["doc_id", "print"], None, None
+    for number in range(count):
+        sent = spark.sparkContext.broadcast(vars(_block(items, number, count, width)))
+        found = settled(passed(sent) if rows is None else passed(sent).where("size(matches) > 0"))
+        sent.destroy()
+        rows = found.select(*key, "n_words") if rows is None else rows
+        found = found.where("size(matches) > 0").dropDuplicates(key)
+        gathered = found if gathered is None else gathered.union(found)
     gathered = gathered.groupBy(*key).agg(F.flatten(F.collect_list("matches")).alias("matches"))
     covered = F.aggregate(
         F.array_sort("matches"),
@@ -219,14 +253,17 @@ def verbatim_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, blo
 def decontaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of `docs`, all columns, whose text holds no window of an item; a null text is kept."""
     spark, place = docs.sparkSession, docs.columns.index("text")
-    kept = docs
-    for number, tests in enumerate(_blocks(items, width, block_bytes)):
-        sent = spark.sparkContext.broadcast(vars(tests))
+    kept, count = docs, _block_count(items, block_bytes)
+    for number in range(count):
+        sent = spark.sparkContext.broadcast(vars(_block(items, number, count, width)))
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for begin, end, _, hits, _ in _read(batch.column(place), Tests(**sent.value)):
                     yield batch.slice(begin, end - begin).filter(pa.array(hits == 0))
 
-        kept = (settled(kept) if number else kept).mapInArrow(scan, docs.schema)
+        kept = kept.mapInArrow(scan, docs.schema)
+        if number + 1 < count:
+            kept = settled(kept)
+            sent.destroy()
     return kept
