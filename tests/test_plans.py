@@ -1,5 +1,6 @@
 """Shape of the physical plans: what is pushed down, where rows are combined, what is never planned."""
 
+import bisect
 import random
 
 import pytest
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.ranking import average_ranks, value_ranks
+from tidemark.operators.salting import hot_join
 from tidemark.registry import QUERIES
 from tidemark.registry.standins import charges, inquiries, inquiry_dimensions, subscriber_orders
 
@@ -88,3 +91,28 @@ def test_quantiles_of_a_hot_group(spark):
         assert got.keys() == expected.keys()
         for g, values in expected.items():
             assert got[g] == pytest.approx(values), g
+
+
+def test_ranks_of_columns_sort_ranges(spark):
+    """Mean ranks of many rows with ties, a hot value and nulls; nothing but one row a range is sorted in one task."""
+    rng = random.Random(2)
+    values = [rng.choice([7.0, 7.0, rng.random(), float(rng.randint(0, 3)), None]) for _ in range(4000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double").repartition(5)
+    got = {r["i"]: r["v_rank"] for r in average_ranks(df, ["v"]).collect()}
+    known = sorted(v for v in values if v is not None)
+    want = {i: bisect.bisect_left(known, v) + (known.count(v) + 1) / 2 for i, v in enumerate(values) if v is not None}
+    assert got == want
+    plan = plan_of(value_ranks(df, "v", "rank"))
+    assert "rangepartitioning" not in plan and plan.count("Exchange SinglePartition") == 1 and "partial_sum" in plan
+
+
+def test_hot_keys_are_joined_in_place(spark):
+    rows = [(1 if i % 3 else i, i) for i in range(6000)]
+    big = spark.createDataFrame(rows, "k long, i long")
+    small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("least"))
+    joined = hot_join(big, small, ["k"], "n", 6000)
+    least = {}
+    for k, i in rows:
+        least[k] = min(least.get(k, i), i)
+    assert sorted(map(tuple, joined.collect())) == sorted((k, i, least[k]) for k, i in rows)
+    assert "BroadcastHashJoin" in plan_of(joined)

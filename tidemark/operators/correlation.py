@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidemark.operators.ranking import average_rank
+from tidemark.operators.ranking import average_rank, average_ranks
 from tidemark.operators.series import daily_metric
 
 # The functions travel with the query, so workers need not have this package installed.
@@ -88,6 +88,16 @@ def correlations(pairs: DataFrame, x: str, y: str) -> DataFrame:
     ).withColumns({f"{k}_t": t_statistic(F.col(k), n) for k in ("pearson", "spearman")})
 
 
+def column_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
+    """`correlations` of two columns of a table of any length, with p-values; ranks are taken range by range."""
+    pairs = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    ranked = average_ranks(pairs.where(~F.isnan("_x") & ~F.isnan("_y")), ["_x", "_y"])
+    found = ranked.agg(
+        F.count(F.lit(1)).alias("n"), guarded_corr("_x", "_y").alias("pearson"), guarded_corr("_x_rank", "_y_rank").alias("spearman")
+    )
+    return with_p_values(found.withColumns({f"{k}_t": t_statistic(F.col(k), F.col("n")) for k in ("pearson", "spearman")}))
+
+
 def with_p_values(result: DataFrame) -> DataFrame:
     """Add pearson_p and spearman_p; a perfect correlation has p = 0."""
     columns = {}

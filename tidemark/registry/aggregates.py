@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import age_bin
-from tidemark.operators.correlation import correlations, daily_pairs, series_correlation
+from tidemark.operators.correlation import column_correlation, correlations, daily_pairs, series_correlation
 from tidemark.operators.profile import (
     box_statistics,
     density_curve,
@@ -379,6 +379,19 @@ def d19_spearman(spark, sf):
     return correlations(_pairs(spark, sf), "metric_1", "metric_2").select("n", r6("spearman").alias("spearman"))
 
 
+@query(
+    "d19_spearman_of_columns",
+    f"""WITH r AS (SELECT l_quantity AS x, l_extendedprice AS y,
+      rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS rx,
+      rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS ry FROM lineitem)
+    SELECT count(*) AS n, {s6("corr(x, y)")} AS pearson, {s6("corr(rx, ry)")} AS spearman FROM r""",
+)
+def d19_spearman_of_columns(spark, sf):
+    """Two columns of the fact table, with many ties in one of them."""
+    df = column_correlation(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+    return df.select("n", r6("pearson").alias("pearson"), r6("spearman").alias("spearman"))
+
+
 _T = "r * sqrt((n - 2) / (1 - r * r))"
 
 
