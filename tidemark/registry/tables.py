@@ -135,7 +135,7 @@ def a5_write_detector(spark, sf):
     z, contributions, significant = (spark.read.parquet(f"{path}/{t}") for t in ("z_scores", "contributions", "significant"))
     wide = []
     for number, (segment, names) in enumerate(wide_names(z, "z_score")):
-        rows = spark.read.option("header", True).csv(f"{path}/z_scores_wide/{number:05d}_{segment}")
+        rows = spark.read.option("header", True).csv(f"{path}/z_scores_wide/{number:05d}")
         rows = rows.unpivot(["day"], names, "name", "wide_z_score").withColumn("segment", F.lit(segment))
         group = F.expr(f"substring(name, {len('z_score_' + segment + '_') + 1})")
         wide.append(rows.select(F.to_date("day").alias("day"), "segment", group.alias("group"), F.col("wide_z_score").cast("double").alias("wide_z_score")))
@@ -145,6 +145,21 @@ def a5_write_detector(spark, sf):
     return rows.select(*key, *[r6(c, 4).alias(c) for c in ("z_score", "contribution", "wide_z_score")], F.coalesce(F.col("_winner") == F.col("group"), F.lit(False)).alias("winner"))
 
 
+@query(
+    "a5_wide_significant",
+    f"""WITH {DETECTOR}, {WINNERS} SELECT b.day, {s6("any_value(b.metric)")} AS metric, any_value(b.total_count) AS total_count,
+      {s6("any_value(b.delta_all)")} AS delta_all, {", ".join(f"max(CASE WHEN w.segment = '{s}' AND w.ml_group = w.z_group THEN w.ml_group END) AS {s}" for s in SEGMENTS)}
+    FROM base b LEFT JOIN winners w ON w.day = b.day GROUP BY b.day""",
+)
+def a5_wide_significant(spark, sf):
+    """The stored main table with one column per segment, read back."""
+    path = scratch(spark, "detector")
+    detect_to_tables(survey(spark, sf), path, "day", "nps", SEGMENTS, wide=True)
+    schema = "day date, metric double, total_count long, delta_all double, " + ", ".join(f"{s} string" for s in sorted(SEGMENTS))
+    rows = read_table(spark, f"{path}/significant_wide", spark.createDataFrame([], schema).schema, form="csv")
+    return rows.withColumns({"metric": r6("metric"), "delta_all": r6("delta_all")})
+
+
 @query(
     "a6_table_definitions",
     f"""WITH {CHARGES} SELECT d.sk_subs_id, d.snap_date, d.snap_month, {RULE_SQL}

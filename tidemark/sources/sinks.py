@@ -91,16 +91,30 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 def write_detector(significant: DataFrame, stored: DataFrame, path: str, wide: bool = False, day: str = "day") -> None:
     """Significant groups, z-scores and contributions as three tables, from scored series already stored.
 
-    With `wide` CSV exports with one column per group are added: per segment, in blocks of columns, so any number
-    of groups can be exported and the driver holds the names of one block.
+    With `wide` CSV exports are added: the significant groups with one column per segment, and the measures with one column per
+    group, per segment in blocks of columns, so any number of groups can be exported and the driver holds the names of one
+    block. Blocks are numbered folders; `*_wide_blocks` has the segment of each number.
     """
     significant.write.mode("overwrite").parquet(f"{path}/significant")
     for measure, folder in (("z_score", "z_scores"), ("contribution", "contributions")):
         long = stored.select(day, "segment", "group", measure)
         long.write.mode("overwrite").parquet(f"{path}/{folder}")
         if wide:
-            stored_long = long.sparkSession.read.parquet(f"{path}/{folder}")
+            stored_long, blocks = long.sparkSession.read.parquet(f"{path}/{folder}"), []
             for number, (segment, names) in enumerate(wide_names(stored_long, measure)):
                 part = stored_long.where(F.col("segment") == segment)
                 table = to_wide(part, day, measure, names).orderBy(day)
-                table.write.mode("overwrite").option("header", True).csv(f"{path}/{folder}_wide/{number:05d}_{segment}")
+                table.write.mode("overwrite").option("header", True).csv(f"{path}/{folder}_wide/{number:05d}")
+                blocks.append((number, segment))
+            # One row a block.
+            long.sparkSession.createDataFrame(blocks, "block int, segment string").write.mode("overwrite").parquet(f"{path}/{folder}_wide_blocks")
+    if wide:
+        rows = long.sparkSession.read.parquet(f"{path}/significant")
+        by_segment = significant_wide(rows, day).orderBy(day)
+        by_segment.write.mode("overwrite").option("header", True).csv(f"{path}/significant_wide")
+
+
+def significant_wide(significant: DataFrame, day: str = "day") -> DataFrame:
+    """One row per day: metric, total_count, delta_all, and a column per segment with its significant group."""
+    segments = [r["segment"] for r in significant.select("segment").distinct().orderBy("segment").collect()]
+    return significant.groupBy(day, "metric", "total_count", "delta_all").pivot("segment", segments).agg(F.first("group"))
