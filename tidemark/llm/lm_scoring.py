@@ -289,10 +289,11 @@ def _by_broadcast(rows: DataFrame, model: DataFrame, segments: int, facts: dict)
     return rows.mapInArrow(tasks, f"row long, doc_id long, held_out boolean, {OUT}")
 
 
-def _by_segments(rows: DataFrame, model: DataFrame, segments: int, facts: dict, group_rows: int = 2000) -> DataFrame:
+def _by_segments(rows: DataFrame, model: DataFrame, segments: int, facts: dict, group_bytes: int = 4 << 20) -> DataFrame:
     """The same without a broadcast of the filter: lookups travel to the segments and their answers come back."""
     sent = rows.sparkSession.sparkContext.broadcast(facts)
-    groups = max(1, math.ceil(rows.count() / group_rows))
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
+    groups = max(1, math.ceil(size / group_bytes))
     named = rows.withColumn("row", F.monotonically_increasing_id())
     named = settled(named.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")))
 

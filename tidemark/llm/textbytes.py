@@ -6,6 +6,7 @@ slice holds at most `limit` bytes of text or one whole text.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -80,8 +81,15 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         data = np.frombuffer(buffers[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
         yield first, end, data, offsets - offsets[0]
         first = end
-    # A worker that waits for its next task does not keep what this column took.
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory to the system: a worker that waits for its next task does not keep what its last column took."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
