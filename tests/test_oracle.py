@@ -20,9 +20,8 @@ def test_equal_to_sql(spark, con, name):
     assert difference(spark, con, SF, name, ENTRY_QUERIES[name], ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_gives_rows(spark, name):
-    assert ENTRY_QUERIES[name](spark, SF).count() > 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

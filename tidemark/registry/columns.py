@@ -76,6 +76,7 @@ def b5_half_open_period(spark, sf):
     return inquiries(spark, sf).where(within_period("create_date", START, END)).select("inqr_id", "sk_subs_id")
 
 
+# The inquiry categories and the company of the load.
 @query(
     "b6_predicates",
     f"""WITH {INQUIRIES} SELECT inqr_id, crcat_crcat_id FROM inq

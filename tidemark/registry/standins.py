@@ -178,6 +178,7 @@ organisations AS (
 
 IN_PERIOD = "create_date >= TIMESTAMP '2024-01-01' AND create_date < TIMESTAMP '2024-02-01'"
 
+# The inquiry categories that are counted.
 COUNTS = (
     INQUIRIES
     + f""", counts AS (
