@@ -92,7 +92,27 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return score(_documents(spark, sf), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
 
 
-@query("op4_sharding")
+_OP4_SQL = """
+WITH bits AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, encode(coalesce(text, '')) AS raw FROM documents
+), sized AS (
+    SELECT doc_id, size, CASE WHEN size = 16 THEN 0 ELSE xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(8 * (size - 16)), lambda i: get_bit(raw::BIT, (i - i % 8 + 7 - i % 8)::INT)::BIGINT)),
+        lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) END AS text_crc32
+    FROM bits
+), laid AS (
+    SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total
+    FROM sized
+), placed AS (
+    SELECT *, least(39, (2 * before + size) * 40 // (2 * total)) AS shard FROM laid
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM placed
+"""
+
+
+@query("op4_sharding", _OP4_SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm.sharding import byte_shards
 
