@@ -247,7 +247,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Weights, list[str]]:
     windows = np.array([np.frombuffer(w.ljust(WINDOW, b"\0"), np.uint8) for _, w in got]).reshape(-1, WINDOW)
     there = np.arange(WINDOW)[None, :] < np.array([len(w) for _, w in got]).reshape(-1, 1)
     labels = np.array([languages.index(lang) for lang, _ in got], dtype=np.int64)
-    return fit(windows, there, labels, len(languages)), languages
+    weights = fit(windows, there, labels, len(languages))
+    tb.give_back()
+    return weights, languages
 
 
 def identified(docs: DataFrame, weights: Weights, languages: list[str]) -> DataFrame:
