@@ -6,6 +6,7 @@ import warnings
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import neighbours
@@ -153,6 +154,10 @@ def test_observed_cells_stay(spark):
 
 
 def test_category_forest_learns_a_rule(spark):
+    """Also in a session that has observed a table, as the report of a preparation does."""
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
     rows = [(i, float(i % 10), "u" if i % 2 else "v", None if i % 7 == 0 else ("low" if i % 10 < 5 else "high")) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, x double, s string, y string")
     filled = category_impute(df, "y", ["x", "s"], trees=10)

@@ -68,6 +68,8 @@ def category_impute(
     forest = RandomForestClassifier(
         featuresCol="_x", labelCol="_y", predictionCol="_py", numTrees=trees, maxDepth=depth, seed=seed
     ).fit(indexer.transform(known))
+    # A copy has no training summary; that one holds the session, which does not travel to tasks once the session has observed a table.
+    forest = forest.copy()
     back = IndexToString(inputCol="_py", outputCol="_predicted", labels=indexer.labels)
     predicted = back.transform(forest.transform(unknown)).withColumn(target, F.col("_predicted"))
     return known.select(*df.columns).unionByName(predicted.select(*df.columns))
