@@ -65,9 +65,10 @@ def profile(
         ranged = F.broadcast(report["histogram"].select("column").distinct())
         report["categories"] = report["categories"].join(ranged, "column", "left_anti")
     if roles.metric and roles.region:
-        report["region_box"] = box_statistics(rows_of_top_groups(df, roles.region, roles.metric), roles.region, roles.metric)
+        # Boxes are one row a group, written once however many of their numbers are asked for.
+        report["region_box"] = settled(box_statistics(rows_of_top_groups(df, roles.region, roles.metric), roles.region, roles.metric))
     if roles.metric and roles.age:
-        report["age_box"] = box_statistics(df.withColumn("age_group", age_bin(roles.age)), "age_group", roles.metric)
+        report["age_box"] = settled(box_statistics(df.withColumn("age_group", age_bin(roles.age)), "age_group", roles.metric))
     if roles.metric and roles.revenue:
         report["revenue_density"] = density_histogram(df, roles.revenue, roles.metric)
     if roles.region:
