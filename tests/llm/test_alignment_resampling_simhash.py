@@ -170,6 +170,24 @@ def test_simhash_of_odd_tables(spark):
     assert got == sorted([(None, text, None), (4, "0" * 16, 2), (4, text, 2), (2, text, 2), (2, "0" * 16, 2), (9, text, 2)], key=str)
 
 
+def test_simhash_reaches_through_rows_without_id(spark):
+    """A chain of three fingerprints, two bits from one to the next, whose middle has no doc_id."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(40)}" for _ in range(300)]
+    texts = [" ".join(base)]
+    while len(texts) < 400:
+        base[rng.randrange(300)] = f"v{rng.randrange(40)}"
+        texts.append(" ".join(base))
+    prints = [brute.fingerprint(t) for t in texts]
+    near = lambda a, b: (a ^ b).bit_count() <= 2
+    steps = range(1, len(texts) - 1)
+    a, b, c = next((i, k, j) for k in steps for i in range(k) for j in range(k + 1, len(texts)) if near(prints[i], prints[k]) and near(prints[k], prints[j]) and not near(prints[i], prints[j]))
+    rows = [(5, texts[a]), (None, texts[b]), (3, texts[c]), (None, "far away from all of them")]
+    got = {(r["doc_id"], r["fingerprint"]): r["component_id"] for r in near_duplicates(frame(spark, rows)).collect()}
+    assert {k: v for k, v in got.items() if k[0] is not None} == {(5, f"{prints[a]:016x}"): 3, (3, f"{prints[c]:016x}"): 3}
+    assert len(got) == 4
+
+
 def test_links_of_crowded_lists(spark):
     """A ball of fingerprints that fills long lists: every pair within reach once, none beyond."""
     rng = random.Random(5)
