@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import neighbours
 from tidemark.operators.categories import category_impute, mode_impute
 from tidemark.operators.neighbours import knn_impute
+from tidemark.session import settled
 
 
 def brute(rows, k=5):
@@ -116,6 +117,27 @@ def test_leaves_and_cells_of_any_size(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_meetings_are_dealt_by_number_and_far_donors_stay(spark, monkeypatch):
+    """The second meetings give no donor beyond the k-th distance of the first ones, in as many tasks as their number asks for."""
+    monkeypatch.setattr(neighbours, "LEAF", 15)
+    monkeypatch.setattr(neighbours, "TASK_ROWS", 50, raising=False)
+    seen = []
+
+    def kept(*args, found=neighbours._found):
+        seen.append(settled(found(*args).withColumn("_task", F.spark_partition_id())))
+        return seen[-1].drop("_task")
+
+    monkeypatch.setattr(neighbours, "_found", kept)
+    rng = random.Random(13)
+    check(spark, [(i, *gaps(rng, [rng.random(), rng.random(), rng.random()], 0.2)) for i in range(400)])
+    first, second = ([tuple(r) for r in df.select("_rid", "_c", "_d").collect()] for df in seen)
+    reach = {}
+    for rid, c, d in sorted(first):
+        reach.setdefault((rid, c), []).append(d)
+    assert second and all(len(r := reach.get((rid, c), [])) < 5 or d <= r[4] for rid, c, d in second)
+    assert seen[1].select("_task").distinct().count() > 8
+
+
 def test_least_distance_of_a_leaf_is_below_all_its_donors():
     rng = np.random.default_rng(5)
     for _ in range(30):

@@ -11,6 +11,7 @@ Distance between two rows: sqrt(m/p * sum of squared differences) over the p of
 5. the k best donors by (distance, key) give the value, the column mean where no donor is comparable.
 
 Receivers meet donors in cells of a bounded number of both, whatever the size of a leaf, each cell with array arithmetic.
+A task takes a bounded number of meetings, and donors beyond a receiver's reach do not leave their cell.
 Only the sample, the tree and the leaves' ranges pass through the driver.
 """
 
@@ -28,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from tidemark.operators.salting import salted_join
 from tidemark.session import settled
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,6 +40,8 @@ LEAF = 512
 LEAVES = 4096
 #: Donors and receivers of one cell, as powers of two.
 CELL_BITS = 12
+#: Receivers of all cells of a task, about, and the fewest tasks.
+TASK_ROWS, TASKS = 1 << 17, 8
 #: Distances worked out at a time.
 AT_A_TIME = 1 << 21
 SLACK = 1e-9
@@ -173,7 +175,7 @@ class Leaves:
 
 
 def _met(receivers: DataFrame, leaves: Leaves, m: int, k: int, with_reach: bool) -> DataFrame:
-    """(_leaf, receiver): the home leaves of each receiver, or with reaches the other leaves that it has to meet."""
+    """(_leaf, receiver): the home leaves of each receiver, or with reaches (kept) the other leaves that it has to meet."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = max(1, AT_A_TIME // (len(leaves.rows) * m))
@@ -184,15 +186,15 @@ def _met(receivers: DataFrame, leaves: Leaves, m: int, k: int, with_reach: bool)
             if with_reach:
                 chosen = leaves.within(points, least, _matrix(batch.columns[m + 1 :])) & ~chosen
             row, leaf = np.nonzero(chosen)
-            yield pa.record_batch([pa.array(leaves.number[leaf]), *(c.take(pa.array(row)) for c in batch.columns[: m + 1])], names=names)
+            yield pa.record_batch([pa.array(leaves.number[leaf]), *(c.take(pa.array(row)) for c in batch.columns)], names=names)
 
-    fields = [StructField("_leaf", LongType()), *receivers.schema.fields[: m + 1]]
+    fields = [StructField("_leaf", LongType()), *receivers.schema.fields]
     names = [f.name for f in fields]
     return receivers.mapInArrow(tasks, StructType(fields))
 
 
-def _nearest(points: np.ndarray, donors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(column, point, donor, distance): for each column a point lacks its k nearest donors that have it; ties go to the earlier donor."""
+def _nearest(points: np.ndarray, reach: np.ndarray, donors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(column, point, donor, distance): for each column a point lacks its k nearest donors within reach that have it; ties go to the earlier donor."""
     m = points.shape[1]
     step = max(1, AT_A_TIME // max(1, len(donors)))
     for s in range(0, len(points), step):
@@ -210,8 +212,11 @@ def _nearest(points: np.ndarray, donors: np.ndarray, k: int) -> Iterator[tuple[i
             if not len(rows) or not len(having):
                 continue
             sub = distance[np.ix_(rows, having)]
+            limit = reach[s + rows, c]
+            some = sub.min(axis=1) <= limit
+            rows, sub, limit = rows[some], sub[some], limit[some]
             last = min(k, len(having)) - 1
-            near = (sub <= np.partition(sub, last, axis=1)[:, last, None]) & np.isfinite(sub)
+            near = (sub <= np.minimum(np.partition(sub, last, axis=1)[:, last], limit)[:, None]) & np.isfinite(sub)
             r, d = np.nonzero(near)
             order = np.lexsort((d, sub[r, d], r))
             r, d = r[order], d[order]
@@ -221,20 +226,25 @@ def _nearest(points: np.ndarray, donors: np.ndarray, k: int) -> Iterator[tuple[i
 
 
 def _found(met: DataFrame, donors: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
-    """(_rid, _c, _d, _donor, _v): for each receiver, cell and lacking column the nearest donors of that cell."""
+    """(_rid, _c, _d, _donor, _v): for each receiver, cell and lacking column the nearest donors of that cell, within reach if `met` has it."""
     m = len(columns)
+    reaches = [f"_r{i}" for i in range(m) if f"_r{i}" in met.columns]
     blocks = donors.select("_leaf", "_block").distinct()
     visits = settled(met.join(blocks, "_leaf"))
     sizes = visits.groupBy("_leaf", "_block").agg(F.ceil(F.count(F.lit(1)) / (1 << CELL_BITS)).cast("int").alias("_parts"))
-    visits = salted_join(visits, sizes, ["_leaf", "_block"], ["_rid"]).withColumn("_part", F.pmod(F.xxhash64("_rid", F.lit(1)), F.col("_parts")).cast("int"))
+    # One row for 2 ** CELL_BITS donors or a leaf.
+    sizes = F.broadcast(settled(sizes))
+    tasks = max(TASKS, -(-visits.count() // TASK_ROWS))
+    visits = visits.join(sizes, ["_leaf", "_block"]).withColumn("_part", F.pmod(F.xxhash64("_rid", F.lit(1)), F.col("_parts")).cast("int"))
     there = donors.join(sizes, ["_leaf", "_block"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     cell = ["_leaf", "_block", "_part"]
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("_order")
         points, values = _matrix([left.column(c) for c in columns]), _matrix([right.column(c) for c in columns])
+        reach = _matrix([left.column(c) for c in reaches]) if reaches else np.full(points.shape, np.inf)
         out = [pa.table({"_rid": [], "_c": [], "_d": [], "_donor": [], "_v": []}, schema=arrow_schema(right))]
-        for c, p, d, distance in _nearest(points, values, k):
+        for c, p, d, distance in _nearest(points, reach, values, k):
             arrays = [left.column("_rid").take(pa.array(p)), pa.array(np.full(len(p), c, np.int32)), pa.array(distance), right.column("_donor").take(pa.array(d)), pa.array(values[d, c])]
             out.append(pa.table(arrays, schema=out[0].schema))
         return pa.concat_tables(out)
@@ -245,8 +255,8 @@ def _found(met: DataFrame, donors: DataFrame, columns: Sequence[str], k: int) ->
     schema = StructType(
         [StructField("_rid", LongType()), StructField("_c", IntegerType()), StructField("_d", DoubleType()), donors.schema["_donor"], StructField("_v", DoubleType())]
     )
-    left = visits.select(*cell, "_rid", *columns).groupBy(*cell)
-    right = there.select(*cell, "_order", "_donor", *columns).groupBy(*cell)
+    left = visits.select(*cell, "_rid", *columns, *reaches).repartition(tasks, *cell).groupBy(*cell)
+    right = there.select(*cell, "_order", "_donor", *columns).repartition(tasks, *cell).groupBy(*cell)
     return left.cogroup(right).applyInArrow(meet, schema)
 
 
