@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_dedup
+from tidemark.llm import graph, near_dedup
 from tidemark.llm import textbytes as tb
 from tidemark.llm.decontamination import decontaminated, occurrences, suffix_array, tests_of, verbatim_matches
 from tidemark.llm.fingerprints import containment, edited_fingerprints, likeness, merged, sketch
@@ -56,6 +56,40 @@ def test_near_duplicates(spark, corpus):
     assert got == brute.near_duplicates(corpus)
 
 
+def _joins(df):
+    """The joins of a plan by broadcast, as planned before sizes are measured."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
+
+
+def test_near_duplicates_broadcast_no_table_that_grows(spark, corpus, monkeypatch):
+    """Only the sieve of hash values is broadcast: what stands behind an explode is larger than Spark takes it for."""
+    plans, kept = [], near_dedup.settled
+    monkeypatch.setattr(near_dedup, "settled", lambda df, *of: plans.append(_joins(df)) or kept(df, *of))
+    plans.append(_joins(near_duplicates(frame(spark, corpus))))
+    plans.append(_joins(first_of_each(frame(spark, corpus))))
+    assert len(plans) > 10 and all("LeftSemi" in line for plan in plans for line in plan)
+
+
+def test_labels_of_many_links_are_not_broadcast(spark, monkeypatch):
+    """The same components where tables of labels are merged."""
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i % 7], "a long, b long")
+    want = {tuple(r) for r in components(links, "a", "b").collect()}
+    plans, kept = [], graph.settled
+    monkeypatch.setattr(graph, "FEW_LINKS", 10)
+    monkeypatch.setattr(graph, "settled", lambda df, *of: plans.append(_joins(df)) or kept(df, *of))
+    assert {tuple(r) for r in components(links, "a", "b").collect()} == want
+    assert len(plans) > 2 and not any(plans)
+
+
+def test_bitmaps_of_lines_are_not_broadcast(spark):
+    line = "a line of more than forty characters that is shared"
+    docs = frame(spark, [(i, f"{line}\n" + "x\n" * 50 + str(i)) for i in range(6)])
+    rows = without_shared_lines(docs)
+    assert not [x for x in _joins(rows) if "_keep" in x or "LeftOuter" in x]
+    assert sorted((r["doc_id"], r["n_dropped"]) for r in rows.collect()) == [(i, int(i < 5)) for i in range(6)]
+
+
 def test_near_copies_in_a_chain_and_a_crowd(spark):
     rng = random.Random(5)
     rows, own = [], text_of(rng, 60).split()

@@ -163,6 +163,8 @@ def without_shared_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_
     doc, mark, keep = (_free(docs, name) for name in ("_doc", "_print", "_keep"))
     bitmaps = keep_bitmaps(docs.select("doc_id", "text"), least_chars, least_docs)
     bitmaps = bitmaps.select(F.col("doc").alias(doc), F.col("print").alias(mark), bitmap_lines("bitmap").alias(keep))
+    # Spark takes an unpacked bitmap for one value; its lines are as many as the text has.
+    bitmaps = bitmaps.hint("merge")
     same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == bitmaps[doc]) & (F.xxhash64(docs["text"]) == bitmaps[mark])
     rows = docs.join(bitmaps, same, "left")
     kept = F.filter(_lines(F.col("text")), lambda line, i: F.coalesce(F.get(F.col(keep), i), F.lit(True)))
