@@ -158,6 +158,33 @@ def test_least_distance_of_a_leaf_is_below_all_its_donors():
                         assert least[i, j] <= 5 / both.sum() * ((point - row)[both] ** 2).sum()
 
 
+def test_distances_by_patterns_are_those_of_pairs(monkeypatch):
+    """Also where a point shares no column with a donor, and where values are infinite."""
+    rng = np.random.default_rng(4)
+    points, donors = (np.where(rng.random((n, 3)) < 0.4, np.nan, rng.normal(size=(n, 3))) for n in (60, 90))
+    for far in (False, True):
+        if far:
+            points[::7, 1], donors[::5, 1] = np.inf, np.inf
+        both = ~np.isnan(points[:, None] - donors[None])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gaps = np.where(both, points[:, None] - donors[None], 0.0) ** 2
+            want = np.where(both.any(axis=2), np.sqrt(3 / both.sum(axis=2) * gaps.sum(axis=2)), np.inf)
+        there = neighbours._patterns(donors)
+        assert np.array_equal(neighbours._distances(points, donors, [] if far else there), want)
+        assert np.array_equal(neighbours._distances(points, donors, []), want)
+        assert sorted(np.concatenate([rows for _, rows in there]).tolist()) == list(range(90))
+
+
+def test_leaves_hold_one_pattern_where_gaps_are_not_rare():
+    """A column missing in a tenth of the rows: no leaf of usual size mixes rows with and without it."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(4000, 2))
+    points[rng.random(4000) < 0.1, 1] = np.nan
+    leaf = neighbours.Tree.over(points, 40).leaf(points)
+    share = [np.isnan(points[leaf == own, 1]).mean() for own in np.unique(leaf)]
+    assert len(share) == 40 and set(share) == {0.0, 1.0}
+
+
 def test_few_donors_and_empty_rows(spark):
     check(spark, [(1, 1.0, 2.0), (2, 3.0, 4.0), (3, 2.0, None), (4, None, None), (5, None, 1.0)])
     check(spark, [(1, None, 2.0), (2, 3.0, None), (3, 2.0, None)])

@@ -34,16 +34,20 @@ from tidemark.session import settled
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Donors the tree is grown on.
-SAMPLE = 1 << 16
+SAMPLE = 1 << 17
 #: Donors a leaf should have, and the most leaves there are.
 LEAF = 512
-LEAVES = 4096
+LEAVES = 16384
+#: Share of rows with a column times that of rows without it, from which on a node is cut by presence.
+MIXED = 0.04
 #: Donors and receivers of one cell, as powers of two.
 CELL_BITS = 12
 #: Receivers of all cells of a task, about, and the fewest tasks.
 TASK_ROWS, TASKS = 1 << 17, 8
-#: Distances worked out at a time.
-AT_A_TIME = 1 << 21
+#: Bounds and distances worked out at a time.
+AT_A_TIME, DISTANCES = 1 << 21, 1 << 18
+#: Pairs of patterns of missing columns up to which distances are worked out pattern by pattern.
+FEW_PATTERNS = 64
 SLACK = 1e-9
 
 
@@ -67,7 +71,7 @@ class Tree:
 
     @classmethod
     def over(cls, points: np.ndarray, leaves: int) -> Tree:
-        """The largest node is cut until there are `leaves`: by presence where that is near even, else at the median of the widest column."""
+        """The largest node is cut until there are `leaves`: by presence where neither side is rare, else at the median of the widest column."""
         nodes = [(-1, 0.0, -1, -1)]
         heap = [(-len(points), 0, points)]
         while heap and (len(nodes) + 1) // 2 < leaves:
@@ -99,7 +103,8 @@ def _cut(own: np.ndarray) -> tuple[int, float] | None:
         return None
     share = np.isnan(own).mean(axis=0)
     even = share * (1 - share)
-    if even.max() > 0.1875:
+    # Leaves of one pattern have no columns that may or may not be shared, which loosen their bound.
+    if even.max() > MIXED:
         return int(even.argmax()), -np.inf
     best = None
     for c in range(own.shape[1]):
@@ -193,20 +198,53 @@ def _met(receivers: DataFrame, leaves: Leaves, m: int, k: int, with_reach: bool)
     return receivers.mapInArrow(tasks, StructType(fields))
 
 
+def _patterns(points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(which columns are there, rows) for each pattern of missing columns."""
+    there = ~np.isnan(points)
+    _, first, back = np.unique(np.packbits(there, axis=1).astype(np.int64) @ (1 << 8 * np.arange(-(-points.shape[1] // 8))), return_index=True, return_inverse=True)
+    return [(there[one], np.flatnonzero(back == i)) for i, one in enumerate(first.tolist())]
+
+
+def _distances(own: np.ndarray, donors: np.ndarray, there: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Distance of each point to each donor, whose patterns are given if they are of use; infinite where they share no column.
+
+    Rows of one pattern share the same columns with donors of one pattern: where few patterns meet, only those columns are
+    worked out, with the same sums. Infinite values are no difference of each other, as a missing one.
+    """
+    m = own.shape[1]
+    here = _patterns(own) if there and not np.isinf(own).any() else []
+    if here and len(here) * len(there) <= FEW_PATTERNS:
+        distance = np.full((len(own), len(donors)), np.inf)
+        for has, rows in here:
+            for having, columns in there:
+                total, shared = None, np.flatnonzero(has & having)
+                for c in shared.tolist():
+                    apart = np.subtract.outer(own[rows, c], donors[columns, c])
+                    apart *= apart
+                    total = apart if total is None else np.add(total, apart, out=total)
+                if total is not None:
+                    total *= m / float(len(shared))
+                    distance[np.ix_(rows, columns)] = np.sqrt(total, out=total)
+        return distance
+    total, shared = np.zeros((len(own), len(donors))), np.zeros((len(own), len(donors)))
+    for c in range(m):
+        apart = own[:, c, None] - donors[None, :, c]
+        both = ~np.isnan(apart)
+        total += np.where(both, apart * apart, 0.0)
+        shared += both
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(shared > 0, np.sqrt(m / shared * total), np.inf)
+
+
 def _nearest(points: np.ndarray, reach: np.ndarray, donors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(column, point, donor, distance): for each column a point lacks its k nearest donors within reach that have it; ties go to the earlier donor."""
     m = points.shape[1]
-    step = max(1, AT_A_TIME // max(1, len(donors)))
+    step = max(1, DISTANCES // max(1, len(donors)))
+    # As many columns as fit the bits of a number.
+    there = _patterns(donors) if m <= 56 and not np.isinf(donors).any() else []
     for s in range(0, len(points), step):
         own = points[s : s + step]
-        total, shared = np.zeros((len(own), len(donors))), np.zeros((len(own), len(donors)))
-        for c in range(m):
-            apart = own[:, c, None] - donors[None, :, c]
-            both = ~np.isnan(apart)
-            total += np.where(both, apart * apart, 0.0)
-            shared += both
-        with np.errstate(divide="ignore", invalid="ignore"):
-            distance = np.where(shared > 0, np.sqrt(m / shared * total), np.inf)
+        distance = _distances(own, donors, there)
         for c in range(m):
             rows, having = np.flatnonzero(np.isnan(own[:, c])), np.flatnonzero(~np.isnan(donors[:, c]))
             if not len(rows) or not len(having):
