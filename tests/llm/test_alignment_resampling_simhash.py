@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import resampling
+from tidemark.llm import alignment, resampling
 from tidemark.llm.alignment import Fragment, aligned, compose, cuts
 from tidemark.llm.resampling import Dictionary, composed, drawn, ranked, resampled
 from tidemark.llm.simhash import MATCHES, POSITIONS, linked, near_duplicates
@@ -55,6 +55,26 @@ def test_alignment_digest_and_empty_table(spark):
     assert aligned(frame(spark, []), *PATHS).count() == 0
 
 
+def test_slices_are_small_and_few_in_a_file(spark, corpus, monkeypatch):
+    """What a task holds of the written slices does not follow the size of its input."""
+    kept, written = alignment.settled, []
+
+    def settled(df, **of):
+        out = kept(df, **of)
+        if "entries" in out.columns:
+            sizes = out.groupBy(F.input_file_name()).count().collect()
+            written.extend(r["count"] for r in sizes)
+        return out
+
+    monkeypatch.setattr(alignment, "settled", settled)
+    rows = [(i, t) for i, t in corpus if t and len(t) < 50] * 4
+    aligned(frame(spark, rows).coalesce(1), *PATHS, slice_bytes=1).collect()
+    few = [(1, "x y")] * 30
+    aligned(frame(spark, few).coalesce(1), *PATHS, slice_bytes=1, chunk=1).collect()
+    assert sum(written) > 8 and max(written) <= alignment.SLICES_A_FILE
+    assert alignment.SLICE <= 1 << 19
+
+
 def test_fragments_compose_in_any_order():
     rng = random.Random(1)
     empty = np.zeros(0, np.int32)

@@ -38,8 +38,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK = 1 << 16
 #: Neighbours composed by one task of a level.
 FAN = 16
-#: Bytes of text that ask for their pairs together.
-SLICE = 1 << 22
+#: Bytes of text from which on texts ask for their pairs together: a slice is a row of several times its text, in tasks of the JVM and in workers.
+SLICE = 1 << 19
+#: Slices, and byte ranges or segments, of a file: as many are held at once by what writes or reads it.
+SLICES_A_FILE, RANGES_A_FILE = 8, 128
 #: Units a worker remembers before it starts anew.
 REMEMBERED = 1 << 19
 #: Groups with more links are counted by their distinct ids.
@@ -498,8 +500,8 @@ def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _long(docs: DataFrame, aligner: Aligner) -> DataFrame:
     """Slices of one document each, for texts over the chunk size: fragments of byte ranges, composed level by level."""
-    segments = settled(docs.mapInArrow(aligner.segments, "row long, doc_id long, start long, last long, text string"))
-    ranges = settled(segments.repartition("row", "start").mapInArrow(aligner.fragments, _FRAGMENTS))
+    segments = settled(docs.mapInArrow(aligner.segments, "row long, doc_id long, start long, last long, text string"), file_rows=RANGES_A_FILE)
+    ranges = settled(segments.repartition("row", "start").mapInArrow(aligner.fragments, _FRAGMENTS), file_rows=RANGES_A_FILE)
     whole = ranges.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.min("good").alias("good"), F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
     good = whole.where("good").select("row")
     level = ranges.join(good, "row", "left_semi").select(*[c.split()[0] for c in FRAGMENT.split(", ")])
@@ -517,7 +519,7 @@ def _long(docs: DataFrame, aligner: Aligner) -> DataFrame:
         bridges = bridges.union(more)
     closed = ranges.where("n_groups > 0").join(good, "row", "left_semi")
     closed = closed.select("row", F.col("idx").alias("at"), F.lit(1).alias("place"), "n_groups", "n_links", "groups", "pairs", "times")
-    closed = settled(closed.union(bridges.mapInArrow(aligner.bridges, CLOSED)))
+    closed = settled(closed.union(bridges.mapInArrow(aligner.bridges, CLOSED)), file_rows=RANGES_A_FILE)
     parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "place", "groups"))), lambda g: g["groups"]), ";")
     shown = F.sha2(parts.cast("binary"), 256) if aligner.digest else parts
     sums = closed.groupBy("row").agg(F.sum("n_groups").alias("n_groups"), F.sum("n_links").alias("n_links"), shown.alias("groups"))
@@ -557,7 +559,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False, chu
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     slices = rows.where(size <= chunk).mapInArrow(aligner.short, SLICES)
-    slices = settled(slices.unionByName(_long(rows.where(size > chunk), aligner)))
+    slices = settled(slices.unionByName(_long(rows.where(size > chunk), aligner)), file_rows=SLICES_A_FILE)
     places = F.arrays_zip("pairs", "docs", F.sequence(F.lit(0), F.size("pairs") - 1).alias("pos"))
     asked = slices.where(F.size("pairs") > 0).select("slice", F.inline(places)).toDF("slice", "pair", "docs", "pos")
     counts = settled(asked.groupBy("pair").agg(F.sum("docs").alias("n")))
